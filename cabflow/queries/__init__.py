@@ -6,7 +6,7 @@ from importlib import import_module
 
 from cabflow.queries.base import QUERIES, Query
 
-MODULES = ("columns", "rows", "groups", "files")
+MODULES = ("columns", "rows", "groups", "files", "jobs")
 
 
 def load() -> dict[str, Query]:
