@@ -22,16 +22,23 @@ def number(text: Column) -> Column:
     return text.try_cast("double")
 
 
-def driver_rates(driver_data: Column) -> tuple[Column, Column]:
-    """Lowest and highest total rate in a map of drivers.
+def driver_rates(driver_data: Column) -> Column:
+    """Lowest and highest total rate in a map of drivers, as ``low`` and ``high``.
 
     Text that does not parse, an empty map and a driver without a rate all give 0.
     """
-    drivers = F.map_values(F.from_json(driver_data, "map<string, struct<totalMagnification:string>>"))
-    rates = F.transform(drivers, lambda d: number(d["totalMagnification"]))
-    whole = (F.size(rates) > 0) & ~F.exists(rates, lambda rate: rate.isNull())
+    drivers = F.from_json(driver_data, "map<string, struct<totalMagnification:string>>")
 
-    def pick(extreme: Column) -> Column:
-        return F.when(whole, extreme).otherwise(F.lit(0.0))
+    def rates_of(found: Column) -> Column:
+        return F.transform(F.map_values(found), lambda d: number(d["totalMagnification"]))
 
-    return pick(F.array_min(rates)), pick(F.array_max(rates))
+    def extremes(rates: Column) -> Column:
+        whole = (F.size(rates) > 0) & ~F.exists(rates, lambda rate: rate.isNull())
+        return F.struct(
+            F.when(whole, F.array_min(rates)).otherwise(0.0).alias("low"),
+            F.when(whole, F.array_max(rates)).otherwise(0.0).alias("high"),
+        )
+
+    # Each array of one element gives its value a name, so the text is parsed once.
+    rates = F.transform(F.array(drivers), rates_of)
+    return F.get(F.transform(rates, extremes), F.lit(0))

@@ -18,6 +18,7 @@ def batch_number(
     out: str,
     tiebreak: Sequence[ColumnLike] = (),
     slices: Sequence[ColumnLike] | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Running number of each row within its key.
 
@@ -25,7 +26,8 @@ def batch_number(
     from two parts.  ``slices`` are columns that grow with the order (by default its
     first column).  Rows are counted per key and slice, which the map side combines; the
     running sum of those counts is where a slice starts.  Only the rows of one slice are
-    then sorted together.
+    then sorted together.  ``counted`` may give the same rows with fewer columns, if those
+    are cheaper to count.
     """
     if slices is None:
         slices = [order[0]]
@@ -33,7 +35,8 @@ def batch_number(
     parts = [F.col(k) for k in keys] + [_col(c).alias(n) for n, c in zip(names, slices)]
     # One struct as the group: missing values compare equal inside it, and the join and
     # the window below share its partitioning, so the rows are shuffled once.
-    sliced = df.withColumn("_group", F.struct(*parts))
+    group = F.struct(*parts)
+    sliced = df.withColumn("_group", group)
 
     before = (
         W.partitionBy(*[f"_group.`{k}`" for k in keys])
@@ -41,7 +44,8 @@ def batch_number(
         .rowsBetween(W.unboundedPreceding, -1)
     )
     starts = (
-        sliced.groupBy("_group")
+        (sliced if counted is None else counted.withColumn("_group", group))
+        .groupBy("_group")
         .agg(F.count(F.lit(1)).alias("_rows"))
         .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
         .drop("_rows")

@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.functions.payloads import json_fields, number
+from cabflow.functions.payloads import number
 from cabflow.functions.times import LOCAL_ZONE, effective_time, to_epoch
 from cabflow.operators.aggregates import SPREADS, batch_stats, round_total_columns
 from cabflow.operators.filters import of_city, of_days
 from cabflow.operators.joins import left_join
 from cabflow.operators.numbering import batch_number, number_groups
 from cabflow.operators.picking import Snapshot, snapshots
+from cabflow.operators.shaping import with_json
 
 KEY = "service_order_id"
 
@@ -23,7 +24,7 @@ PRICE_FIELDS = {
     "user_bidding_rate": "sb",
     "driver_estimate_price": "dep",
 }
-TEMPLATE_FIELDS = ("city", "isRushHour", "remark")
+TEMPLATE_FIELDS = {"city": "city", "isRushHour": "isRushHour", "remark": "remark"}
 PARAM_FIELDS = {
     "batch_driver_count": "bATCH_DRIVER_COUNT",
     "batch_interval": "bATCH_INTERVAL",
@@ -32,6 +33,7 @@ PARAM_FIELDS = {
     "evaluation_pct": "eVALUATION",
     "max_range": "mAX_RANGE",
 }
+RATES = tuple(PRICE_FIELDS)
 
 # The rest of a round's columns, in the order that tells tied rounds apart.
 ROUND_COLUMNS = (
@@ -55,6 +57,9 @@ ROUND_COLUMNS = (
 )
 
 
+POSITION = (KEY, "round", "batch", "datetime")
+
+
 def dispatch_rounds(
     info: DataFrame,
     dates: Sequence[str] | None = None,
@@ -62,36 +67,50 @@ def dispatch_rounds(
     tz: str = LOCAL_ZONE,
 ) -> DataFrame:
     """Typed rounds; the city is the one in the template, not the one of the table."""
-    params = json_fields(F.col("_template.dispatchParams"), *PARAM_FIELDS.values())
-    rows = (
-        of_days(info, dates)
-        .withColumn(
-            "_template",
-            json_fields(F.col("template_snapshot"), *TEMPLATE_FIELDS, "dispatchParams"),
-        )
-        .withColumn("_params", params)
-        .withColumn("_price", json_fields(F.col("add_price_info"), *PRICE_FIELDS.values()))
-    )
-    typed_rows = rows.select(
+    rows = of_days(info, dates).select(
         KEY,
         "round",
         "batch",
         to_epoch(F.col("datetime"), tz=tz).alias("datetime"),
         *ROUND_COLUMNS,
-        *[number(F.col(f"_price.{field}")).alias(name) for name, field in PRICE_FIELDS.items()],
-        *[F.col(f"_template.{field}").alias(field) for field in TEMPLATE_FIELDS],
-        *[F.col(f"_params.{field}").alias(name) for name, field in PARAM_FIELDS.items()],
+        "add_price_info",
+        "template_snapshot",
+    )
+    template = TEMPLATE_FIELDS | {"_params": "dispatchParams"}
+    rows = of_city(with_json(rows, F.col("template_snapshot"), template), city)
+    rows = with_json(rows, F.col("_params"), PARAM_FIELDS)
+    rows = with_json(rows, F.col("add_price_info"), {f"_{n}": f for n, f in PRICE_FIELDS.items()})
+    return rows.select(
+        *POSITION,
+        *ROUND_COLUMNS,
+        *[number(F.col(f"_{name}")).alias(name) for name in RATES],
+        *TEMPLATE_FIELDS,
+        *PARAM_FIELDS,
     )
-    return of_city(typed_rows, city)
 
 
-def numbered_rounds(rounds: DataFrame) -> DataFrame:
+def round_positions(
+    info: DataFrame,
+    dates: Sequence[str] | None = None,
+    city: str | None = None,
+    tz: str = LOCAL_ZONE,
+) -> DataFrame:
+    """Where each round is, for counting; reads no JSON that it does not need."""
+    rows = of_days(info, dates)
+    if city is not None:
+        rows = rows.select(KEY, "round", "batch", "datetime", "template_snapshot")
+        rows = of_city(with_json(rows, F.col("template_snapshot"), {"city": "city"}), city)
+    logged = to_epoch(F.col("datetime"), tz=tz).alias("datetime")
+    return rows.select(KEY, "round", "batch", logged)
+
+
+def numbered_rounds(rounds: DataFrame, positions: DataFrame | None = None) -> DataFrame:
     """Running batch number per order.
 
     Rows are cut by round, batch and minute of the log, so that an id shared by a large
     part of the log is not sorted in one task.
     """
-    rest = [c for c in rounds.columns if c not in (KEY, "round", "batch", "datetime")]
+    rest = [c for c in rounds.columns if c not in POSITION]
     minute = F.floor(F.col("datetime") / 60)
     return batch_number(
         rounds,
@@ -100,6 +119,7 @@ def numbered_rounds(rounds: DataFrame) -> DataFrame:
         "acc_batch",
         tiebreak=rest,
         slices=["round", "batch", minute],
+        counted=positions,
     )
 
 
@@ -107,10 +127,7 @@ def _prefixed(prefix: str, columns: Sequence[str]) -> dict[str, str]:
     return {f"{prefix}_{c}": c for c in columns}
 
 
-RATES = tuple(PRICE_FIELDS)
-
-
-def dispatch_summary(rounds: DataFrame) -> DataFrame:
+def dispatch_summary(rounds: DataFrame, positions: DataFrame | None = None) -> DataFrame:
     """Last state, totals, first accept, first decision and end of each order's dispatch.
 
     All five come from one aggregate; ``sum_batch`` is the number of the batch that holds
@@ -173,7 +190,7 @@ def dispatch_summary(rounds: DataFrame) -> DataFrame:
         newest=True,
     )
     return snapshots(
-        numbered_rounds(rounds),
+        numbered_rounds(rounds, positions),
         [KEY],
         [latest, first_accept, first_decision, final],
         totals=round_total_columns(),
@@ -187,7 +204,9 @@ def dispatch_info_extract(
     city: str | None = None,
     tz: str = LOCAL_ZONE,
 ) -> DataFrame:
-    return dispatch_summary(dispatch_rounds(info, dates, city, tz))
+    return dispatch_summary(
+        dispatch_rounds(info, dates, city, tz), round_positions(info, dates, city, tz)
+    )
 
 
 # -- candidate drivers ---------------------------------------------------------

@@ -7,12 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.functions.payloads import json_fields
 from cabflow.functions.times import LOCAL_ZONE
 from cabflow.operators.filters import finished, in_local_days, known, of_days
 from cabflow.operators.joins import left_join
 from cabflow.operators.picking import latest_per_key
-from cabflow.operators.shaping import renamed
+from cabflow.operators.shaping import renamed, with_json
 
 # Output columns of the order extract, new name first where it changes.
 ORDER_COLUMNS = """
@@ -52,12 +51,9 @@ def latest_extensions(ext: DataFrame, dates: Sequence[str] | None = None) -> Dat
     columns = ["user_type", "predict_amount", "deadhead_distance", "estimate_snap"]
     rows = of_days(ext, dates).select("service_order_id", "update_time", *columns)
     last = latest_per_key(rows, ["service_order_id"], ["update_time"])
-    estimate = json_fields(F.col("estimate_snap"), "distance", "estimate_price")
-    return last.withColumn("_estimate", estimate).select(
-        "service_order_id",
-        *columns[:-1],
-        F.col("_estimate.distance").alias("estimate_distance"),
-        F.col("_estimate.estimate_price").alias("estimate_price"),
+    estimate = {"estimate_distance": "distance", "estimate_price": "estimate_price"}
+    return with_json(last.drop("update_time"), F.col("estimate_snap"), estimate).drop(
+        "estimate_snap"
     )
 
 

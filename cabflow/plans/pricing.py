@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.functions.payloads import driver_rates, json_fields, number, unescape
+from cabflow.functions.payloads import driver_rates, number, unescape
 from cabflow.functions.times import LOCAL_ZONE, PRICING_TIME, to_epoch
 from cabflow.operators.filters import known, of_city, of_days
 from cabflow.operators.joins import left_join, semi, union_all
 from cabflow.operators.picking import any_per_key, latest_per_key
+from cabflow.operators.shaping import with_json
 
 KEY = "bidding_id"
 
@@ -33,11 +34,11 @@ def pricing_ids(
 def estimates(pre: DataFrame, tz: str = LOCAL_ZONE) -> DataFrame:
     """One estimate per pricing id."""
     one = any_per_key(pre.select(KEY, "datetime", "data"), [KEY])
-    payload = json_fields(unescape(F.col("data")), *ESTIMATE_FIELDS)
-    return one.withColumn("_data", payload).select(
+    named = {f"_{field}": field for field in ESTIMATE_FIELDS}
+    return with_json(one, unescape(F.col("data")), named).select(
         to_epoch(F.col("datetime"), PRICING_TIME, tz).alias("datetime"),
         KEY,
-        *[number(F.col(f"_data.{f}")).alias(f"pre_{f}") for f in ESTIMATE_FIELDS],
+        *[number(F.col(f"_{f}")).alias(f"pre_{f}") for f in ESTIMATE_FIELDS],
     )
 
 
@@ -48,9 +49,11 @@ def _last_rounds(rounds: DataFrame) -> DataFrame:
 
 def system_rates(rounds: DataFrame) -> DataFrame:
     """Rate of the last round; the system offers all drivers the same."""
-    payload = json_fields(unescape(F.col("data")), "totalMagnification")
-    rate = number(payload["totalMagnification"])
-    return _last_rounds(rounds).select(
+    last = with_json(
+        _last_rounds(rounds), unescape(F.col("data")), {"_rate": "totalMagnification"}
+    )
+    rate = number(F.col("_rate"))
+    return last.select(
         KEY,
         F.col("round").alias("end_bidding_round"),
         rate.alias("end_min_bidding_rate"),
@@ -60,17 +63,12 @@ def system_rates(rounds: DataFrame) -> DataFrame:
 
 def personal_rates(rounds: DataFrame) -> DataFrame:
     """Lowest and highest rate over the drivers of the last round."""
-    payload = json_fields(unescape(F.col("data")), "driverData")
-    lowest, highest = driver_rates(F.col("_drivers"))
-    return (
-        _last_rounds(rounds)
-        .withColumn("_drivers", payload["driverData"])
-        .select(
-            KEY,
-            F.col("round").alias("end_bidding_round"),
-            lowest.alias("end_min_bidding_rate"),
-            highest.alias("end_max_bidding_rate"),
-        )
+    last = with_json(_last_rounds(rounds), unescape(F.col("data")), {"_drivers": "driverData"})
+    return last.withColumn("_rates", driver_rates(F.col("_drivers"))).select(
+        KEY,
+        F.col("round").alias("end_bidding_round"),
+        F.col("_rates.low").alias("end_min_bidding_rate"),
+        F.col("_rates.high").alias("end_max_bidding_rate"),
     )
 
 

@@ -21,6 +21,7 @@ from cabflow.functions.times import (
     to_epoch,
     wait_time,
 )
+from cabflow.operators.shaping import with_json
 from cabflow.queries.base import Tables, query
 from cabflow.queries.domain import (
     DATES,
@@ -56,19 +57,11 @@ def x1(t: Tables):
     """,
 )
 def x2(t: Tables):
-    outer = json_fields(F.col("template_snapshot"), "city", "dispatchParams")
-    inner = json_fields(F.col("outer.dispatchParams"), "bATCH_DRIVER_COUNT", "mAX_RANGE")
-    parsed = (
-        dispatch_info(t)
-        .select("service_order_id", outer.alias("outer"))
-        .withColumn("inner", inner)
-    )
-    return parsed.select(
-        "service_order_id",
-        F.col("outer.city").alias("city"),
-        F.col("inner.bATCH_DRIVER_COUNT").alias("batch_driver_count"),
-        F.col("inner.mAX_RANGE").alias("max_range"),
-    )
+    template = {"city": "city", "params": "dispatchParams"}
+    params = {"batch_driver_count": "bATCH_DRIVER_COUNT", "max_range": "mAX_RANGE"}
+    rows = dispatch_info(t).select("service_order_id", "template_snapshot")
+    rows = with_json(rows, F.col("template_snapshot"), template)
+    return with_json(rows, F.col("params"), params).drop("template_snapshot", "params")
 
 
 @query(
@@ -91,11 +84,9 @@ def x3(t: Tables):
     """,
 )
 def x4(t: Tables):
-    data = json_fields(unescape(F.col("data")), "driverData")["driverData"]
-    low, high = driver_rates(data)
-    return personal_dispatch(t).select(
-        "bidding_id", "round", low.alias("low"), high.alias("high")
-    )
+    log = with_json(personal_dispatch(t), unescape(F.col("data")), {"drivers": "driverData"})
+    rates = log.withColumn("rates", driver_rates(F.col("drivers")))
+    return rates.select("bidding_id", "round", "rates.low", "rates.high")
 
 
 @query(

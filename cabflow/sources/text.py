@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow.functions.rules import typed
+from cabflow.operators.shaping import with_once
 from cabflow.schemas import Fields, names
 
 LINE = "value"
@@ -36,7 +37,7 @@ def parse_delimited(
     Columns beside the line, such as the partition, are kept.
     """
     parts = F.split(F.col(LINE), _literal_pattern(sep), -1)
-    split = lines.withColumn("_parts", parts)
+    split = with_once(lines, "_parts", parts)
 
     def field(index: int, data_type: str) -> Column:
         text = F.get("_parts", F.lit(index))
@@ -67,12 +68,11 @@ def parse_pattern(lines: DataFrame, pattern: str, schema: Fields) -> DataFrame:
         F.array(F.lit(""), *[F.regexp_extract(line, whole, i + 1) for i in range(count)]),
     )
     groups = F.when(F.contains(line, F.lit(_MARK)), single).otherwise(F.split(marked, _MARK, -1))
-    matched = lines.withColumn("_groups", groups)
+    matched = with_once(lines, "_groups", groups)
 
     def group(index: int, data_type: str) -> Column:
-        # Without a match there is only the line itself.
-        text = F.when(F.size("_groups") > 1, F.get("_groups", F.lit(index + 1)))
-        return typed(text, data_type)
+        # Without a match the line itself is the only element.
+        return typed(F.get("_groups", F.lit(index + 1)), data_type)
 
     columns = [group(i, t).alias(n) for i, (n, t) in enumerate(schema)]
     return matched.select(*columns, *_others(lines))
