@@ -91,5 +91,11 @@ def ratio(part: Column, whole: Column) -> Column:
 
 
 def typed(text: Column, data_type: str) -> Column:
-    """Cast that gives NULL for text of the wrong form."""
-    return text if data_type == "string" else text.try_cast(data_type)
+    """Cast that gives NULL for text of the wrong form.
+
+    Empty text, the usual form of a missing value, is taken out first: a failing cast
+    raises and catches an error for every field.
+    """
+    if data_type == "string":
+        return text
+    return F.nullif(text, F.lit("")).try_cast(data_type)

@@ -48,7 +48,7 @@ def _delimited(t: Tables, sep: str) -> DataFrame:
         F.col("o_totalprice").cast("string"),
         priority,
     ]
-    return t.orders.select(F.concat_ws(sep, *parts).alias("value"))
+    return t.spread("orders").select(F.concat_ws(sep, *parts).alias("value"))
 
 
 _DELIMITED_SQL = """
@@ -75,7 +75,7 @@ def s2(t: Tables):
 
 
 def _log(t: Tables, name: str, table: str, expression: str) -> DataFrame:
-    return typed_log(getattr(t, table).selectExpr(f"{expression} as value"), name)
+    return typed_log(t.spread(table).selectExpr(f"{expression} as value"), name)
 
 
 @query(
@@ -498,7 +498,7 @@ def c2(t: Tables):
     schema = LOGS["dispatch_detail"].schema
     line = F.concat_ws(TWO_PIPES, *[F.expr(known.get(n, "''")) for n, _ in schema])
     raw, ods = scratch_path(t.spark, "raw"), scratch_path(t.spark, "ods")
-    lines = t.lineitem.select(line.alias("value"), F.expr("l_partkey % 24").alias("hour"))
+    lines = t.spread("lineitem").select(line.alias("value"), F.expr("l_partkey % 24").alias("hour"))
     lines.write.partitionBy("hour").text(f"{raw}/dt={DATES[0]}")
     path = convert_log(t.spark, "dispatch_detail", raw, ods, DATES[0])
     return t.spark.read.parquet(path).select(
@@ -524,7 +524,7 @@ def c3(t: Tables):
         "dt": f"'{DATES[0]}'",
     }
     line = F.concat_ws("\t", *[F.expr(known.get(n, "''")) for n, _ in source.schema])
-    rows = export_rows(t.lineitem.select(line.alias("value")), source, DATES[0])
+    rows = export_rows(t.spread("lineitem").select(line.alias("value")), source, DATES[0])
     return rows.select("service_order_id", "update_time", "operator_id")
 
 

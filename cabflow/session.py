@@ -13,9 +13,6 @@ DEFAULTS = {
     # Split a hot join partition even where this costs one more shuffle.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    # Tables with dozens of parsed columns give methods that the JVM would only interpret;
-    # below this size of one, a stage is compiled, above it each operator is on its own.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.shuffle.partitions": "2000",
     "spark.sql.files.maxPartitionBytes": "256m",
