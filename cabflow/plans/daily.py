@@ -10,7 +10,7 @@ from cabflow.functions.times import LOCAL_ZONE
 from cabflow.plans.dispatch import dispatch_candidates, dispatch_info_extract, dispatch_merged
 from cabflow.plans.orders import order_base
 from cabflow.plans.pricing import pricing
-from cabflow.plans.profile import stat_profile
+from cabflow.plans.profile import staged_profile
 from cabflow.plans.training import merged_order, training_table
 from cabflow.sinks.writers import write_overwrite, write_table
 from cabflow.sources.tables import merged_path, read_days
@@ -71,19 +71,27 @@ def build_training(
     dates: Sequence[str],
     table: str,
     tz: str = LOCAL_ZONE,
+    path: str | None = None,
 ) -> None:
     """Write the training table from merged days and the profiles over the same days."""
     tables = ods_tables(spark, ods)
-    profile = stat_profile(
-        tables["dispatch_info"], tables["dispatch_detail"], dates, city, tz=tz
+    profile = staged_profile(
+        spark, tables["dispatch_info"], tables["dispatch_detail"], dates, city, tz=tz
     )
-    write_table(training_table(read_days(spark, merged, city, dates), profile), table)
+    write_table(training_table(read_days(spark, merged, city, dates), profile), table, path=path)
 
 
 def write_profile(
-    spark: SparkSession, ods: str, city: str, dates: Sequence[str], table: str
+    spark: SparkSession,
+    ods: str,
+    city: str,
+    dates: Sequence[str],
+    table: str,
+    path: str | None = None,
 ) -> None:
     """Write the profiles of one city's users."""
     tables = ods_tables(spark, ods)
-    profile = stat_profile(tables["dispatch_info"], tables["dispatch_detail"], dates, city)
-    write_table(profile, table, fmt="parquet")
+    profile = staged_profile(
+        spark, tables["dispatch_info"], tables["dispatch_detail"], dates, city
+    )
+    write_table(profile, table, fmt="parquet", path=path)

@@ -15,6 +15,7 @@ from cabflow.sinks.writers import (
     drop_partition,
     path_exists,
     replace_from_itself,
+    staged,
     write_jdbc,
     write_overwrite,
     write_partition,
@@ -100,6 +101,7 @@ def update_risk_orders(
         return
     old = read_existing(spark, target, url, **options)
     merged = merge_risk_orders(old, new, day, keep_days)
-    # Writing empties the table that the rows are read from.
-    merged = merged.checkpoint() if old is not None else merged
+    if old is not None:
+        # Writing empties the table that the rows are read from.
+        merged = staged(spark, merged, "risk_orders")
     write_jdbc(merged, url, target, **options)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow.functions.times import LOCAL_ZONE, effective_time, to_epoch
@@ -12,6 +12,7 @@ from cabflow.operators.aggregates import order_extremes, user_profile
 from cabflow.operators.filters import of_city, of_days
 from cabflow.operators.joins import left_join
 from cabflow.operators.picking import latest_per_key
+from cabflow.sinks.writers import staged
 
 
 def profile_base(
@@ -46,3 +47,21 @@ def stat_profile(
 ) -> DataFrame:
     """One row per user; ``by="order"`` averages the recent wait over all orders."""
     return user_profile(profile_base(info, detail, dates, city, tz), k, by)
+
+
+def staged_profile(
+    spark: SparkSession,
+    info: DataFrame,
+    detail: DataFrame,
+    dates: Sequence[str] | None = None,
+    city: str | None = None,
+    k: int = 2,
+    by: str = "user",
+    tz: str = LOCAL_ZONE,
+) -> DataFrame:
+    """The same, with the rows per order written once instead of computed twice.
+
+    The totals and the recent waits both read them, and they are small next to the log.
+    """
+    base = staged(spark, profile_base(info, detail, dates, city, tz), "profile")
+    return user_profile(base, k, by)

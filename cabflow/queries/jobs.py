@@ -17,7 +17,7 @@ from cabflow.plans.dispatch import (
 )
 from cabflow.plans.orders import ORDER_COLUMNS, name_map, order_base
 from cabflow.plans.pricing import pricing
-from cabflow.plans.profile import stat_profile
+from cabflow.plans.profile import staged_profile
 from cabflow.plans.training import training_table
 from cabflow.queries.base import Tables, query
 from cabflow.queries.columns import ADJUST_SQL, GEO_KEY_SQL, LABEL_SQL, geohash_sql
@@ -38,6 +38,7 @@ from cabflow.queries.groups import (
     rounded,
     small_ints,
 )
+from cabflow.sinks.writers import staged
 
 _SMALL = {"is_asap", "order_status", "rc_status"}
 
@@ -339,8 +340,10 @@ def _profile_after_views() -> str:
 )
 def c9(t: Tables):
     all_tables = tables(t)
-    merged = merge_tables(all_tables, DATES)
-    profile = stat_profile(all_tables["dispatch_info"], all_tables["dispatch_detail"], DATES)
+    merged = staged(t.spark, merge_tables(all_tables, DATES), "merged")
+    profile = staged_profile(
+        t.spark, all_tables["dispatch_info"], all_tables["dispatch_detail"], DATES
+    )
     table = _comparable(training_table(merged, profile))
     return rounded(
         table, "relative_supply", "geo_bidding_pct", "geo_bidding_ok_pct", *PROFILE_MEANS
@@ -349,9 +352,8 @@ def c9(t: Tables):
 
 @query("c10_user_profile", f"{PROFILE_SQL} select {replace_rounded(PROFILE_MEANS)} from profile")
 def c10(t: Tables):
-    return rounded(
-        stat_profile(dispatch_info(t), dispatch_detail(t), DATES), *PROFILE_MEANS
-    )
+    profile = staged_profile(t.spark, dispatch_info(t), dispatch_detail(t), DATES)
+    return rounded(profile, *PROFILE_MEANS)
 
 
 @query("c11_dispatch_kpi", KPI_SQL)

@@ -15,8 +15,12 @@ from cabflow.session import scratch_path
 
 
 def balanced(df: DataFrame, *by: str) -> DataFrame:
-    """Even files: small ones are joined, and a hot partition value is split."""
-    return df.hint("rebalance", *by) if by else df.hint("rebalance")
+    """Few files per partition value, and several where a value is hot.
+
+    Without this every task writes a file per value.  Other writes keep the tasks they
+    have: they follow a scan or a shuffle whose parts are already of an even size.
+    """
+    return df.hint("rebalance", *by)
 
 
 def partition_path(base: str, **parts: int) -> str:
@@ -29,7 +33,7 @@ def write_partition(df: DataFrame, base: str, by: Sequence[str] = (), **parts: i
     With ``by=["hour"]`` all hours of the day are written by one job.
     """
     path = partition_path(base, **parts)
-    writer = balanced(df, *by).write.mode("overwrite")
+    writer = (balanced(df, *by) if by else df).write.mode("overwrite")
     if by:
         writer = writer.partitionBy(*by)
     writer.parquet(path)
@@ -38,7 +42,7 @@ def write_partition(df: DataFrame, base: str, by: Sequence[str] = (), **parts: i
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", files: int | None = None) -> None:
     """Replace a folder; ``files`` lowers the number of files without a shuffle."""
-    df = balanced(df) if files is None else df.coalesce(files)
+    df = df if files is None else df.coalesce(files)
     df.write.mode("overwrite").format(fmt).save(path)
 
 
@@ -60,15 +64,24 @@ def write_jdbc(df: DataFrame, url: str, table: str, **options: str) -> None:
     df.write.mode("overwrite").format("jdbc").options(url=url, dbtable=table, **options).save()
 
 
+def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """The frame written to the shared folder and read back.
+
+    For results that are read more than once: they are computed once, and the loss of an
+    executor does not bring their plan back.
+    """
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def replace_from_itself(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Replace a folder by a result that was read from it.
 
     The result is written to the shared folder first, because overwriting clears the
     target before it is read.  If the second write fails, the first one is still there.
     """
-    staged = scratch_path(spark, "staged")
-    df.write.parquet(staged)
-    write_overwrite(spark.read.parquet(staged), path)
+    write_overwrite(staged(spark, df, "replacement"), path)
 
 
 def upsert_path(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str]) -> None:
