@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cabflow.functions.times import epoch_of
 from cabflow.operators.aggregates import kpi_rows
 from cabflow.plans.imports import devices, export_rows, merge_risk_orders, risk_orders
 from cabflow.plans.kpi import kpi_table
@@ -208,7 +209,7 @@ def s8(t: Tables):
     t.customer.select(line.alias("value")).write.text(path)
     schema = fields("id:bigint name:string balance:double created:timestamp")
     rows = text.read_tsv_named(t.spark, path, schema, dates=["created"])
-    return rows.withColumn("created", F.unix_timestamp("created"))
+    return rows.withColumn("created", epoch_of(F.col("created").cast("timestamp_ntz")))
 
 
 @query(

@@ -40,7 +40,7 @@ def differences(spark, con, folder: str, name: str) -> str | None:
     got = query.build(Tables(spark, folder)).toArrow()
     if query.sql is None:
         return None if got.num_rows else "no rows"
-    want = con.execute(query.sql).to_arrow_table()
+    want = con.sql(query.sql).to_arrow_table()
     if sorted(got.column_names) != sorted(want.column_names):
         return f"columns {sorted(got.column_names)} != {sorted(want.column_names)}"
     names = sorted(got.column_names)
