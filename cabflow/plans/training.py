@@ -34,27 +34,50 @@ def _cells(orders: DataFrame) -> DataFrame:
     )
 
 
+def _demand(merged: DataFrame) -> DataFrame:
+    return known(supply_demand(merged), "geo_time_key")
+
+
+def _of_cells(merged: DataFrame) -> DataFrame:
+    return known(geo_stats(merged), "geo")
+
+
+def _by_row(cells: DataFrame, merged: DataFrame) -> DataFrame:
+    """Features of each row's own cell and time slot.
+
+    The key starts with the cell, so the statistics join the few rows of supply and
+    demand, and the wide orders are shuffled once for both.
+    """
+    slots = _demand(merged).withColumn("_geo", F.substring_index("geo_time_key", "_", 1))
+    slots = left_join(slots, _of_cells(merged), "_geo", "geo").drop("_geo")
+    return left_join(cells, slots, "_cell", "geo_time_key", often_missing=True)
+
+
+def _by_order(cells: DataFrame, merged: DataFrame) -> DataFrame:
+    """The supply and demand of every row of the same order, times those rows."""
+    of_rows = cells.select(F.col("service_order_id").alias("_oid"), "_cell")
+    slots = left_join(of_rows, _demand(merged), "_cell", "geo_time_key", often_missing=True)
+    joined = left_join(cells, slots.drop("_cell"), "service_order_id", "_oid")
+    return left_join(joined, _of_cells(merged), "expect_geohash", "geo", often_missing=True)
+
+
+FAN_OUTS = {"row": _by_row, "order": _by_order}
+
+
 def training_features(
     merged: DataFrame, profile: DataFrame, fan_out: str = "row"
 ) -> DataFrame:
     """Merged orders with supply and demand, user profile and cell statistics.
 
     An order with two pricing rows stays two rows.  ``fan_out="order"`` joins supply and
-    demand by order id instead of by row, which makes them four.
+    demand by order id instead of by row, which makes them four.  Orders without supply
+    figures are left out before the profile is joined; those have no cell either.
     """
-    cells = _cells(merged)
-    demand = known(supply_demand(merged), "geo_time_key")
-    if fan_out == "row":
-        joined = left_join(cells, demand, "_cell", "geo_time_key", often_missing=True)
-    elif fan_out == "order":
-        of_rows = cells.select(F.col("service_order_id").alias("_oid"), "_cell")
-        by_order = left_join(of_rows, demand, "_cell", "geo_time_key", often_missing=True)
-        joined = left_join(cells, by_order.drop("_cell"), "service_order_id", "_oid")
-    else:
+    if fan_out not in FAN_OUTS:
         raise ValueError(f"fan_out must be 'row' or 'order', not {fan_out!r}")
-    joined = left_join(joined.drop("_cell"), profile, "user_id", "uid", often_missing=True)
-    stats = known(geo_stats(merged), "geo")
-    return complete(left_join(joined, stats, "expect_geohash", "geo", often_missing=True))
+    joined = FAN_OUTS[fan_out](_cells(merged), merged)
+    kept = complete(joined.drop("_cell"))
+    return left_join(kept, profile, "user_id", "uid", often_missing=True)
 
 
 def labelled(features: DataFrame) -> DataFrame:
