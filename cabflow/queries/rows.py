@@ -419,7 +419,7 @@ def w1(t: Tables):
     """,
 )
 def w1_hot(t: Tables):
-    """Two keys over the whole table: every part is numbered in a task of its own."""
+    """Two keys over the whole table, numbered in slices of a hundred parts."""
     rows = t.lineitem.select(
         "l_linestatus", "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate",
         "l_extendedprice",
@@ -430,6 +430,7 @@ def w1_hot(t: Tables):
         ["l_partkey", "l_suppkey"],
         "acc_batch",
         tiebreak=["l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice"],
+        slices=[F.floor(F.col("l_partkey") / 100)],
     )
     return numbered.drop("l_shipdate", "l_extendedprice")
 
