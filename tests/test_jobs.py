@@ -22,11 +22,10 @@ def frame(spark, name, rows, **extra):
     """Rows of a table by column name; columns that are not given are NULL."""
     schema = [*LOGS[name].schema, ("dt", "int")] + list(extra.items())
     data = [tuple(row.get(n, int(DAY) if n == "dt" else None) for n, _ in schema) for row in rows]
-    text = ", ".join(f"`{n}` {t}" for n, t in schema)
     wide = {"decimal(8,2)": "double", "decimal(10,2)": "double"}
     loose = ", ".join(f"`{n}` {wide.get(t, t)}" for n, t in schema)
     df = spark.createDataFrame(data, loose)
-    return df.selectExpr(*[f"cast(`{n}` as {t}) as `{n}`" for n, t in schema]) if text else df
+    return df.selectExpr(*[f"cast(`{n}` as {t}) as `{n}`" for n, t in schema])
 
 
 def order(key, **known):
