@@ -211,22 +211,25 @@ def _deep_nodes(batches: Batches) -> Batches:
         yield edge()
 
 
-@F.pandas_udf("n_words long, n_removed long, kept_sha256 string")
-def _kept(texts: pd.Series, starts: pd.Series, copies: pd.Series, lengths: pd.Series) -> pd.DataFrame:
-    rows = []
-    for text, at, copy, length in zip(texts, starts, copies, lengths, strict=True):
-        words = WORD.findall(text)
-        keep = np.ones(len(words), bool)
-        if copy and len(words) >= length:
-            keep[:] = False
-        elif at is not None and len(at):
-            change = np.zeros(len(words) + 1, int)
-            np.add.at(change, np.asarray(at), 1)
-            np.add.at(change, np.asarray(at) + length, -1)
-            keep = np.cumsum(change[:-1]) == 0
-        kept = " ".join(words if keep.all() else [words[i] for i in np.flatnonzero(keep)])
-        rows.append((len(words), int((~keep).sum()), hashlib.sha256(kept.encode()).hexdigest()))
-    return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256"])
+def _kept(length: int):
+    @F.pandas_udf("n_words long, n_removed long, kept_sha256 string")
+    def run(texts: pd.Series, starts: pd.Series, copies: pd.Series) -> pd.DataFrame:
+        rows = []
+        for text, at, copy in zip(texts, starts, copies, strict=True):
+            words = WORD.findall(text)
+            keep = np.ones(len(words), bool)
+            if copy and len(words) >= length:
+                keep[:] = False
+            elif at is not None and len(at):
+                change = np.zeros(len(words) + 1, int)
+                np.add.at(change, np.asarray(at), 1)
+                np.add.at(change, np.asarray(at) + length, -1)
+                keep = np.cumsum(change[:-1]) == 0
+            kept = " ".join(words if keep.all() else [words[i] for i in np.flatnonzero(keep)])
+            rows.append((len(words), int((~keep).sum()), hashlib.sha256(kept.encode()).hexdigest()))
+        return pd.DataFrame(rows, columns=["n_words", "n_removed", "kept_sha256"])
+
+    return run
 
 
 def _mark() -> Column:
@@ -291,7 +294,7 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = repeats(docs, length)
     result = rows.select(
         F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"),
-        _kept("text", "starts", "copy", F.lit(length)).alias("r"),
+        _kept(length)("text", "starts", "copy").alias("r"),
     )
     return result.select("doc_id", "r.n_words", "r.n_removed", "r.kept_sha256")
 

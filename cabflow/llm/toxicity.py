@@ -6,8 +6,9 @@ The weights are trained from the document labels through this product, and the s
 the largest score then shows where the offence is.  A sentence without any word of the
 vocabulary says nothing and has score 0, so a long clean text does not add up to a toxic one.
 
-The vocabulary is chosen by chi-square of word and label over the documents of a bounded
-sample of labelled rows (``sample_docs``, drawn by hash; equal texts count once).
+The vocabulary is chosen by chi-square of word and label over the distinct sentences of a
+bounded sample of labelled rows (``sample_docs``, drawn by hash; equal texts count once), so a
+passage that many copies share does not make its words telling.
 """
 
 from __future__ import annotations
@@ -57,11 +58,18 @@ class ToxicityModel:
         return 1 - clean, best[1], best[2], best[0] or None
 
 
-def _word_documents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _sentences(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        rows = [(s.lower(), int(t)) for x, t in zip(batch["text"], batch["toxic"], strict=True) for s in SENTENCE.findall(x)]
+        yield pd.DataFrame(rows, columns=["sentence", "toxic"])
+
+
+def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """In how many sentences of clean and of toxic documents each word is."""
     for batch in batches:
         counts = {0: Counter(), 1: Counter()}
-        for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-            counts[int(toxic)].update(set(WORD.findall(text.lower())))
+        for sentence, toxic in zip(batch["sentence"], batch["toxic"], strict=True):
+            counts[int(toxic)].update(set(WORD.findall(sentence)))
         rows = [(w, counts[0][w], counts[1][w]) for w in counts[0].keys() | counts[1].keys()]
         yield pd.DataFrame(rows, columns=["word", "clean", "toxic"])
 
@@ -105,7 +113,7 @@ def train(bags: list[list[list[int]]], labels: np.ndarray, size: int, steps: int
     return theta[:-1], float(theta[-1])
 
 
-def fit(labelled: DataFrame, sample_docs: int = 6000, vocabulary_size: int = 2000, least_documents: int = 4, least_chi: float = 20.0) -> ToxicityModel:
+def fit(labelled: DataFrame, sample_docs: int = 12_000, vocabulary_size: int = 2000, least_sentences: int = 4, least_chi: float = 40.0) -> ToxicityModel:
     """A model from rows with ``text`` and ``toxic`` (0 or 1); null in either is left out.
 
     ``sample_docs`` bounds the rows that are learned from, ``vocabulary_size`` the words.
@@ -122,18 +130,20 @@ def fit(labelled: DataFrame, sample_docs: int = 6000, vocabulary_size: int = 200
         return ToxicityModel({}, 0.0, base)
     if n > sample_docs:
         sample = hashed_share(sample, sample_docs / n, "text")
-        n_clean, n_toxic = n_clean * sample_docs / n, n_toxic * sample_docs / n
-        n = n_clean + n_toxic
+    # Sentences that copies share count once; one that is also in a clean text counts as clean.
+    sentences = sample.mapInPandas(_sentences, "sentence string, toxic int").groupBy("sentence").agg(F.min("toxic").alias("toxic"))
+    sentences = stage(labelled.sparkSession, sentences, "toxicity-sentences")
+    n_sentences = {r["toxic"]: r["n"] for r in sentences.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     table = (
-        sample.mapInPandas(_word_documents, "word string, clean long, toxic long")
+        sentences.mapInPandas(_word_counts, "word string, clean long, toxic long")
         .groupBy("word")
         .agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-        .where(F.col("clean") + F.col("toxic") >= least_documents)
+        .where(F.col("clean") + F.col("toxic") >= least_sentences)
     )
     a, b = F.col("toxic").cast("double"), F.col("clean").cast("double")
-    c, d = F.lit(float(n_toxic)) - a, F.lit(float(n_clean)) - b
-    chi = n * (a * d - b * c) ** 2 / ((a + b) * (c + d) * (a + c) * (b + d) + 1e-9)
-    words = table.withColumn("chi", chi).where(F.col("chi") >= least_chi).orderBy(F.desc("chi"), "word").limit(vocabulary_size)
+    c, d = float(n_sentences.get(1, 0)) - a, float(n_sentences.get(0, 0)) - b
+    chi = (a + b + c + d) * (a * d - b * c) ** 2 / ((a + b) * (c + d) * (a + c) * (b + d) + 1e-9)
+    words = table.withColumn("chi", chi).where((F.col("chi") >= least_chi) & (a * d > b * c)).orderBy(F.desc("chi"), "word").limit(vocabulary_size)
     vocabulary = {r["word"]: i for i, r in enumerate(words.select("word").collect())}
     if not vocabulary:
         return ToxicityModel({}, 0.0, base)
