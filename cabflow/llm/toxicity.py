@@ -27,9 +27,17 @@ from cabflow.llm.common import hashed_share, stage
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 WORD = re.compile(r"\w+")
+#: Lengths of the prefixes that stand for the forms of a word.
+PREFIXES = (5, 7)
 SCHEMA = "score double, sentence_start int, sentence_end int, sentence_score double"
 
 
+def features(sentence: str) -> set[str]:
+    """The words of a sentence in lower case, and their prefixes with a mark."""
+    found = set(WORD.findall(sentence.lower()))
+    return found.union(*[{w[:n] + "~" for w in found if len(w) >= n} for n in PREFIXES])
+
+
 @dataclass
 class ToxicityModel:
     weights: dict[str, float]
@@ -39,7 +47,7 @@ class ToxicityModel:
 
     def sentence(self, text: str) -> float:
         """Score of one sentence; 0 without a word of the vocabulary."""
-        found = self.weights.keys() & set(WORD.findall(text.lower()))
+        found = self.weights.keys() & features(text)
         if not found:
             return 0.0
         return 1 / (1 + float(np.exp(-(self.bias + sum(self.weights[w] for w in found)))))
@@ -69,7 +77,7 @@ def _word_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         counts = {0: Counter(), 1: Counter()}
         for sentence, toxic in zip(batch["sentence"], batch["toxic"], strict=True):
-            counts[int(toxic)].update(set(WORD.findall(sentence)))
+            counts[int(toxic)].update(features(sentence))
         rows = [(w, counts[0][w], counts[1][w]) for w in counts[0].keys() | counts[1].keys()]
         yield pd.DataFrame(rows, columns=["word", "clean", "toxic"])
 
@@ -81,7 +89,7 @@ def _bags(vocabulary: dict[str, int]):
         for batch in batches:
             rows = []
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                found = [vocabulary.keys() & set(WORD.findall(s.lower())) for s in SENTENCE.findall(text)]
+                found = [vocabulary.keys() & features(s) for s in SENTENCE.findall(text)]
                 rows.append((int(toxic), [sorted(vocabulary[w] for w in f) for f in found if f]))
             yield pd.DataFrame(rows, columns=["toxic", "sentences"])
 
@@ -113,7 +121,7 @@ def train(bags: list[list[list[int]]], labels: np.ndarray, size: int, steps: int
     return theta[:-1], float(theta[-1])
 
 
-def fit(labelled: DataFrame, sample_docs: int = 12_000, vocabulary_size: int = 2000, least_sentences: int = 4, least_chi: float = 40.0) -> ToxicityModel:
+def fit(labelled: DataFrame, sample_docs: int = 12_000, vocabulary_size: int = 2000, least_sentences: int = 4, least_chi: float = 20.0) -> ToxicityModel:
     """A model from rows with ``text`` and ``toxic`` (0 or 1); null in either is left out.
 
     ``sample_docs`` bounds the rows that are learned from, ``vocabulary_size`` the words.
