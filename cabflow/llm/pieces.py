@@ -116,8 +116,8 @@ def lattice(rows: DataFrame, keys: tuple[str, ...], vocabulary: Vocabulary) -> D
     return matched.groupBy(*keys).agg(F.array_sort(F.collect_list(edge)).alias("edges"))
 
 
-def best_path(edges: Column) -> Column:
-    """Ids of the best path through edges sorted by end; ties go to the longer last piece."""
+def best_ends(edges: Column) -> Column:
+    """The best last piece at every place, from edges sorted by end; ties go to the longer one."""
     place = "struct<total: double, len: int, id: int>"
     zero = F.struct(
         F.lit(0).alias("end"),
@@ -138,7 +138,11 @@ def best_path(edges: Column) -> Column:
         best = F.when(fresh | state["best"].isNull(), way).otherwise(F.greatest(state["best"], way))
         return F.struct(e["end"].alias("end"), done.alias("done"), best.alias("best"))
 
-    ends = F.aggregate(edges, zero, step, lambda s: F.concat(s["done"], F.array(s["best"])))
+    return F.aggregate(edges, zero, step, lambda s: F.concat(s["done"], F.array(s["best"])))
+
+
+def best_path(ends: Column) -> Column:
+    """Ids along the best path; ``ends`` must be a plain column."""
     walk = F.struct(F.size(ends).alias("at"), F.array().cast("array<int>").alias("ids"))
 
     def back(state, place):
@@ -153,7 +157,8 @@ def best_path(edges: Column) -> Column:
 
 def encoded(rows: DataFrame, keys: tuple[str, ...], vocabulary: Vocabulary) -> DataFrame:
     """``keys`` and ``ids`` of each segment."""
-    return lattice(rows, keys, vocabulary).select(*keys, best_path(F.col("edges")).alias("ids"))
+    ends = lattice(rows, keys, vocabulary).select(*keys, best_ends(F.col("edges")).alias("ends"))
+    return ends.select(*keys, best_path(F.col("ends")).alias("ids"))
 
 
 def frequent_segments(texts: DataFrame, most: int) -> DataFrame:
