@@ -16,15 +16,21 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+#: Odd, so that it keeps all bits.
+STEP = np.uint64(0xD6E8FEB86659FD93)
+
+
 def runs_of(hashes: np.ndarray, k: int) -> np.ndarray:
     """One hash for every ``k`` neighbours; as many as fit."""
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    out = np.zeros(n, np.uint64)
-    for j in range(k):
-        out = mixed(out ^ hashes[j : j + n].view(np.uint64), j)
-    return out
+    hashes = hashes.view(np.uint64)
+    out = hashes[:n].copy()
+    for j in range(1, k):
+        out *= STEP
+        out += hashes[j : j + n]
+    return mixed(out, k)
 
 
 def lists(column: pa.Array) -> Iterator[np.ndarray]:

@@ -9,8 +9,8 @@ they share its elements in the same order, so the share of equal tuples falls wi
 distance and not only with the overlap.  A fingerprint is one hex number per tuple, ``-``
 where no element fell into its bins.
 
-Elements are rows while they are counted and reduced, so a very long text needs no large
-array; the rows of a document stay in the partition of the document.
+Occurrences are numbered in an array per text, which holds eight bytes a token; then elements are
+rows, which stay in the partition of their document while they are reduced.
 """
 
 from __future__ import annotations
@@ -37,26 +37,49 @@ def _kmers(tokens: Column, k: int) -> Column:
     return F.transform(starts, lambda i: F.xxhash64(*[F.get(tokens, i + j) for j in range(k)]))
 
 
+def _packed(kmers: Column) -> Column:
+    """K-mers with their places in one number, sorted, so that equal k-mers stand together."""
+    return F.sort_array(F.transform(kmers, lambda h, i: F.shiftleft(h, PLACE_BITS).bitwiseOR(i.cast("bigint"))))
+
+
+def _numbered(ordered: Column) -> Column:
+    """A 64-bit hash and the place of every k-mer occurrence; ``ordered`` must be a plain column.
+
+    The number of an occurrence is its distance to the first of its k-mer, found by halving
+    steps, as equal k-mers before a place are an unbroken run.
+    """
+    mask = (1 << PLACE_BITS) - 1
+    steps = F.array(*[F.lit(1 << p) for p in range(PLACE_BITS - 1, -1, -1)])
+    kmer = lambda i: F.shiftright(F.get(ordered, i), PLACE_BITS)
+
+    def element(v: Column, i: Column) -> Column:
+        mine = F.shiftright(v, PLACE_BITS)
+        farther = lambda d, p: F.when((i >= d + p) & (kmer(i - d - p) == mine), d + p).otherwise(d)
+        before = F.when((i > 0) & (kmer(i - 1) == mine), F.aggregate(steps, F.lit(0), farther)).otherwise(F.lit(0))
+        return F.struct(F.xxhash64(mine, before).alias("h"), v.bitwiseAND(F.lit(mask)).alias("at"))
+
+    return F.transform(ordered, element)
+
+
 def sketches(texts: DataFrame, keys: Sequence[str], k: int = 3, tuples: int = 64, length: int = 2) -> DataFrame:
-    """``keys`` and ``sketch`` (array of 32-bit numbers, null for an empty tuple) of every text
-    with a token.
+    """``keys`` and ``sketch`` (array of numbers below 2 ** 32, null for an empty tuple) of every
+    text with a token.
 
     ``texts`` has ``keys`` (unique) and ``text`` and is partitioned by one or more of the keys,
     which keeps all steps without a shuffle.
     """
     tokens = F.regexp_extract_all(text_of(), F.lit(TOKEN), F.lit(0))
     split = texts.select(*keys, tokens.alias("tokens"))
-    elements = split.select(*keys, F.posexplode(_kmers(F.col("tokens"), k)).alias("at", "kmer"))
-    occurrence = F.row_number().over(W.partitionBy(*keys, "kmer").orderBy("at"))
-    hashed = elements.select(*keys, "at", F.xxhash64("kmer", occurrence).alias("h"))
+    split = split.select(*keys, _packed(_kmers(F.col("tokens"), k)).alias("ordered"))
+    elements = split.select(*keys, F.explode(_numbered(F.col("ordered"))).alias("e")).select(*keys, "e.h", "e.at")
     # The bin comes from the low bits, the order within it from the high bits; the place rides
     # below them, so that one minimum finds both.
     bin_ = F.pmod("h", F.lit(tuples * length)).cast("int")
     high = F.shiftrightunsigned(F.col("h"), PLACE_BITS + 1)
-    packed = F.shiftleft(high, PLACE_BITS).bitwiseOR(F.col("at").cast("bigint"))
+    packed = F.shiftleft(high, PLACE_BITS).bitwiseOR(F.col("at"))
     members = [f"m{j}" for j in range(length)]
     least = (
-        hashed.select(
+        elements.select(
             *keys,
             F.floor(bin_ / length).cast("int").alias("slot"),
             (bin_ % length).alias("member"),
