@@ -6,9 +6,8 @@ sample: a bound is a prefix as long as it must be, so a frequent prefix is divid
 go together.  Each range is a group of subtrees that one task goes through in order, holding
 only the path to the current leaf.  Neighbours with a common prefix of full depth are leaves of
 one deep internal node, the node of a repeat; repeats longer than ``length`` are the nodes of
-suffixes that follow each other.  A very frequent node spans several ranges (its bounds then go
-on with the id); its leaves there wait for the least id of the node, which the ranges' edges
-give.
+suffixes that follow each other.  A node that would fill ranges by itself needs no tree: its
+least id comes from an aggregate, and its leaves are marked where they are read.
 
 A suffix can only repeat if its minimizer (least hash of the 5-word runs in its first ``length``
 words) occurs in another text, so only such suffixes are sorted.  Copies of a whole text are one
@@ -53,8 +52,14 @@ def minimizers(hashes: np.ndarray, length: int) -> np.ndarray:
     """The minimizer of every window of ``length`` words."""
     if len(hashes) < length:
         return np.zeros(0, np.uint64)
-    runs = mixed(runs_of(hashes, RUN), 31)
-    return np.lib.stride_tricks.sliding_window_view(runs, length - RUN + 1).min(axis=1)
+    least = runs_of(hashes, RUN)
+    # The minimum over a window, from minima over windows of half the width.
+    left, width = length - RUN + 1, 1
+    while width < left:
+        step = min(width, left - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    return least
 
 
 def _minimizers(length: int) -> Callable[[Batches], Batches]:
@@ -68,38 +73,51 @@ def _minimizers(length: int) -> Callable[[Batches], Batches]:
 
 def nodes(hashes: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """Path and hash of the suffixes that start at some words."""
-    path, whole = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
-    for j in range(length):
-        word = hashes[at + j].view(np.uint64)
-        if j < 7:
-            # Seven bytes leave the number positive, so it sorts as the path does.
-            path = (path << np.uint64(8)) | (mixed(word, 41) >> np.uint64(56))
-        whole = mixed(whole ^ word, j)
-    return path.view(np.int64), whole.view(np.int64)
+    codes = mixed(hashes, 41) >> np.uint64(56)
+    path = codes[at]
+    for j in range(1, 7):
+        # Seven bytes leave the number positive, so it sorts as the path does.
+        path = (path << np.uint64(8)) | codes[at + j]
+    return path.view(np.int64), runs_of(hashes, length)[at].view(np.int64)
 
 
-class Bounds:
-    """Bounds between ranges; a suffix goes behind all bounds that are not above it."""
+NODE_TYPE = [("path", "i8"), ("whole", "i8")]
+
 
-    def __init__(self, keys: np.ndarray):
-        self.keys = keys
+def node_keys(path: np.ndarray, whole: np.ndarray) -> np.ndarray:
+    keys = np.empty(len(path), NODE_TYPE)
+    keys["path"], keys["whole"] = path, whole
+    return keys
 
-    @staticmethod
-    def keys_of(path: np.ndarray, whole: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        keys = np.empty(len(path), [("path", "i8"), ("whole", "i8"), ("id", "i8")])
-        keys["path"], keys["whole"], keys["id"] = path, whole, ids
-        return keys
 
-    def range_of(self, path: np.ndarray, whole: np.ndarray, ids: np.ndarray) -> np.ndarray:
+class Bounds:
+    """Nodes at which ranges begin, and the nodes that are too frequent for a range."""
+
+    def __init__(self, keys: np.ndarray, frequent: np.ndarray):
+        self.keys, self.frequent = keys, frequent
+        #: Least id of each frequent node.
+        self.least = np.zeros(len(frequent), np.int64)
+
+    def range_of(self, path: np.ndarray, whole: np.ndarray) -> np.ndarray:
         # Nearly always the path decides; only where it equals that of a bound does the rest.
         low = np.searchsorted(self.keys["path"], path, "left")
-        high = np.searchsorted(self.keys["path"], path, "right")
-        found = high.copy()
-        ties = np.flatnonzero(low < high)
+        found = np.searchsorted(self.keys["path"], path, "right")
+        ties = np.flatnonzero(low < found)
         if len(ties):
-            found[ties] = np.searchsorted(self.keys, self.keys_of(path[ties], whole[ties], ids[ties]), "right")
+            found[ties] = np.searchsorted(self.keys, node_keys(path[ties], whole[ties]), "right")
         return found.astype(np.int32)
 
+    def frequent_at(self, path: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        """Number of the frequent node of each suffix, or -1."""
+        found = np.full(len(path), -1)
+        if len(self.frequent):
+            maybe = np.flatnonzero(np.isin(whole, self.frequent["whole"]))
+            keys = node_keys(path[maybe], whole[maybe])
+            at = np.minimum(np.searchsorted(self.frequent, keys), len(self.frequent) - 1)
+            same = self.frequent[at] == keys
+            found[maybe[same]] = at[same]
+        return found
+
 
 def _sampled(length: int, share: float) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
@@ -110,27 +128,52 @@ def _sampled(length: int, share: float) -> Callable[[Batches], Batches]:
                 draw = mixed(np.full(len(starts), id_).view(np.uint64) ^ mixed(starts.astype(np.uint64), 3), 5)
                 starts = starts[draw < np.uint64(min(share, 0.999999) * 2**64)]
                 path, whole = nodes(hashes, starts, length)
-                parts.append((path, whole, np.full(len(starts), id_)))
+                parts.append((path, whole))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*parts, strict=True)],
-                names=["path", "whole", "id"],
+                [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*parts, strict=True)], names=list(NODE)
             )
 
     return run
 
 
+def _least_ids(length: int, bounds: Bounds) -> Callable[[Batches], Batches]:
+    def run(batches: Batches) -> Batches:
+        for batch in batches:
+            least: dict[int, int] = {}
+            for id_, hashes in zip(batch.column("id").to_pylist(), lists(batch.column("hashes")), strict=True):
+                starts = np.arange(max(0, len(hashes) - length + 1))
+                for node in np.unique(bounds.frequent_at(*nodes(hashes, starts, length))).tolist():
+                    least[node] = min(id_, least.get(node, id_))
+            least.pop(-1, None)
+            arrays = [pa.array(list(least), pa.int32()), pa.array(list(least.values()), I64)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["node", "id"])
+
+    return run
+
+
 def draw_bounds(hashed: DataFrame, length: int) -> Bounds:
-    """Bounds from the suffixes of about ``SAMPLE_TEXTS`` texts, at most ``SAMPLE_ROWS`` of them."""
+    """Bounds from the suffixes of about ``SAMPLE_TEXTS`` texts, at most ``SAMPLE_ROWS`` of them.
+
+    A node that takes up a whole range of the sample is frequent: all texts are then read once
+    for the least ids of such nodes, of which there are at most as many as ranges.
+    """
     total, words_ = hashed.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()
-    ranges = min(SAMPLE_ROWS, 16 + words_ // RANGE_ROWS)
+    ranges = min(SAMPLE_ROWS // 50, 16 + words_ // RANGE_ROWS)
     share = min(1.0, SAMPLE_TEXTS / max(total, 1))
     rows = hashed_share(hashed.select("id", "hashes"), share, "id")
     inner = min(1.0, SAMPLE_ROWS / max(words_ * share, 1))
-    drawn = rows.mapInArrow(_sampled(length, inner), "path long, whole long, id long").toArrow()
-    columns = [drawn.column(c).to_numpy() for c in ("path", "whole", "id")]
-    keys = np.sort(Bounds.keys_of(*columns))
-    at = np.unique(np.arange(1, ranges) * len(keys) // ranges) if len(keys) else np.zeros(0, int)
-    return Bounds(keys[at])
+    drawn = rows.mapInArrow(_sampled(length, inner), "path long, whole long").toArrow()
+    keys = np.sort(node_keys(*(drawn.column(c).to_numpy() for c in NODE)))
+    if not len(keys):
+        return Bounds(keys, keys)
+    at = np.unique(np.arange(1, ranges) * len(keys) // ranges)
+    different, times = np.unique(keys, return_counts=True)
+    bounds = Bounds(np.unique(keys[at]), different[times > max(20, len(keys) // ranges)])
+    if len(bounds.frequent):
+        found = hashed.mapInArrow(_least_ids(length, bounds), "node int, id long").groupBy("node").agg(F.min("id").alias("id"))
+        for row in found.collect():
+            bounds.least[row["node"]] = row["id"]
+    return bounds
 
 
 def _suffixes(length: int, shared) -> Callable[[Batches], Batches]:
@@ -138,8 +181,14 @@ def _suffixes(length: int, shared) -> Callable[[Batches], Batches]:
 
     def rows(parts: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
         path, whole, ids, spot = (np.concatenate(c).astype(np.int64) for c in zip(*parts, strict=True))
-        ranges = shared.value.range_of(path, whole, ids)
-        arrays = [pa.array(ranges), *(pa.array(x) for x in (path, whole, ids, spot))]
+        bounds = shared.value
+        frequent = bounds.frequent_at(path, whole)
+        # A leaf of a frequent node is marked at once, if it is not of the least id.
+        known = frequent >= 0
+        ranges = np.where(known, -1, bounds.range_of(path, whole)).astype(np.int32)
+        keep = np.ones(len(ids), bool)
+        keep[known] = ids[known] > bounds.least[frequent[known]]
+        arrays = [pa.array(x[keep]) for x in (ranges, path, whole, ids, spot)]
         return pa.RecordBatch.from_arrays(arrays, names=["range", "path", "whole", "id", "spot"])
 
     def run(batches: Batches) -> Batches:
@@ -154,6 +203,8 @@ def _suffixes(length: int, shared) -> Callable[[Batches], Batches]:
             parts, size = [], 0
             for id_, mark, hashes, repeated in each:
                 at = np.flatnonzero(np.isin(minimizers(hashes, length), repeated.view(np.uint64)))
+                if not len(at):
+                    continue
                 # The place, and the text's mark in case an id has several texts.
                 spot = (at.astype(np.int64) << 32) | (mark & 0xFFFFFFFF)
                 parts.append((*nodes(hashes, at, length), np.full(len(at), id_), spot))
@@ -168,47 +219,22 @@ def _suffixes(length: int, shared) -> Callable[[Batches], Batches]:
 
 
 def _deep_nodes(batches: Batches) -> Batches:
-    """Leaves of the deep internal nodes of each range, in order, by what decides about them.
-
-    A leaf whose node has a smaller id in this range is covered: only id and spot are given.  The
-    leaves of a range's first node, which may have begun before it, are given with the node and
-    wait.  One more row without a spot tells the least id of the last node of the range.
-    """
-    names = ["path", "whole", "id", "spot"]
-    at_range = first = last = None
-    least = 0
-
-    def edge() -> pa.RecordBatch:
-        row = [pa.array([v], I64) for v in (*last, least, None)]
-        return pa.RecordBatch.from_arrays(row, names=names)
-
+    """Leaves of the deep internal nodes, in order, whose node has a smaller id."""
+    last, least = None, 0
     for batch in batches:
-        ranges = batch.column("range").to_numpy()
-        cuts = [0, *(np.flatnonzero(np.diff(ranges)) + 1).tolist(), len(ranges)]
-        for a, b in zip(cuts, cuts[1:], strict=False):
-            if a == b:
-                continue
-            part = batch.slice(a, b - a)
-            path, whole, ids = (part.column(c).to_numpy() for c in ("path", "whole", "id"))
-            head = (int(path[0]), int(whole[0]))
-            if ranges[a] != at_range:
-                if last is not None and last != first:
-                    yield edge()
-                at_range, first, last = ranges[a], head, None
-            new = np.ones(len(ids), bool)
-            # A common prefix that ends above full depth: another node begins.
-            new[1:] = (path[1:] != path[:-1]) | (whole[1:] != whole[:-1])
-            new[0] = head != last
-            start = np.maximum.accumulate(np.where(new, np.arange(len(ids)), -1))
-            of = np.where(start >= 0, ids[np.maximum(start, 0)], least)
-            last, least = (int(path[-1]), int(whole[-1])), int(of[-1])
-            waits = (path == first[0]) & (whole == first[1])
-            use = np.flatnonzero(waits | (ids > of))
-            node = [pa.array(x[use], I64, mask=~waits[use]) for x in (path, whole)]
-            rest = [part.column(c).take(pa.array(use)) for c in ("id", "spot")]
-            yield pa.RecordBatch.from_arrays([*node, *rest], names=names)
-    if last is not None and last != first:
-        yield edge()
+        if not batch.num_rows:
+            continue
+        path, whole, ids = (batch.column(c).to_numpy() for c in ("path", "whole", "id"))
+        new = np.ones(len(ids), bool)
+        # A common prefix that ends above full depth: another node begins.
+        new[1:] = (path[1:] != path[:-1]) | (whole[1:] != whole[:-1])
+        new[0] = (int(path[0]), int(whole[0])) != last
+        start = np.maximum.accumulate(np.where(new, np.arange(len(ids)), -1))
+        of = np.where(start >= 0, ids[np.maximum(start, 0)], least)
+        last, least = (int(path[-1]), int(whole[-1])), int(of[-1])
+        # Leaves of a frequent node (range -1) are here only if they are repeats.
+        use = np.flatnonzero((batch.column("range").to_numpy() < 0) | (ids > of))
+        yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(use)) for c in ("id", "spot")], names=["id", "spot"])
 
 
 def _kept(length: int):
@@ -252,34 +278,29 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     )
     sizes = texts.select("id", "mark", F.xxhash64("text").alias("hash"), F.octet_length("text").alias("size"))
     firsts = sizes.groupBy("mark", "hash", "size").agg(F.min("id").alias("id")).select("id", "mark").distinct()
-    # One shuffle of the texts serves both joins by id.
-    texts = texts.repartition("id")
-    marked_texts = texts.join(firsts.withColumn("first", F.lit(True)), ["id", "mark"], "left")
-    first = texts.join(firsts, ["id", "mark"], "left_semi").dropDuplicates(["id", "mark"])
-    hashed = first.select("id", "mark", word_hashes(F.col("text")).alias("hashes"))
-
-    found = hashed.mapInArrow(_minimizers(length), "id long, minimizers array<long>")
+    found = texts.select("id", word_hashes(F.col("text")).alias("hashes"))
+    found = found.mapInArrow(_minimizers(length), "id long, minimizers array<long>")
     found = found.select("id", F.explode("minimizers").alias("minimizer"))
     repeated = found.groupBy("minimizer").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("minimizer")
     marks = found.join(repeated, "minimizer").groupBy("id").agg(F.collect_list("minimizer").alias("repeated"))
 
-    candidates = hashed.join(marks, "id").mapInArrow(_suffixes(length, bounds), ROW)
-    groups = candidates.repartition("range").sortWithinPartitions("range", *NODE, "id", "spot")
-    leaves = groups.mapInArrow(_deep_nodes, "path long, whole long, id long, spot long")
-    # At most two nodes of each range, so small enough for every task.
-    edges = leaves.where(F.col("path").isNotNull()).groupBy(*NODE).agg(F.min("id").alias("least"))
-    covered = (
-        leaves.where(F.col("spot").isNotNull())
-        .join(F.broadcast(edges), list(NODE), "left")
-        .where(F.col("path").isNull() | (F.col("id") > F.col("least")))
-    )
+    # One shuffle of the texts serves both joins by id.
+    texts = texts.repartition("id")
+    first = texts.join(firsts, ["id", "mark"], "left_semi").dropDuplicates(["id", "mark"])
+    marked = first.join(marks, "id").select("id", "mark", word_hashes(F.col("text")).alias("hashes"), "repeated")
+    candidates = marked.mapInArrow(_suffixes(length, bounds), ROW)
+    # Marked leaves have no range; they are dealt by id.
+    deal = F.when(F.col("range") < 0, F.pmod(F.xxhash64("id"), F.lit(1 << 20)).cast("int") * -1 - 1).otherwise(F.col("range"))
+    groups = candidates.withColumn("range", deal).repartition("range").sortWithinPartitions("range", *NODE, "id", "spot")
+    covered = groups.mapInArrow(_deep_nodes, "id long, spot long")
     place = F.shiftright("spot", 32).cast("int")
     starts = (
         covered.select("id", _mark().alias("mark"), place.alias("at"))
         .groupBy("id", "mark")
         .agg(F.collect_list("at").alias("starts"))
     )
-    return marked_texts.join(starts, ["id", "mark"], "left").select(
+    joined = texts.join(firsts.withColumn("first", F.lit(True)), ["id", "mark"], "left")
+    return joined.join(starts, ["id", "mark"], "left").select(
         "id", "text", F.col("first").isNull().alias("copy"), "starts"
     )
 
