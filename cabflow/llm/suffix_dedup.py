@@ -26,7 +26,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cabflow.llm.arrays import as_lists, lists, mixed, runs_of
@@ -59,7 +59,8 @@ def minimizers(hashes: np.ndarray, length: int) -> np.ndarray:
         step = min(width, left - width)
         least = np.minimum(least[:-step], least[step:])
         width += step
-    return least
+    # 48 bits are shuffled; a coincidence only adds candidates.
+    return least >> np.uint64(16)
 
 
 def _minimizers(length: int) -> Callable[[Batches], Batches]:
@@ -239,17 +240,19 @@ def _deep_nodes(batches: Batches) -> Batches:
 
 def _kept(length: int):
     @F.pandas_udf("n_words long, n_removed long, kept_sha256 string")
-    def run(texts: pd.Series, starts: pd.Series, copies: pd.Series) -> pd.DataFrame:
+    def run(texts: pd.Series, marks: pd.Series, spots: pd.Series, copies: pd.Series) -> pd.DataFrame:
         rows = []
-        for text, at, copy in zip(texts, starts, copies, strict=True):
+        for text, mark, spot, copy in zip(texts, marks, spots, copies, strict=True):
             words = WORD.findall(text)
             keep = np.ones(len(words), bool)
             if copy and len(words) >= length:
                 keep[:] = False
-            elif at is not None and len(at):
+            elif spot is not None and len(spot):
+                spot = np.asarray(spot)
+                at = spot[(spot & 0xFFFFFFFF) == (mark & 0xFFFFFFFF)] >> 32
                 change = np.zeros(len(words) + 1, int)
-                np.add.at(change, np.asarray(at), 1)
-                np.add.at(change, np.asarray(at) + length, -1)
+                np.add.at(change, at, 1)
+                np.add.at(change, at + length, -1)
                 keep = np.cumsum(change[:-1]) == 0
             kept = " ".join(words if keep.all() else [words[i] for i in np.flatnonzero(keep)])
             rows.append((len(words), int((~keep).sum()), hashlib.sha256(kept.encode()).hexdigest()))
@@ -258,18 +261,13 @@ def _kept(length: int):
     return run
 
 
-def _mark() -> Column:
-    """The low half of a spot as a signed number."""
-    low = F.col("spot").bitwiseAND(F.lit(0xFFFFFFFF))
-    return F.when(low >= 1 << 31, low - (1 << 32)).otherwise(low).cast("int")
-
-
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """The texts, with the word places at which a repeat starts.
 
-    Columns ``id``, ``text``, ``copy`` (whether an equal text has a smaller id) and ``starts``
-    (null if there are none).  A repeat is a run of ``length`` words that also starts in a text
-    with a smaller id.
+    Columns ``id``, ``text``, ``mark``, ``copy`` (whether an equal text has a smaller id) and
+    ``spots`` (null if there are none): the place in the upper half of each number, the mark of
+    the text it belongs to in the lower.  A repeat is a run of ``length`` words that also starts
+    in a text with a smaller id.
     """
     texts = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID)).alias("id"), text_of().alias("text"))
     texts = texts.withColumn("mark", F.hash("text"))
@@ -277,32 +275,27 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         draw_bounds(texts.select("id", word_hashes(F.col("text")).alias("hashes")), length)
     )
     sizes = texts.select("id", "mark", F.xxhash64("text").alias("hash"), F.octet_length("text").alias("size"))
-    firsts = sizes.groupBy("mark", "hash", "size").agg(F.min("id").alias("id")).select("id", "mark").distinct()
+    # An id has one text as a rule, but may have several.
+    firsts = sizes.groupBy("mark", "hash", "size").agg(F.min("id").alias("id"))
+    firsts = firsts.groupBy("id").agg(F.collect_set("mark").alias("firsts"))
     found = texts.select("id", word_hashes(F.col("text")).alias("hashes"))
     found = found.mapInArrow(_minimizers(length), "id long, minimizers array<long>")
     found = found.select("id", F.explode("minimizers").alias("minimizer"))
     repeated = found.groupBy("minimizer").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("minimizer")
     marks = found.join(repeated, "minimizer").groupBy("id").agg(F.collect_list("minimizer").alias("repeated"))
 
-    # One shuffle of the texts serves both joins by id.
-    texts = texts.repartition("id")
-    first = texts.join(firsts, ["id", "mark"], "left_semi").dropDuplicates(["id", "mark"])
+    # Joins by the id alone let one shuffle of the texts serve both passes over them.
+    texts = texts.repartition("id").join(firsts, "id", "left")
+    is_first = F.coalesce(F.array_contains("firsts", F.col("mark")), F.lit(False))
+    first = texts.where(is_first).dropDuplicates(["id", "mark"])
     marked = first.join(marks, "id").select("id", "mark", word_hashes(F.col("text")).alias("hashes"), "repeated")
     candidates = marked.mapInArrow(_suffixes(length, bounds), ROW)
     # Marked leaves have no range; they are dealt by id.
     deal = F.when(F.col("range") < 0, F.pmod(F.xxhash64("id"), F.lit(1 << 20)).cast("int") * -1 - 1).otherwise(F.col("range"))
     groups = candidates.withColumn("range", deal).repartition("range").sortWithinPartitions("range", *NODE, "id", "spot")
     covered = groups.mapInArrow(_deep_nodes, "id long, spot long")
-    place = F.shiftright("spot", 32).cast("int")
-    starts = (
-        covered.select("id", _mark().alias("mark"), place.alias("at"))
-        .groupBy("id", "mark")
-        .agg(F.collect_list("at").alias("starts"))
-    )
-    joined = texts.join(firsts.withColumn("first", F.lit(True)), ["id", "mark"], "left")
-    return joined.join(starts, ["id", "mark"], "left").select(
-        "id", "text", F.col("first").isNull().alias("copy"), "starts"
-    )
+    spots = covered.groupBy("id").agg(F.collect_list("spot").alias("spots"))
+    return texts.join(spots, "id", "left").select("id", "text", "mark", (~is_first).alias("copy"), "spots")
 
 
 def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -315,7 +308,7 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     rows = repeats(docs, length)
     result = rows.select(
         F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"),
-        _kept(length)("text", "starts", "copy").alias("r"),
+        _kept(length)("text", "mark", "spots", "copy").alias("r"),
     )
     return result.select("doc_id", "r.n_words", "r.n_removed", "r.kept_sha256")
 
