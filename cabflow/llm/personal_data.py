@@ -38,6 +38,8 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 TELLING = re.compile(r"[0-9@]\S*")
 ANY = re.compile(r"[0-9@]")
 FEATURES = 4096
+#: Features of one token.
+PER_TOKEN = 9
 SPANS = "array<struct<kind: string, start: int, end: int>>"
 
 Span = tuple[int, int, int]
@@ -153,19 +155,20 @@ def graph(texts: list[str], base: list[list[Span]]) -> Graph:
             # A base span that began earlier may still reach into this token.
             over = [k for a, k, b in spans[max(0, at - 3) : at + 4] if a < end and start < b]
             label.append(over[0] + 1 if over else 0)
-            if previous_end is not None and not text[previous_end:start].strip():
+            follows = previous_end is not None and not text[previous_end:start].strip()
+            if follows:
                 edges.append((me - 1, me))
                 skip.append(0)
             previous_end = end
             form = _form(text[start:end])
-            if form in last_of and last_of[form] != me - 1:
+            if form in last_of and not (follows and last_of[form] == me - 1):
                 edges.append((last_of[form], me))
                 skip.append(1)
             last_of[form] = me
     return Graph(
         doc,
         span,
-        np.array(features, int).reshape(len(doc), -1),
+        np.array(features, int).reshape(len(doc), PER_TOKEN),
         np.array(label, int),
         np.array(edges, int).reshape(-1, 2),
         np.array(skip, int),
