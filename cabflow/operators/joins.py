@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NULL_SPREAD = 256
-
 
 def left_join(
     left: DataFrame,
@@ -28,9 +26,8 @@ def left_join(
     right = right.withColumnRenamed(right_key or on, "_right_key")
     if not often_missing:
         return left.join(right, F.col(on) == F.col("_right_key"), "left").drop("_right_key")
-    spread = F.when(
-        F.col(on).isNull(), F.pmod(F.xxhash64(*left.columns), F.lit(NULL_SPREAD))
-    ).otherwise(F.lit(0).cast("bigint"))
+    # The whole hash: rows without a key go to as many places as there are.
+    spread = F.when(F.col(on).isNull(), F.xxhash64(*left.columns)).otherwise(F.lit(0).cast("bigint"))
     # Zero for every key, but not a literal, which would drop out of the join keys.
     zero = F.pmod(F.xxhash64(F.col("_right_key")), F.lit(1).cast("bigint"))
     joined = left.withColumn("_spread", spread).join(

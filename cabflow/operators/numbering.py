@@ -51,7 +51,7 @@ def batch_number(
         .drop("_rows")
     )
     within = W.partitionBy("_group").orderBy(*[_col(c) for c in [*order, *tiebreak]])
-    number = (F.col("_start") + F.row_number().over(within)).cast("int")
+    number = (F.col("_start") + F.row_number().over(within)).cast("bigint")
     # A merge join keeps the partitioning that the window needs.
     return sliced.join(starts.hint("merge"), "_group").withColumn(out, number).select(*df.columns, out)
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cabflow.functions.payloads import driver_rates, number, unescape
 from cabflow.functions.times import LOCAL_ZONE, PRICING_TIME, to_epoch
 from cabflow.operators.filters import known, of_city, of_days
-from cabflow.operators.joins import left_join, semi, union_all
+from cabflow.operators.joins import left_join, union_all
 from cabflow.operators.picking import any_per_key, latest_per_key
 from cabflow.operators.shaping import with_json
 
@@ -21,19 +21,22 @@ ESTIMATE_FIELDS = ("productTypeId", "estimatePrice", "availableDriverNum", "M")
 BY_SYSTEM, BY_DRIVER = 1, 2
 
 
-def pricing_ids(
-    info: DataFrame, dates: Sequence[str] | None, city: str | None, decided_by: int | None = None
-) -> DataFrame:
-    """Pricing ids of a city: the pricing logs themselves do not say where they are from."""
-    rows = of_city(of_days(info, dates), city)
-    if decided_by is not None:
-        rows = rows.where(F.col("decision_type") == decided_by)
-    return rows.select(KEY)
+def pricing_ids(info: DataFrame, dates: Sequence[str] | None, city: str | None) -> DataFrame:
+    """Pricing ids of a city and who decided: the pricing logs themselves do not say where they
+    are from.  One pass over the rounds serves all three logs."""
+    rows = known(of_city(of_days(info, dates), city), KEY)
+    by = lambda kind: F.max(F.coalesce(F.col("decision_type") == kind, F.lit(False)))
+    return rows.groupBy(KEY).agg(by(BY_SYSTEM).alias("by_system"), by(BY_DRIVER).alias("by_driver"))
+
 
+def _of_ids(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows that are already one per id, if the id is among those given (one row each)."""
+    return rows.join(ids.select(KEY), KEY, "left_semi")
 
-def estimates(pre: DataFrame, tz: str = LOCAL_ZONE) -> DataFrame:
+
+def estimates(pre: DataFrame, ids: DataFrame, tz: str = LOCAL_ZONE) -> DataFrame:
     """One estimate per pricing id."""
-    one = any_per_key(pre.select(KEY, "datetime", "data"), [KEY])
+    one = _of_ids(any_per_key(known(pre, KEY).select(KEY, "datetime", "data"), [KEY]), ids)
     named = {f"_{field}": field for field in ESTIMATE_FIELDS}
     return with_json(one, unescape(F.col("data")), named).select(
         to_epoch(F.col("datetime"), PRICING_TIME, tz).alias("datetime"),
@@ -42,15 +45,17 @@ def estimates(pre: DataFrame, tz: str = LOCAL_ZONE) -> DataFrame:
     )
 
 
-def _last_rounds(rounds: DataFrame) -> DataFrame:
-    kept = known(rounds, "order_id").select(KEY, "round", "datetime", "order_id", "data")
-    return latest_per_key(kept, [KEY], ["round"])
+def _last_rounds(rounds: DataFrame, ids: DataFrame) -> DataFrame:
+    """The last round of each id.  Rounds are reduced first, so that the map side keeps one of
+    an id; the join that follows has the same partitioning."""
+    kept = known(known(rounds, KEY), "order_id").select(KEY, "round", "datetime", "order_id", "data")
+    return _of_ids(latest_per_key(kept, [KEY], ["round"]), ids)
 
 
-def system_rates(rounds: DataFrame) -> DataFrame:
+def system_rates(rounds: DataFrame, ids: DataFrame) -> DataFrame:
     """Rate of the last round; the system offers all drivers the same."""
     last = with_json(
-        _last_rounds(rounds), unescape(F.col("data")), {"_rate": "totalMagnification"}
+        _last_rounds(rounds, ids), unescape(F.col("data")), {"_rate": "totalMagnification"}
     )
     rate = number(F.col("_rate"))
     return last.select(
@@ -61,9 +66,9 @@ def system_rates(rounds: DataFrame) -> DataFrame:
     )
 
 
-def personal_rates(rounds: DataFrame) -> DataFrame:
+def personal_rates(rounds: DataFrame, ids: DataFrame) -> DataFrame:
     """Lowest and highest rate over the drivers of the last round."""
-    last = with_json(_last_rounds(rounds), unescape(F.col("data")), {"_drivers": "driverData"})
+    last = with_json(_last_rounds(rounds, ids), unescape(F.col("data")), {"_drivers": "driverData"})
     return last.withColumn("_rates", driver_rates(F.col("_drivers"))).select(
         KEY,
         F.col("round").alias("end_bidding_round"),
@@ -86,11 +91,9 @@ def pricing(
     An id that occurs in both logs gives two rows.
     """
 
-    def of_ids(log: DataFrame, decided_by: int | None) -> DataFrame:
-        ids = pricing_ids(info, dates, city, decided_by)
-        return semi(known(of_days(log, dates), KEY), known(ids, KEY), [KEY])
-
+    ids = pricing_ids(info, dates, city)
     rates = union_all(
-        system_rates(of_ids(system, BY_SYSTEM)), personal_rates(of_ids(personal, BY_DRIVER))
+        system_rates(of_days(system, dates), ids.where("by_system")),
+        personal_rates(of_days(personal, dates), ids.where("by_driver")),
     )
-    return left_join(estimates(of_ids(pre, None), tz), rates, KEY)
+    return left_join(estimates(of_days(pre, dates), ids, tz), rates, KEY)

@@ -20,16 +20,6 @@ class Tables:
         setattr(self, name, table)
         return table
 
-    def spread(self, name: str) -> DataFrame:
-        """A table in at least as many parts as there are cores.
-
-        A file of one row group is one task, however much text is made from it.  Tables
-        that come in enough parts are left as they are.
-        """
-        cores = self.spark.sparkContext.defaultParallelism
-        table = getattr(self, name)
-        return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores)
-
 
 @dataclass(frozen=True)
 class Query:

@@ -14,12 +14,12 @@ from pyspark.sql import functions as F
 
 from cabflow.queries.base import Tables
 
-# Local midnight of the first day; orders of one year share a day.
+# Local midnight of the first day; orders of one year share a day, and the years take turns.
 FIRST_DAY = 20170401
 MIDNIGHT = 1490976000
 DATES = [str(FIRST_DAY + i) for i in range(7)]
 
-_ORDER_DAY = "(year(o_orderdate) - 1995)"
+_ORDER_DAY = "(year(o_orderdate) % 7)"
 _ORDER_SECONDS = "((month(o_orderdate) - 1) * 7200 + o_orderkey % 600)"
 _CREATED = f"({MIDNIGHT} + {_ORDER_DAY} * 86400 + {_ORDER_SECONDS})"
 
@@ -214,7 +214,7 @@ _PARAMS = (
 
 def service_order(t: Tables) -> DataFrame:
     """Two versions of every order; which is newer depends on its price."""
-    versions = [_derived(t.spread("orders"), _order_columns(v)) for v in (1, 2)]
+    versions = [_derived(t.orders, _order_columns(v)) for v in (1, 2)]
     return versions[0].unionByName(versions[1])
 
 
@@ -223,7 +223,7 @@ def service_order_ext(t: Tables) -> DataFrame:
         "to_json(named_struct('time_length', l_linenumber,"
         f" 'distance', {EXT_PARSED['estimate_distance']}, 'estimate_price', l_suppkey))"
     )
-    return _derived(t.spread("lineitem"), EXT_COLUMNS, estimate_snap=snap, operation="'UPDATE'")
+    return _derived(t.lineitem, EXT_COLUMNS, estimate_snap=snap, operation="'UPDATE'")
 
 
 def dispatch_info(t: Tables) -> DataFrame:
@@ -236,7 +236,7 @@ def dispatch_info(t: Tables) -> DataFrame:
         " 'isRushHour', l_linenumber % 2, 'remark', l_returnflag))"
     )
     return _derived(
-        t.spread("lineitem"),
+        t.lineitem,
         INFO_COLUMNS | INFO_TABLE_ONLY,
         datetime=LINE_TIME,
         add_price_info=price,
@@ -245,7 +245,7 @@ def dispatch_info(t: Tables) -> DataFrame:
 
 
 def dispatch_detail(t: Tables) -> DataFrame:
-    return _derived(t.spread("lineitem"), DETAIL_COLUMNS, datetime=LINE_TIME)
+    return _derived(t.lineitem, DETAIL_COLUMNS, datetime=LINE_TIME)
 
 
 def _escaped(json: str) -> str:
@@ -258,13 +258,13 @@ def pre_dispatch(t: Tables) -> DataFrame:
         " 'estimatePrice', cast(floor(o_totalprice) as int),"
         " 'availableDriverNum', o_custkey % 40, 'M', cast(o_custkey % 10 as double) / 10))"
     )
-    return _derived(t.spread("orders"), PRE_COLUMNS, datetime=ORDER_PRICING_TIME, data=_escaped(payload))
+    return _derived(t.orders, PRE_COLUMNS, datetime=ORDER_PRICING_TIME, data=_escaped(payload))
 
 
 def system_dispatch(t: Tables) -> DataFrame:
     payload = "to_json(named_struct('N', 0, 'totalMagnification', l_discount))"
     return _derived(
-        t.spread("lineitem"), ROUND_COLUMNS, datetime=LINE_PRICING_TIME, data=_escaped(payload)
+        t.lineitem, ROUND_COLUMNS, datetime=LINE_PRICING_TIME, data=_escaped(payload)
     )
 
 
@@ -278,7 +278,7 @@ def personal_dispatch(t: Tables) -> DataFrame:
     # The map is an object inside the payload, not text.
     payload = f"""concat('{{"M":0.16,"driverData":', {drivers}, '}}')"""
     return _derived(
-        t.spread("lineitem"), ROUND_COLUMNS, datetime=LINE_PRICING_TIME, data=_escaped(payload)
+        t.lineitem, ROUND_COLUMNS, datetime=LINE_PRICING_TIME, data=_escaped(payload)
     )
 
 

@@ -98,7 +98,7 @@ def _rates(prefix: str) -> list[str]:
 _ROUNDS = f"""
     numbered as (
         select *, cast(row_number() over (partition by service_order_id
-                      order by {", ".join(f"{c} nulls first" for c in _ROUND_ORDER)}) as int)
+                      order by {", ".join(f"{c} nulls first" for c in _ROUND_ORDER)}) as bigint)
                   as acc_batch,
                cast(case when decision_time > 0 then decision_time else datetime end as bigint)
                   as ended

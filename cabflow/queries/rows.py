@@ -390,7 +390,7 @@ _TIES = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"
     f"""
     select l_orderkey, l_linenumber, l_partkey, l_suppkey,
            cast(row_number() over (partition by l_orderkey
-                order by l_linenumber, {", ".join(_TIES)}) as int) as acc_batch
+                order by l_linenumber, {", ".join(_TIES)}) as bigint) as acc_batch
     from lineitem
     """,
 )
@@ -413,7 +413,7 @@ def w1(t: Tables):
     select l_linestatus, l_partkey, l_suppkey, l_orderkey, l_linenumber,
            cast(row_number() over (partition by l_linestatus
                 order by l_partkey, l_suppkey, l_orderkey, l_linenumber, l_shipdate,
-                         l_extendedprice) as int) as acc_batch
+                         l_extendedprice) as bigint) as acc_batch
     from lineitem
     """,
 )

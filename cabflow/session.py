@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import math
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,29 +20,34 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str, **overrides: str) -> SparkSession:
+#: Bytes of input for each shuffle partition.
+PARTITION_BYTES = 128 << 20
+
+
+def build_session(app: str, input_bytes: int | None = None, **overrides: str) -> SparkSession:
     """A session with the settings the jobs are tuned for.
 
-    Keyword names use ``__`` for the dots: ``spark__sql__shuffle__partitions="8"``.
+    ``input_bytes``, the size of what the job reads, sets the number of shuffle partitions; the
+    adaptive planner joins those that turn out small.  Keyword names use ``__`` for the dots:
+    ``spark__sql__shuffle__partitions="8"``.
     """
     builder = SparkSession.builder.appName(app)
-    settings = DEFAULTS | {key.replace("__", "."): value for key, value in overrides.items()}
+    sized = {}
+    if input_bytes is not None:
+        sized["spark.sql.shuffle.partitions"] = str(max(200, math.ceil(input_bytes / PARTITION_BYTES)))
+    settings = DEFAULTS | sized | {key.replace("__", "."): value for key, value in overrides.items()}
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local folder only for a local master."""
+    """The cluster's shared folder, or one below the warehouse where none is set."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="run-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    if not folder:
+        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    return folder.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

@@ -6,6 +6,7 @@ empty, so that a job can be run again for the same day.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,8 +42,12 @@ def write_partition(df: DataFrame, base: str, by: Sequence[str] = (), **parts: i
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", files: int | None = None) -> None:
-    """Replace a folder; ``files`` lowers the number of files without a shuffle."""
-    df = df if files is None else df.coalesce(files)
+    """Replace a folder; ``files`` fixes the number of files.
+
+    The files are made behind a shuffle, so the work before it keeps all its tasks.  Without
+    ``files`` the result keeps the parts it has.
+    """
+    df = df if files is None else df.repartition(files)
     df.write.mode("overwrite").format(fmt).save(path)
 
 
@@ -78,10 +83,22 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
 def replace_from_itself(spark: SparkSession, df: DataFrame, path: str) -> None:
     """Replace a folder by a result that was read from it.
 
-    The result is written to the shared folder first, because overwriting clears the
-    target before it is read.  If the second write fails, the first one is still there.
+    The new version is written once, beside the folder, and then takes its name.  If the write
+    fails, the folder is as it was; the old version goes only when the new one is in place.
     """
-    write_overwrite(staged(spark, df, "replacement"), path)
+    mark = uuid.uuid4().hex
+    base = path.rstrip("/")
+    new, old = f"{base}.new-{mark}", f"{base}.old-{mark}"
+    df.write.parquet(new)
+    target, fs = _hadoop_path(spark, base)
+    fresh, _ = _hadoop_path(spark, new)
+    aside, _ = _hadoop_path(spark, old)
+    if not fs.rename(target, aside):
+        raise OSError(f"{base} could not be set aside; its new version is {new}")
+    if not fs.rename(fresh, target):
+        fs.rename(aside, target)
+        raise OSError(f"{new} could not take the name {base}")
+    fs.delete(aside, True)
 
 
 def upsert_path(spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str]) -> None:

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cabflow.operators.filters import of_city, of_days
+from cabflow.sinks.writers import path_exists
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -16,8 +18,15 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 def read_ods(
     spark: SparkSession, base: str, dates: Sequence[str] | None, city: str | None = None
 ) -> DataFrame:
-    """Some days of a table, and one city; other days' files are not opened."""
-    return of_city(of_days(spark.read.parquet(base), dates), city)
+    """Some days of a table, and one city; other days' folders are not even listed."""
+    base = base.rstrip("/")
+    folders = [f"{base}/dt={day}" for day in dates or ()]
+    folders = [folder for folder in folders if path_exists(spark, folder)]
+    if folders:
+        table = spark.read.option("basePath", base).parquet(*folders)
+    else:
+        table = spark.read.parquet(base)
+    return of_city(of_days(table, dates), city)
 
 
 def merged_path(base: str, city: str, day: str) -> str:
@@ -42,17 +51,21 @@ def read_existing(
     if url is None:
         return spark.table(table) if spark.catalog.tableExists(table) else None
     reader = spark.read.format("jdbc").options(url=url, dbtable=table, **options)
-    if table not in _relational_tables(spark, url, options):
+    if not _relational_exists(spark, table, url, options):
         return None
     return reader.load()
 
 
-def _relational_tables(spark: SparkSession, url: str, options: dict[str, str]) -> set[str]:
+def _relational_exists(spark: SparkSession, table: str, url: str, options: dict[str, str]) -> bool:
+    """Asks the database's catalog for one name, with its schema if it has one."""
     login = {k: v for k, v in options.items() if k in ("user", "password", "driver")}
-    listing = "(select table_name from information_schema.tables) listed"
+    listing = "(select table_schema, table_name from information_schema.tables) listed"
     found = spark.read.format("jdbc").options(url=url, dbtable=listing, **login).load()
-    # The names of a database's tables, not its rows.
-    return {row[0] for row in found.collect()}
+    schema, _, name = table.rpartition(".")
+    found = found.where(F.col("table_name") == name)
+    if schema:
+        found = found.where(F.col("table_schema") == schema)
+    return bool(found.head(1))
 
 
 def stream_topic(spark: SparkSession, topic: str, **options: str) -> DataFrame:
