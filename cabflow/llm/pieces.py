@@ -225,7 +225,10 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, frequent: int = FREQUENT) ->
     known = list(zip(rows.column("segment").to_pylist(), rows.column("ids").to_pylist(), strict=True))
     common_segments = spark.createDataFrame([(s,) for s, _ in known], "segment string")
 
-    keyed = texts.withColumn("key", F.xxhash64("doc_id", "text")).repartition("key")
+    # The id rides in the key, so that both uses of the texts read the same columns and one
+    # shuffle serves them.
+    key = F.struct("doc_id", F.xxhash64("doc_id", "text").alias("hash"))
+    keyed = texts.select(key.alias("key"), "text").repartition("key")
     # Equal rows have one key and the same segments; one of them is enough.
     rare = keyed.select("key", F.explode(F.array_distinct(segments(F.col("text")))).alias("segment"))
     rare = rare.join(F.broadcast(common_segments), "segment", "left_anti").select("key", "segment").distinct()
@@ -234,7 +237,7 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, frequent: int = FREQUENT) ->
     shared = spark.sparkContext.broadcast(known)
     assemble = _assemble(shared, vocabulary)
     joined = keyed.join(own, "key", "left").withColumn("written", written(F.col("text")))
-    return joined.select("doc_id", "text", assemble("written", "own").alias("ids"))
+    return joined.select("key.doc_id", "text", assemble("written", "own").alias("ids"))
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
