@@ -33,7 +33,7 @@ from cabflow.llm.common import stage, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEGMENT = r" +[^ \n]*|\n|[^ \n]+"
-FREQUENT = 300_000
+FREQUENT = 100_000
 #: A vocabulary of more pieces is not sent to all tasks.
 MOST_PIECES = 1_000_000
 SPELLED = -1
