@@ -71,37 +71,43 @@ def best_entropy(string: Column, window: int = WINDOW) -> Column:
     once the window is full, one out, and changes ``total``, the sum of c * log2(c) over the
     symbols, by the two counts that change.  A string shorter than the window is one window.
     """
-    symbols = F.split(string, "")
-    symbols = F.filter(symbols, lambda s: s != "")
-    size = F.size(symbols)
+    symbols = F.filter(F.split(string, ""), lambda s: s != "")
+    # Each symbol with the one that leaves the window when it enters (null until it is full).
+    late = F.concat(F.array_repeat(F.lit(None).cast("string"), window), symbols)
+    pairs = F.zip_with(symbols, F.slice(late, 1, F.size(symbols)), lambda s, o: F.struct(s.alias("symbol"), o.alias("leaving")))
     empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<int>"))
     zero = F.struct(
-        empty.alias("counts"), F.lit(0.0).alias("total"), F.lit(0).alias("at"), F.lit(0.0).alias("best")
+        empty.alias("counts"),
+        F.lit(0.0).alias("total"),
+        F.lit(0).alias("at"),
+        F.lit(0.0).alias("best"),
+        F.least(F.lit(window), F.length(string)).alias("whole"),
     )
 
     def put(counts: Column, symbol: Column, count: Column) -> Column:
         rest = F.map_filter(counts, lambda k, _: k != symbol)
         return F.map_concat(rest, F.create_map(symbol, count))
 
-    def step(state, symbol):
-        leaving = F.get(symbols, state["at"] - window)
-        full = state["at"] >= window
+    def step(state, pair):
+        symbol, leaving = pair["symbol"], pair["leaving"]
+        full = leaving.isNotNull()
         old = F.when(full, F.coalesce(F.try_element_at(state["counts"], leaving), F.lit(0)))
         counts = F.when(full, put(state["counts"], leaving, old - 1)).otherwise(state["counts"])
         total = state["total"] - F.when(full, _term(old) - _term(old - 1)).otherwise(0.0)
         now = F.coalesce(F.try_element_at(counts, symbol), F.lit(0))
         total = total - _term(now) + _term(now + 1)
         width = F.least(state["at"] + 1, F.lit(window)).cast("double")
-        whole = state["at"] + 1 >= F.least(F.lit(window), size)
+        whole = state["at"] + 1 >= state["whole"]
         bits = F.when(whole, F.log2(width) - total / width).otherwise(0.0)
         return F.struct(
             put(counts, symbol, now + 1).alias("counts"),
             total.alias("total"),
             (state["at"] + 1).alias("at"),
             F.greatest(state["best"], bits).alias("best"),
+            state["whole"].alias("whole"),
         )
 
-    return F.aggregate(symbols, zero, step, lambda s: s["best"])
+    return F.aggregate(pairs, zero, step, lambda s: s["best"])
 
 
 def is_random(string: Column, thresholds: dict[str, float] = THRESHOLDS, allowed: Sequence[str] = ALLOWED) -> Column:
