@@ -8,8 +8,9 @@ grouped by segment, and a fold over them in the order of their ends keeps the be
 place (Viterbi); a second fold walks back.
 
 Segments that many documents share are encoded once and sent to all tasks, at most ``frequent``
-of them; the others are encoded where their document is, once for each document.  Which of the
-two a segment takes does not change its pieces.  Decoding concatenates pieces and bytes and
+of them; the others are encoded where their document is, once for each document: there the same
+relation is made batch by batch, so that texts are not shuffled.  Which of the two a segment
+takes does not change its pieces.  Decoding concatenates pieces and bytes and
 gives the text back exactly.
 
 The score of a piece is its log probability.  A merge vocabulary has no probabilities, only
@@ -20,20 +21,26 @@ path, which need not be those that the merges would leave.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cabflow.llm.arrays import as_lists
 from cabflow.llm.common import stage, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEGMENT = r" +[^ \n]*|\n|[^ \n]+"
 FREQUENT = 100_000
+#: Characters of the segments whose lattices one batch holds (a longer document is a batch).
+BATCH_CHARS = 100_000
 #: A vocabulary of more pieces is not sent to all tasks.
 MOST_PIECES = 1_000_000
 SPELLED = -1
@@ -157,6 +164,8 @@ def best_path(ends: Column) -> Column:
 
 def encoded(rows: DataFrame, keys: tuple[str, ...], vocabulary: Vocabulary) -> DataFrame:
     """``keys`` and ``ids`` of each segment."""
+    # Dealt before the substrings are taken, so that the edges stay where they are.
+    rows = rows.repartition(*keys)
     ends = lattice(rows, keys, vocabulary).select(*keys, best_ends(F.col("edges")).alias("ends"))
     return ends.select(*keys, best_path(F.col("ends")).alias("ids"))
 
@@ -176,9 +185,63 @@ def frequent_segments(texts: DataFrame, most: int) -> DataFrame:
     return counts.where(F.col("n") >= least).select("segment") if least else counts.where("false").select("segment")
 
 
-def _assemble(known, vocabulary: Vocabulary):
-    import re
+def _edges(segments: list[str], pieces: pa.Array, ids: np.ndarray, scores: np.ndarray, spelled: float, longest: int) -> pa.ListArray:
+    """The edges of each segment by end: its substrings, joined with the pieces by their text."""
+    places = [(n, end, size) for n, s in enumerate(segments) for end in range(1, len(s) + 1) for size in range(1, min(end, longest) + 1)]
+    owner, end, size = np.array(places, np.int32).reshape(-1, 3).T
+    cut = pa.array([segments[n][e - k : e] for n, e, k in places], pa.string())
+    at = pc.fill_null(pc.index_in(cut, value_set=pieces), -1).to_numpy()
+    found = at >= 0
+    use = found | (size == 1)
+    columns = {
+        "end": end,
+        "len": size,
+        "id": np.where(found, ids[at], SPELLED).astype(np.int32),
+        "score": np.where(found, scores[at], spelled),
+    }
+    edges = pa.StructArray.from_arrays([pa.array(c[use]) for c in columns.values()], names=list(columns))
+    counts = np.bincount(owner[use], minlength=len(segments))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), edges)
+
+
+def _own_lattices(known, vocabulary: Vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds ``own``: the segments of each text that are not known, once each, with their edges."""
+    pattern = re.compile(SEGMENT)
+    texts, numbers, weights = zip(*vocabulary.pieces, strict=True) if vocabulary.pieces else ((), (), ())
+    # One more entry, so that there is one to look at where nothing is found.
+    ids, scores = np.array([*numbers, SPELLED]), np.array([*weights, 0.0])
+    spelled, longest = vocabulary.spelled_score, vocabulary.longest
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common = {s for s, _ in known.value}
+        pieces = pa.array(texts, pa.string())
+
+        def block(batch: pa.RecordBatch, first: int, last: int, own: list[list[str]]) -> pa.RecordBatch:
+            flat = [s for segments in own for s in segments]
+            edges = _edges(flat, pieces, ids, scores, spelled, longest)
+            pairs = pa.StructArray.from_arrays([pa.array(flat, pa.string()), edges], names=["segment", "edges"])
+            offsets = pa.array(np.append(0, np.cumsum([len(segments) for segments in own])), pa.int32())
+            part = batch.slice(first, last - first)
+            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(offsets, pairs)], names=["doc_id", "text", "own"])
+
+        for batch in batches:
+            first, chars, own = 0, 0, []
+            for i, text in enumerate(batch.column(1)):
+                text = text.as_py()
+                segments = [s for s in dict.fromkeys(pattern.findall(f" {text}" if text else "")) if s not in common]
+                own.append(segments)
+                chars += sum(map(len, segments))
+                if chars >= BATCH_CHARS:
+                    yield block(batch, first, i + 1, own)
+                    first, chars, own = i + 1, 0, []
+            if own:
+                yield block(batch, first, batch.num_rows, own)
+
+    return run
+
 
+def _assemble(known, vocabulary: Vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The ids of each text, from those of its own segments and of the known ones."""
     pattern = re.compile(SEGMENT)
     lengths = np.ones(max((i for _, i, _ in vocabulary.pieces), default=0) + 2, int)
     for piece, id_, _ in vocabulary.pieces:
@@ -199,16 +262,16 @@ def _assemble(known, vocabulary: Vocabulary):
                 at += int(lengths[i])
         return out
 
-    @F.pandas_udf("array<int>")
-    def run(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = {s: np.array(spelled(s, list(i)), np.int32) for s, i in known.value}
-        for texts, own in batches:
+        for batch in batches:
             out = []
-            for text, pairs in zip(texts, own, strict=True):
-                here = {} if pairs is None else {p["segment"]: np.array(spelled(p["segment"], list(p["ids"])), np.int32) for p in pairs}
-                parts = [table[s] if s in table else here[s] for s in pattern.findall(text)]
+            for text, pairs in zip(batch.column(1), batch.column(2), strict=True):
+                text = text.as_py()
+                here = {p["segment"]: np.array(spelled(p["segment"], p["ids"]), np.int32) for p in pairs.as_py()}
+                parts = [table[s] if s in table else here[s] for s in pattern.findall(f" {text}" if text else "")]
                 out.append(np.concatenate(parts) if parts else np.zeros(0, np.int32))
-            yield pd.Series(out, dtype=object)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), as_lists(out, pa.int32())], names=["doc_id", "text", "ids"])
 
     return run
 
@@ -223,21 +286,14 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, frequent: int = FREQUENT) ->
     common = encoded(frequent_segments(texts, frequent), ("segment",), vocabulary)
     rows = common.toArrow()
     known = list(zip(rows.column("segment").to_pylist(), rows.column("ids").to_pylist(), strict=True))
-    common_segments = spark.createDataFrame([(s,) for s, _ in known], "segment string")
-
-    # The id rides in the key, so that both uses of the texts read the same columns and one
-    # shuffle serves them.
-    key = F.struct("doc_id", F.xxhash64("doc_id", "text").alias("hash"))
-    keyed = texts.select(key.alias("key"), "text").repartition("key")
-    # Equal rows have one key and the same segments; one of them is enough.
-    rare = keyed.select("key", F.explode(F.array_distinct(segments(F.col("text")))).alias("segment"))
-    rare = rare.join(F.broadcast(common_segments), "segment", "left_anti").select("key", "segment").distinct()
-    own = encoded(rare, ("key", "segment"), vocabulary)
-    own = own.groupBy("key").agg(F.collect_list(F.struct("segment", "ids")).alias("own"))
     shared = spark.sparkContext.broadcast(known)
-    assemble = _assemble(shared, vocabulary)
-    joined = keyed.join(own, "key", "left").withColumn("written", written(F.col("text")))
-    return joined.select("key.doc_id", "text", assemble("written", "own").alias("ids"))
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+    own = f"array<struct<segment: string, edges: array<{EDGE}>>>"
+    rows = texts.mapInArrow(_own_lattices(shared, vocabulary), f"doc_id {id_type}, text string, own {own}")
+    ends = F.transform("own", lambda o: F.struct(o["segment"].alias("segment"), best_ends(o["edges"]).alias("ends")))
+    paths = F.transform(ends, lambda o: F.struct(o["segment"].alias("segment"), best_path(o["ends"]).alias("ids")))
+    rows = rows.select("doc_id", "text", paths.alias("own"))
+    return rows.mapInArrow(_assemble(shared, vocabulary), f"doc_id {id_type}, text string, ids array<int>")
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
