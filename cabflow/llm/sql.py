@@ -1,3 +1,55 @@
 """SQL of those operators that SQL can express."""
 
-SQL: dict[str, str] = {}
+#: All pairs of documents that share a shingle; components by closure over the links.
+OP4 = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id,
+         list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN []
+                                      WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+                                      ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i+2], ' ')) END) AS shingle
+  FROM w
+), sizes AS (
+  SELECT doc_id, count(*) AS n, md5(string_agg(shingle, '|' ORDER BY shingle)) AS same FROM s GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m
+  FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b, y.same AS same_b, x.same <> y.same AS differs
+  FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * m >= 90 * (x.n + y.n - m)
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+degree AS (SELECT a, count(DISTINCT same_b) AS n FROM links WHERE differs GROUP BY a)
+SELECT w.doc_id, coalesce(sizes.n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(least.b, w.doc_id)) AS component_id,
+       coalesce(degree.n, 0)::BIGINT AS n_links
+FROM w LEFT JOIN sizes ON sizes.doc_id = w.doc_id LEFT JOIN least ON least.a = w.doc_id LEFT JOIN degree ON degree.a = w.doc_id
+"""
+
+#: Every window of 13 words with the first document that has it.
+OP9 = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), windows AS (
+  SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w
+), keyed AS (
+  SELECT doc_id, i, array_to_string(ws[i:i+12], ' ') AS words FROM windows
+), firsts AS (
+  SELECT words, min(doc_id) AS first_id FROM keyed GROUP BY words
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM keyed JOIN firsts USING (words) WHERE first_id < doc_id
+), placed AS (
+  SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w
+), kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS words
+  FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id
+)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(kept.n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(kept.words, '')) AS kept_sha256
+FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
+"""
+
+SQL: dict[str, str] = {"op4_jaccard_join": OP4, "op9_suffix_dedup": OP9}
