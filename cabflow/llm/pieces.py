@@ -4,8 +4,8 @@ A text is written with a space in front and cut into segments (spaces with the r
 or a line end) that no piece crosses.  The lattice of a segment is a relation: its substrings up
 to the length of the longest piece are exploded and equi-joined with the piece table.  Each match
 is an edge, and a character that is no piece has an edge of its own (its bytes).  Edges are
-grouped by segment, and a fold over them in the order of their ends keeps the best way to each
-place (Viterbi); a second fold walks back.
+grouped by segment and place of their end, and a fold over the places keeps the best way to
+each (Viterbi); a second fold walks back.
 
 Segments that many documents share are encoded once and sent to all tasks, at most ``frequent``
 of them; the others are encoded where their document is, once for each document: there the same
@@ -28,7 +28,6 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +43,7 @@ BATCH_CHARS = 100_000
 #: A vocabulary of more pieces is not sent to all tasks.
 MOST_PIECES = 1_000_000
 SPELLED = -1
-EDGE = "struct<end: int, len: int, id: int, score: double>"
+EDGE = "struct<len: int, id: int, score: double>"
 
 
 @dataclass
@@ -94,7 +93,7 @@ def segments(text: Column) -> Column:
 
 
 def lattice(rows: DataFrame, keys: tuple[str, ...], vocabulary: Vocabulary) -> DataFrame:
-    """``keys`` and ``edges`` of each segment; ``rows`` has the keys, the last is ``segment``.
+    """``keys`` and ``places`` of each segment: the edges that end at each; ``rows`` has the keys, the last is ``segment``.
 
     A long segment is cut into blocks that overlap by the longest piece before its substrings
     are taken, so that finding a place does not start at the beginning each time.
@@ -115,45 +114,39 @@ def lattice(rows: DataFrame, keys: tuple[str, ...], vocabulary: Vocabulary) -> D
     matched = cut.join(F.broadcast(vocabulary.table(rows.sparkSession)), "piece", "left")
     matched = matched.where(F.col("id").isNotNull() | (F.col("len") == 1))
     edge = F.struct(
-        (F.col("start") + F.col("len") - 1).alias("end"),
         "len",
         F.coalesce("id", F.lit(SPELLED)).alias("id"),
         F.coalesce("score", F.lit(vocabulary.spelled_score)).alias("score"),
     )
-    return matched.groupBy(*keys).agg(F.array_sort(F.collect_list(edge)).alias("edges"))
+    end = (F.col("start") + F.col("len") - 1).alias("end")
+    by_end = matched.select(*keys, end, edge.alias("edge")).groupBy(*keys, "end").agg(F.collect_list("edge").alias("edges"))
+    places = by_end.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("end", "edges"))).alias("places"))
+    return places.withColumn("places", F.col("places.edges"))
 
 
-def best_ends(edges: Column) -> Column:
-    """The best last piece at every place, from edges sorted by end; ties go to the longer one."""
-    place = "struct<total: double, len: int, id: int>"
-    zero = F.struct(
-        F.lit(0).alias("end"),
-        F.array().cast(f"array<{place}>").alias("done"),
-        F.lit(None).cast(place).alias("best"),
-    )
+def best_ends(places: Column) -> Column:
+    """The best last piece at every place, the start included; ties go to the longer one."""
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("len"), F.lit(0).alias("id"))
 
-    def step(state, e):
-        fresh = e["end"] != state["end"]
-        done = F.when(fresh & (state["end"] > 0), F.concat(state["done"], F.array(state["best"]))).otherwise(state["done"])
-        # The places before this one are all done: every character has an edge.
-        before = F.when(e["end"] == e["len"], F.lit(0.0)).when(
-            fresh & (e["len"] == 1), state["best"]["total"]
-        ).when(e["len"] == 1, F.get(state["done"], e["end"] - 2)["total"]).when(
-            fresh & (e["end"] - e["len"] == state["end"]), state["best"]["total"]
-        ).otherwise(F.get(state["done"], e["end"] - e["len"] - 1)["total"])
-        way = F.struct((before + e["score"]).alias("total"), e["len"].alias("len"), e["id"].alias("id"))
-        best = F.when(fresh | state["best"].isNull(), way).otherwise(F.greatest(state["best"], way))
-        return F.struct(e["end"].alias("end"), done.alias("done"), best.alias("best"))
+    def step(done, edges):
+        # Every place has an edge, so as many are done as the place's number.
+        ways = F.transform(
+            edges,
+            lambda e: F.struct(
+                (F.get(done, F.size(done) - e["len"])["total"] + e["score"]).alias("total"), e["len"].alias("len"), e["id"].alias("id")
+            ),
+        )
+        return F.concat(done, F.array(F.array_max(ways)))
 
-    return F.aggregate(edges, zero, step, lambda s: F.concat(s["done"], F.array(s["best"])))
+    return F.aggregate(places, F.array(start).cast("array<struct<total: double, len: int, id: int>>"), step)
 
 
 def best_path(ends: Column) -> Column:
     """Ids along the best path; ``ends`` must be a plain column."""
-    walk = F.struct(F.size(ends).alias("at"), F.array().cast("array<int>").alias("ids"))
+    walk = F.struct((F.size(ends) - 1).alias("at"), F.array().cast("array<int>").alias("ids"))
 
     def back(state, place):
-        here = F.get(ends, state["at"] - 1)
+        here = F.get(ends, state["at"])
         return F.when(
             state["at"] > 0,
             F.struct((state["at"] - here["len"]).alias("at"), F.concat(F.array(here["id"]), state["ids"]).alias("ids")),
@@ -166,7 +159,7 @@ def encoded(rows: DataFrame, keys: tuple[str, ...], vocabulary: Vocabulary) -> D
     """``keys`` and ``ids`` of each segment."""
     # Dealt before the substrings are taken, so that the edges stay where they are.
     rows = rows.repartition(*keys)
-    ends = lattice(rows, keys, vocabulary).select(*keys, best_ends(F.col("edges")).alias("ends"))
+    ends = lattice(rows, keys, vocabulary).select(*keys, best_ends(F.col("places")).alias("ends"))
     return ends.select(*keys, best_path(F.col("ends")).alias("ids"))
 
 
@@ -185,41 +178,38 @@ def frequent_segments(texts: DataFrame, most: int) -> DataFrame:
     return counts.where(F.col("n") >= least).select("segment") if least else counts.where("false").select("segment")
 
 
-def _edges(segments: list[str], pieces: pa.Array, ids: np.ndarray, scores: np.ndarray, spelled: float, longest: int) -> pa.ListArray:
-    """The edges of each segment by end: its substrings, joined with the pieces by their text."""
-    places = [(n, end, size) for n, s in enumerate(segments) for end in range(1, len(s) + 1) for size in range(1, min(end, longest) + 1)]
-    owner, end, size = np.array(places, np.int32).reshape(-1, 3).T
-    cut = pa.array([segments[n][e - k : e] for n, e, k in places], pa.string())
-    at = pc.fill_null(pc.index_in(cut, value_set=pieces), -1).to_numpy()
-    found = at >= 0
-    use = found | (size == 1)
-    columns = {
-        "end": end,
-        "len": size,
-        "id": np.where(found, ids[at], SPELLED).astype(np.int32),
-        "score": np.where(found, scores[at], spelled),
-    }
-    edges = pa.StructArray.from_arrays([pa.array(c[use]) for c in columns.values()], names=list(columns))
-    counts = np.bincount(owner[use], minlength=len(segments))
-    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(counts)), pa.int32()), edges)
+def _places(segments: list[str], table: dict[str, tuple[int, float]], spelled: float, longest: int) -> pa.ListArray:
+    """For each segment the edges that end at each place: its substrings, joined with the pieces."""
+    sizes, ids, scores, ends = [], [], [], [0]
+    for s in segments:
+        for end in range(1, len(s) + 1):
+            for start in range(max(0, end - longest), end):
+                piece = table.get(s[start:end])
+                if piece is None and start < end - 1:
+                    continue
+                id_, score = piece or (SPELLED, spelled)
+                sizes.append(end - start)
+                ids.append(id_)
+                scores.append(score)
+            ends.append(len(sizes))
+    columns = [pa.array(sizes, pa.int32()), pa.array(ids, pa.int32()), pa.array(scores, pa.float64())]
+    edges = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, names=["len", "id", "score"]))
+    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(s) for s in segments])), pa.int32()), edges)
 
 
 def _own_lattices(known, vocabulary: Vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Adds ``own``: the segments of each text that are not known, once each, with their edges."""
     pattern = re.compile(SEGMENT)
-    texts, numbers, weights = zip(*vocabulary.pieces, strict=True) if vocabulary.pieces else ((), (), ())
-    # One more entry, so that there is one to look at where nothing is found.
-    ids, scores = np.array([*numbers, SPELLED]), np.array([*weights, 0.0])
+    table = {p: (i, score) for p, i, score in vocabulary.pieces}
     spelled, longest = vocabulary.spelled_score, vocabulary.longest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common = {s for s, _ in known.value}
-        pieces = pa.array(texts, pa.string())
 
         def block(batch: pa.RecordBatch, first: int, last: int, own: list[list[str]]) -> pa.RecordBatch:
             flat = [s for segments in own for s in segments]
-            edges = _edges(flat, pieces, ids, scores, spelled, longest)
-            pairs = pa.StructArray.from_arrays([pa.array(flat, pa.string()), edges], names=["segment", "edges"])
+            places = _places(flat, table, spelled, longest)
+            pairs = pa.StructArray.from_arrays([pa.array(flat, pa.string()), places], names=["segment", "places"])
             offsets = pa.array(np.append(0, np.cumsum([len(segments) for segments in own])), pa.int32())
             part = batch.slice(first, last - first)
             return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(offsets, pairs)], names=["doc_id", "text", "own"])
@@ -288,9 +278,9 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, frequent: int = FREQUENT) ->
     known = list(zip(rows.column("segment").to_pylist(), rows.column("ids").to_pylist(), strict=True))
     shared = spark.sparkContext.broadcast(known)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    own = f"array<struct<segment: string, edges: array<{EDGE}>>>"
+    own = f"array<struct<segment: string, places: array<array<{EDGE}>>>>"
     rows = texts.mapInArrow(_own_lattices(shared, vocabulary), f"doc_id {id_type}, text string, own {own}")
-    ends = F.transform("own", lambda o: F.struct(o["segment"].alias("segment"), best_ends(o["edges"]).alias("ends")))
+    ends = F.transform("own", lambda o: F.struct(o["segment"].alias("segment"), best_ends(o["places"]).alias("ends")))
     paths = F.transform(ends, lambda o: F.struct(o["segment"].alias("segment"), best_path(o["ends"]).alias("ids")))
     rows = rows.select("doc_id", "text", paths.alias("own"))
     return rows.mapInArrow(_assemble(shared, vocabulary), f"doc_id {id_type}, text string, ids array<int>")
