@@ -22,22 +22,26 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cabflow.llm.arrays import as_lists
 from cabflow.llm.common import stage, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEGMENT = r" +[^ \n]*|\n|[^ \n]+"
-FREQUENT = 100_000
+FREQUENT = 400_000
+#: Longer segments are encoded where they stand.
+MOST_CHARS = 64
 #: Characters of the segments whose lattices one batch holds (a longer document is a batch).
 BATCH_CHARS = 100_000
 #: A vocabulary of more pieces is not sent to all tasks.
@@ -164,9 +168,13 @@ def encoded(rows: DataFrame, keys: tuple[str, ...], vocabulary: Vocabulary) -> D
 
 
 def frequent_segments(texts: DataFrame, most: int) -> DataFrame:
-    """The segments that occur most, at most ``most``: those above a count that so many reach."""
-    counts = texts.select(F.explode(segments(F.col("text"))).alias("segment")).groupBy("segment")
-    counts = stage(texts.sparkSession, counts.agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "segments")
+    """The segments that occur most, at most ``most``: those above a count that so many reach.
+
+    Segments of more than ``MOST_CHARS`` are never among them, so that their table has a bound.
+    """
+    every = texts.select(F.explode(segments(F.col("text"))).alias("segment")).where(F.length("segment") <= MOST_CHARS)
+    counts = every.groupBy("segment").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    counts = stage(texts.sparkSession, counts, "segments")
     # Counts are few: their number is that of distinct frequencies.
     by_count = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count(F.lit(1)).alias("segments"))
     least, total = None, 0
@@ -178,90 +186,154 @@ def frequent_segments(texts: DataFrame, most: int) -> DataFrame:
     return counts.where(F.col("n") >= least).select("segment") if least else counts.where("false").select("segment")
 
 
-def _places(segments: list[str], table: dict[str, tuple[int, float]], spelled: float, longest: int) -> pa.ListArray:
-    """For each segment the edges that end at each place: its substrings, joined with the pieces."""
-    sizes, ids, scores, ends = [], [], [], [0]
-    for s in segments:
-        for end in range(1, len(s) + 1):
-            for start in range(max(0, end - longest), end):
-                piece = table.get(s[start:end])
-                if piece is None and start < end - 1:
-                    continue
-                id_, score = piece or (SPELLED, spelled)
-                sizes.append(end - start)
-                ids.append(id_)
-                scores.append(score)
-            ends.append(len(sizes))
-    columns = [pa.array(sizes, pa.int32()), pa.array(ids, pa.int32()), pa.array(scores, pa.float64())]
-    edges = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, names=["len", "id", "score"]))
-    return pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(s) for s in segments])), pa.int32()), edges)
-
-
-def _own_lattices(known, vocabulary: Vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Adds ``own``: the segments of each text that are not known, once each, with their edges."""
+class Known:
+    """Segments with their ids as bytes; looked up in the tasks, where the table is made once a worker."""
+
+    def __init__(self, segment: pa.Array, ids: pa.Array):
+        self.segment, self.ids = segment, ids
+
+    @cached_property
+    def table(self) -> dict[str, bytes]:
+        flat, ends = self.ids.flatten().to_numpy(), np.cumsum(pc.list_value_length(self.ids).to_numpy(zero_copy_only=False))
+        flat, found, at = flat.astype(np.int32).tobytes(), {}, 0
+        for segment, end in zip(self.segment.to_pylist(), (4 * ends).tolist(), strict=True):
+            found[segment] = flat[at:end]
+            at = end
+        self.segment = self.ids = None
+        return found
+
+
+class Bytes:
+    """Puts the ids of bytes where a character is no piece."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        self.byte_ids = vocabulary.byte_ids
+        self.lengths = {i: len(p) for p, i, _ in vocabulary.pieces}
+
+    def spell(self, segment: str, ids: list[int]) -> list[int]:
+        out, at = [], 0
+        for i in ids:
+            if i == SPELLED:
+                out += [self.byte_ids[b] for b in segment[at].encode()]
+                at += 1
+            else:
+                out.append(i)
+                at += self.lengths[i]
+        return out
+
+    def spell_all(self, segment: pa.Array, ids: pa.ListArray) -> pa.ListArray:
+        """The same for a column; most segments have no such character and are left alone."""
+        flat = ids.flatten().to_numpy()
+        if not (flat == SPELLED).any():
+            return ids
+        out = [self.spell(s, i) if SPELLED in i else i for s, i in zip(segment.to_pylist(), ids.to_pylist(), strict=True)]
+        return pa.array(out, pa.list_(pa.int32()))
+
+
+class Edges:
+    """The join of substrings with pieces for segments that are encoded where their document is."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        pieces = [*vocabulary.pieces, ("", SPELLED, vocabulary.spelled_score)]
+        self.sizes = np.array([len(p) for p, _, _ in pieces[:-1]] + [1], np.int32)
+        self.ids = np.array([i for _, i, _ in pieces], np.int32)
+        self.scores = np.array([s for _, _, s in pieces])
+        self.spelled, self.longest = len(pieces) - 1, vocabulary.longest
+        # A substring that ends no piece is not made longer to the left.
+        self.row = {p[a:]: None for p, _, _ in vocabulary.pieces for a in range(len(p))}
+        self.row |= {p: k for k, (p, _, _) in enumerate(vocabulary.pieces)}
+
+    def places(self, segments: list[str]) -> pa.ListArray:
+        """For each segment the edges that end at each place."""
+        row, longest, spelled = self.row, self.longest, self.spelled
+        rows, ends = [], [0]
+        for s in segments:
+            for end in range(1, len(s) + 1):
+                one = row.get(s[end - 1], spelled)
+                rows.append(spelled if one is None else one)
+                for start in range(end - 2, max(-1, end - longest - 1), -1):
+                    k = row.get(s[start:end], spelled)
+                    if k == spelled:
+                        break
+                    if k is not None:
+                        rows.append(k)
+                ends.append(len(rows))
+        rows = np.array(rows, np.int64)
+        columns = [pa.array(x[rows]) for x in (self.sizes, self.ids, self.scores)]
+        edges = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.StructArray.from_arrays(columns, names=["len", "id", "score"]))
+        return pa.ListArray.from_arrays(_offsets([len(s) for s in segments]), edges)
+
+
+def _offsets(lengths: list[int]) -> pa.Array:
+    return pa.array(np.append(0, np.cumsum(lengths)), pa.int32())
+
+
+def _look_up(known, vocabulary: Vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Adds ``ids``, with -2 - k for the k-th segment that is not known, and ``own``: those segments, once each, with their edges."""
     pattern = re.compile(SEGMENT)
-    table = {p: (i, score) for p, i, score in vocabulary.pieces}
-    spelled, longest = vocabulary.spelled_score, vocabulary.longest
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        common = {s for s, _ in known.value}
+        table, edges = known.value.table, Edges(vocabulary)
 
-        def block(batch: pa.RecordBatch, first: int, last: int, own: list[list[str]]) -> pa.RecordBatch:
+        def block(batch: pa.RecordBatch, first: int, ids: list[bytes], own: list[list[str]]) -> pa.RecordBatch:
             flat = [s for segments in own for s in segments]
-            places = _places(flat, table, spelled, longest)
-            pairs = pa.StructArray.from_arrays([pa.array(flat, pa.string()), places], names=["segment", "places"])
-            offsets = pa.array(np.append(0, np.cumsum([len(segments) for segments in own])), pa.int32())
-            part = batch.slice(first, last - first)
-            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(offsets, pairs)], names=["doc_id", "text", "own"])
+            pairs = pa.StructArray.from_arrays([pa.array(flat, pa.string()), edges.places(flat)], names=["segment", "places"])
+            part = batch.slice(first, len(own))
+            found = pa.ListArray.from_arrays(_offsets([len(x) // 4 for x in ids]), pa.array(np.frombuffer(b"".join(ids), np.int32)))
+            own = pa.ListArray.from_arrays(_offsets([len(segments) for segments in own]), pairs)
+            return pa.RecordBatch.from_arrays([part.column(0), part.column(1), found, own], names=["doc_id", "text", "ids", "own"])
 
         for batch in batches:
-            first, chars, own = 0, 0, []
+            first, chars, ids, own = 0, 0, [], []
             for i, text in enumerate(batch.column(1)):
                 text = text.as_py()
-                segments = [s for s in dict.fromkeys(pattern.findall(f" {text}" if text else "")) if s not in common]
-                own.append(segments)
-                chars += sum(map(len, segments))
+                here: dict[str, int] = {}
+                parts = []
+                for s in pattern.findall(f" {text}" if text else ""):
+                    part = table.get(s)
+                    if part is None:
+                        part = (-2 - here.setdefault(s, len(here))).to_bytes(4, sys.byteorder, signed=True)
+                    parts.append(part)
+                ids.append(b"".join(parts))
+                own.append(list(here))
+                chars += sum(map(len, here)) + len(text) // 8
                 if chars >= BATCH_CHARS:
-                    yield block(batch, first, i + 1, own)
-                    first, chars, own = i + 1, 0, []
+                    yield block(batch, first, ids, own)
+                    first, chars, ids, own = i + 1, 0, [], []
             if own:
-                yield block(batch, first, batch.num_rows, own)
+                yield block(batch, first, ids, own)
 
     return run
 
 
-def _assemble(known, vocabulary: Vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The ids of each text, from those of its own segments and of the known ones."""
-    pattern = re.compile(SEGMENT)
-    lengths = np.ones(max((i for _, i, _ in vocabulary.pieces), default=0) + 2, int)
-    for piece, id_, _ in vocabulary.pieces:
-        lengths[id_] = len(piece)
-    byte_ids = vocabulary.byte_ids
-
-    def spelled(segment: str, ids: list[int]) -> list[int]:
-        """The ids with those of bytes where a character is no piece."""
-        if SPELLED not in ids:
-            return ids
-        out, at = [], 0
-        for i in ids:
-            if i == SPELLED:
-                out += [byte_ids[b] for b in segment[at].encode()]
-                at += 1
-            else:
-                out.append(i)
-                at += int(lengths[i])
-        return out
+def _fill_in(vocabulary: Vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The ids of each text, with those of its own segments in their places."""
+    letters = Bytes(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = {s: np.array(spelled(s, list(i)), np.int32) for s, i in known.value}
         for batch in batches:
-            out = []
-            for text, pairs in zip(batch.column(1), batch.column(2), strict=True):
-                text = text.as_py()
-                here = {p["segment"]: np.array(spelled(p["segment"], p["ids"]), np.int32) for p in pairs.as_py()}
-                parts = [table[s] if s in table else here[s] for s in pattern.findall(f" {text}" if text else "")]
-                out.append(np.concatenate(parts) if parts else np.zeros(0, np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), as_lists(out, pa.int32())], names=["doc_id", "text", "ids"])
+            ids, own = batch.column(2), batch.column(3)
+            flat = ids.flatten().to_numpy()
+            sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
+            pairs = own.flatten()
+            found = letters.spell_all(pairs.field(0), pairs.field(1))
+            lengths = pc.list_value_length(found).to_numpy(zero_copy_only=False)
+            found, starts = found.flatten().to_numpy(), np.cumsum(lengths) - lengths
+            firsts = np.cumsum(pc.list_value_length(own).to_numpy(zero_copy_only=False))
+            firsts = np.append(0, firsts)[:-1]
+            # Which of all own segments of the batch stands at each place.
+            at = np.flatnonzero(flat <= -2)
+            document = np.repeat(np.arange(len(sizes)), sizes)
+            segment = -2 - flat[at] + firsts[document[at]]
+            width = np.ones(len(flat), np.int64)
+            width[at] = lengths[segment]
+            out = np.repeat(flat, width)
+            begin = (np.cumsum(width) - width)[at]
+            within = np.arange(width[at].sum()) - np.repeat(np.cumsum(width[at]) - width[at], width[at])
+            out[np.repeat(begin, width[at]) + within] = found[np.repeat(starts[segment], width[at]) + within]
+            ends = np.append(0, np.cumsum(width))[np.append(0, np.cumsum(sizes))]
+            full = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(out, pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), full], names=["doc_id", "text", "ids"])
 
     return run
 
@@ -274,16 +346,16 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, frequent: int = FREQUENT) ->
     spark = docs.sparkSession
     texts = docs.select("doc_id", text_of().alias("text"))
     common = encoded(frequent_segments(texts, frequent), ("segment",), vocabulary)
-    rows = common.toArrow()
-    known = list(zip(rows.column("segment").to_pylist(), rows.column("ids").to_pylist(), strict=True))
-    shared = spark.sparkContext.broadcast(known)
+    rows = common.toArrow().combine_chunks()
+    segment, ids = (rows.column(c).combine_chunks() for c in ("segment", "ids"))
+    shared = spark.sparkContext.broadcast(Known(segment, Bytes(vocabulary).spell_all(segment, ids)))
     id_type = docs.schema["doc_id"].dataType.simpleString()
     own = f"array<struct<segment: string, places: array<array<{EDGE}>>>>"
-    rows = texts.mapInArrow(_own_lattices(shared, vocabulary), f"doc_id {id_type}, text string, own {own}")
+    rows = texts.mapInArrow(_look_up(shared, vocabulary), f"doc_id {id_type}, text string, ids array<int>, own {own}")
     ends = F.transform("own", lambda o: F.struct(o["segment"].alias("segment"), best_ends(o["places"]).alias("ends")))
     paths = F.transform(ends, lambda o: F.struct(o["segment"].alias("segment"), best_path(o["ends"]).alias("ids")))
-    rows = rows.select("doc_id", "text", paths.alias("own"))
-    return rows.mapInArrow(_assemble(shared, vocabulary), f"doc_id {id_type}, text string, ids array<int>")
+    rows = rows.select("doc_id", "text", "ids", paths.alias("own"))
+    return rows.mapInArrow(_fill_in(vocabulary), f"doc_id {id_type}, text string, ids array<int>")
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
