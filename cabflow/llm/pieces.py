@@ -8,10 +8,10 @@ grouped by segment and place of their end, and a fold over the places keeps the
 each (Viterbi); a second fold walks back.
 
 Segments that many documents share are encoded once and sent to all tasks, at most ``frequent``
-of them; the others are encoded where their document is, once for each document: there the same
-relation is made batch by batch, so that texts are not shuffled.  Which of the two a segment
-takes does not change its pieces.  Decoding concatenates pieces and bytes and
-gives the text back exactly.
+characters of them; the others are encoded where their document is, once for each document:
+there the same relation is made batch by batch, so that texts are not shuffled.  Which of the two
+a segment takes does not change its pieces.  Decoding concatenates pieces and bytes and gives the
+text back exactly.
 
 The score of a piece is its log probability.  A merge vocabulary has no probabilities, only
 ranks; there it is that of Zipf's law, ``-log(rank + 1)``, and the pieces are those of the best
@@ -28,7 +28,6 @@ from dataclasses import dataclass
 from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import sentencepiece
@@ -39,7 +38,8 @@ from cabflow.llm.common import stage, text_of
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEGMENT = r" +[^ \n]*|\n|[^ \n]+"
-FREQUENT = 400_000
+#: Characters of the frequent segments that are sent to all tasks.
+FREQUENT = 6_000_000
 #: Longer segments are encoded where they stand.
 MOST_CHARS = 64
 #: Characters of the segments whose lattices one batch holds (a longer document is a batch).
@@ -168,18 +168,18 @@ def encoded(rows: DataFrame, keys: tuple[str, ...], vocabulary: Vocabulary) -> D
 
 
 def frequent_segments(texts: DataFrame, most: int) -> DataFrame:
-    """The segments that occur most, at most ``most``: those above a count that so many reach.
+    """The segments that occur most, of at most ``most`` characters: those above a count.
 
-    Segments of more than ``MOST_CHARS`` are never among them, so that their table has a bound.
+    That bounds their table.  Segments of more than ``MOST_CHARS`` are never among them.
     """
     every = texts.select(F.explode(segments(F.col("text"))).alias("segment")).where(F.length("segment") <= MOST_CHARS)
     counts = every.groupBy("segment").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     counts = stage(texts.sparkSession, counts, "segments")
     # Counts are few: their number is that of distinct frequencies.
-    by_count = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.count(F.lit(1)).alias("segments"))
+    by_count = counts.groupBy(F.least("n", F.lit(100_000)).alias("n")).agg(F.sum(F.length("segment")).alias("chars"))
     least, total = None, 0
     for row in sorted(by_count.collect(), key=lambda r: -r["n"]):
-        total += row["segments"]
+        total += row["chars"]
         if total > most:
             break
         least = row["n"]
@@ -359,18 +359,28 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, frequent: int = FREQUENT) ->
 
 
 def decode(ids: Column, vocabulary: Vocabulary) -> Column:
-    """The text of ids; null for null.  Bytes that are no UTF-8 become U+FFFD."""
+    """The text of ids; null for null.  Bytes that are no UTF-8, and ids of no piece, become U+FFFD."""
     table = {i: p.encode() for p, i, _ in vocabulary.pieces}
     table |= {i: bytes([b]) for b, i in enumerate(vocabulary.byte_ids) if i != vocabulary.unknown}
-
-    @F.pandas_udf("string")
-    def run(column: pd.Series) -> pd.Series:
-        def one(numbers) -> str | None:
-            if numbers is None:
-                return None
-            text = b"".join([table.get(i, b"\xef\xbf\xbd") for i in numbers.tolist()]).decode("utf-8", "replace")
-            return text[1:] if text[:1] == " " else text
-
-        return pd.Series([one(x) for x in column], dtype=object)
+    size = max(table, default=-1) + 1
+    # The last entry stands for ids that are not there.
+    pieces = pa.array([table.get(i, b"\xef\xbf\xbd") for i in range(size + 1)], pa.binary())
+
+    @F.arrow_udf("string")
+    def run(column: pa.Array) -> pa.Array:
+        out = []
+        for numbers in column:
+            if not numbers.is_valid:
+                out.append(None)
+                continue
+            # A null number is an id of no piece.
+            flat = pc.fill_null(numbers.values, -1).to_numpy(zero_copy_only=False)
+            flat = np.where((flat < 0) | (flat > size), size, flat)
+            # The bytes of pieces that are taken stand one behind the other.
+            _, ends, data = pieces.take(pa.array(flat, pa.int32())).buffers()
+            last = np.frombuffer(ends, np.int32)[len(flat)]
+            text = data.to_pybytes()[:last].decode("utf-8", "replace") if last else ""
+            out.append(text.removeprefix(" "))
+        return pa.array(out, pa.string())
 
     return run(ids)
