@@ -39,11 +39,13 @@ from cabflow.llm.common import stage, text_of
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SEGMENT = r" +[^ \n]*|\n|[^ \n]+"
 #: Characters of the frequent segments that are sent to all tasks.
-FREQUENT = 6_000_000
+FREQUENT = 2_500_000
 #: Longer segments are encoded where they stand.
 MOST_CHARS = 64
 #: Characters of the segments whose lattices one batch holds (a longer document is a batch).
 BATCH_CHARS = 100_000
+#: Pieces of the texts that are filled in at once (a longer document by itself).
+BATCH_PIECES = 200_000
 #: A vocabulary of more pieces is not sent to all tasks.
 MOST_PIECES = 1_000_000
 SPELLED = -1
@@ -306,12 +308,23 @@ def _look_up(known, vocabulary: Vocabulary) -> Callable[[Iterator[pa.RecordBatch
     return run
 
 
+def _parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in parts of about ``BATCH_PIECES`` ids."""
+    total = np.cumsum(pc.list_value_length(batch.column(2)).to_numpy(zero_copy_only=False))
+    first = 0
+    while first < batch.num_rows:
+        before = total[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(total, before + BATCH_PIECES, "right")))
+        yield batch.slice(first, last - first)
+        first = last
+
+
 def _fill_in(vocabulary: Vocabulary) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The ids of each text, with those of its own segments in their places."""
     letters = Bytes(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (part for whole in batches for part in _parts(whole)):
             ids, own = batch.column(2), batch.column(3)
             flat = ids.flatten().to_numpy()
             sizes = pc.list_value_length(ids).to_numpy(zero_copy_only=False)
