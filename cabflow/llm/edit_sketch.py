@@ -2,15 +2,16 @@
 
 A text is a sequence of tokens (runs without white space, cut after 12 characters), its k-mers
 are ``k`` tokens in a row, and the i-th occurrence of a k-mer counts as an element of its own.
-The hash of (k-mer, occurrence) deals the elements to ``tuples * length`` bins; each bin keeps
-its minimal element.  ``length`` neighbouring bins form a tuple: their elements are put in the
-order in which they stand in the text and hashed together.  Two texts agree in a tuple only if
-they share its elements in the same order, so the share of equal tuples falls with the edit
-distance and not only with the overlap.  A fingerprint is one hex number per tuple, ``-``
-where no element fell into its bins.
-
-Occurrences are numbered in an array per text, which holds eight bytes a token; then elements are
-rows, which stay in the partition of their document while they are reduced.
+Each tuple orders the elements of the whole text by a hash of its own (the element's hash, hashed
+again with the number of the tuple) and takes the ``length`` least.  They are put in the order in
+which they stand in the text and hashed together.  Two texts agree in a tuple only if they share
+its elements in the same order, so the share of equal tuples falls with the edit distance and not
+only with the overlap.  A fingerprint is one hex number per tuple, ``-`` for a text without a
+token.
+
+Occurrences are numbered in an array per text, which holds eight bytes a token; then chunks of
+elements are rows, one for each tuple, which stay in the partition of their document while they
+are reduced.
 """
 
 from __future__ import annotations
@@ -26,6 +27,11 @@ from cabflow.llm.common import stage, text_of
 TOKEN = r"[^\x20\x09-\x0D]{1,12}"
 #: Bits of an element's number that hold its place in the text.
 PLACE_BITS = 28
+PLACE = (1 << PLACE_BITS) - 1
+#: Elements that one row holds; few enough for the JVM to compile the stage (methods under 8,000 bytes).
+CHUNK = 12
+#: Rows of a text and tuple that are reduced at once are two to this power.
+PART_BITS = 8
 
 
 def _kmers(tokens: Column, k: int) -> Column:
@@ -42,13 +48,17 @@ def _packed(kmers: Column) -> Column:
     return F.sort_array(F.transform(kmers, lambda h, i: F.shiftleft(h, PLACE_BITS).bitwiseOR(i.cast("bigint"))))
 
 
+def _with_place(hashed: Column, packed: Column) -> Column:
+    """The high bits of a hash over the place of a packed element."""
+    return hashed.bitwiseAND(F.lit(~PLACE)).bitwiseOR(packed.bitwiseAND(F.lit(PLACE)))
+
+
 def _numbered(ordered: Column) -> Column:
-    """A 64-bit hash and the place of every k-mer occurrence; ``ordered`` must be a plain column.
+    """A hash and the place of every k-mer occurrence, packed; ``ordered`` must be a plain column.
 
     The number of an occurrence is its distance to the first of its k-mer, found by halving
     steps, as equal k-mers before a place are an unbroken run.
     """
-    mask = (1 << PLACE_BITS) - 1
     steps = F.array(*[F.lit(1 << p) for p in range(PLACE_BITS - 1, -1, -1)])
     kmer = lambda i: F.shiftright(F.get(ordered, i), PLACE_BITS)
 
@@ -56,50 +66,73 @@ def _numbered(ordered: Column) -> Column:
         mine = F.shiftright(v, PLACE_BITS)
         farther = lambda d, p: F.when((i >= d + p) & (kmer(i - d - p) == mine), d + p).otherwise(d)
         before = F.when((i > 0) & (kmer(i - 1) == mine), F.aggregate(steps, F.lit(0), farther)).otherwise(F.lit(0))
-        return F.struct(F.xxhash64(mine, before).alias("h"), v.bitwiseAND(F.lit(mask)).alias("at"))
+        return _with_place(F.xxhash64(mine, before), v)
 
     return F.transform(ordered, element)
 
 
+def _number(members: Column) -> Column:
+    """One number for packed elements, hashed in the order of their places."""
+    element = lambda m: F.struct(m.bitwiseAND(F.lit(PLACE)).alias("at"), F.shiftright(m, PLACE_BITS).alias("high"))
+    in_text = F.sort_array(F.transform(members, element))
+    return F.pmod(F.xxhash64(F.transform(in_text, lambda e: e["high"])), F.lit(1 << 32))
+
+
+def _least(chunks: DataFrame, keys: Sequence[str], length: int) -> tuple[DataFrame, list[str]]:
+    """The least elements of each slot and part of a text, as columns.
+
+    The two least of a text are the two least of one chunk, or stand in chunks whose numbers
+    differ in a bit: then they are the minima of the chunks with and without that bit.  Plain
+    minima thus give both, and any other pair that they give is greater.
+    """
+    names = [f"m{j}" for j in range(length)]
+    hashed = lambda v: F.when(v.isNotNull(), _with_place(F.xxhash64(F.shiftright(v, PLACE_BITS), "slot"), v))
+    mixed = [f"x{i}" for i in range(CHUNK)]
+    rows = chunks.select(*keys, "slot", "number", *[hashed(F.get("chunk", F.lit(i))).alias(x) for i, x in enumerate(mixed)])
+    for j, name in enumerate(names):
+        left = [F.col(x) if j == 0 else F.when(F.col(x) > F.col(names[j - 1]), F.col(x)) for x in mixed]
+        rows = rows.select("*", F.least(*left).alias(name))
+    bits = range(PART_BITS if length == 2 else 0)
+    part = F.shiftright("number", len(bits)).alias("part")
+    rows = rows.select(*keys, "slot", part, "number", *names)
+    has = lambda b: F.col("number").bitwiseAND(F.lit(1 << b)) != 0
+    split = [F.min(F.when(has(b) == bool(v), F.col(names[0]))).alias(f"b{b}_{v}") for b in bits for v in (0, 1)]
+    found = rows.groupBy(*keys, "slot", "part").agg(*[F.min(m).alias(m) for m in names], *split)
+    if bits:
+        pair = lambda x, y: F.when(x.isNotNull() & y.isNotNull(), F.greatest(x, y))
+        pairs = [pair(F.col(f"b{b}_0"), F.col(f"b{b}_1")) for b in bits]
+        found = found.withColumn(names[1], F.least(names[1], *pairs))
+    return found.select(*keys, "slot", "part", *names), names
+
+
 def sketches(texts: DataFrame, keys: Sequence[str], k: int = 3, tuples: int = 64, length: int = 2) -> DataFrame:
-    """``keys`` and ``sketch`` (array of numbers below 2 ** 32, null for an empty tuple) of every
-    text with a token.
+    """``keys`` and ``sketch`` (array of numbers below 2 ** 32) of every text with a token.
 
     ``texts`` has ``keys`` (unique) and ``text`` and is partitioned by one or more of the keys,
-    which keeps all steps without a shuffle.
+    which keeps all steps without a shuffle.  A text with fewer than ``length`` elements takes
+    all of them into each tuple.
     """
     tokens = F.regexp_extract_all(text_of(), F.lit(TOKEN), F.lit(0))
     split = texts.select(*keys, tokens.alias("tokens"))
     split = split.select(*keys, _packed(_kmers(F.col("tokens"), k)).alias("ordered"))
-    elements = split.select(*keys, F.explode(_numbered(F.col("ordered"))).alias("e")).select(*keys, "e.h", "e.at")
-    # The bin comes from the low bits, the order within it from the high bits; the place rides
-    # below them, so that one minimum finds both.
-    bin_ = F.pmod("h", F.lit(tuples * length)).cast("int")
-    high = F.shiftrightunsigned(F.col("h"), PLACE_BITS + 1)
-    packed = F.shiftleft(high, PLACE_BITS).bitwiseOR(F.col("at"))
-    members = [f"m{j}" for j in range(length)]
-    least = (
-        elements.select(
-            *keys,
-            F.floor(bin_ / length).cast("int").alias("slot"),
-            (bin_ % length).alias("member"),
-            packed.alias("packed"),
-        )
-        .groupBy(*keys, "slot")
-        .agg(*[F.min(F.when(F.col("member") == j, F.col("packed"))).alias(m) for j, m in enumerate(members)])
-    )
-    place = lambda m: F.col(m).bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
-    element = lambda j, m: F.when(
-        F.col(m).isNotNull(),
-        F.struct(place(m).alias("at"), F.lit(j).alias("member"), F.shiftrightunsigned(m, PLACE_BITS).alias("high")),
-    )
-    in_text = F.array_sort(F.array(*[element(j, m) for j, m in enumerate(members)]))
-    in_order = F.transform(in_text, lambda e: F.struct(e["member"], e["high"]))
-    number = F.pmod(F.xxhash64(in_order), F.lit(1 << 32))
-    entries = F.collect_list(F.struct("slot", number.alias("number")))
-    found = least.groupBy(*keys).agg(F.map_from_entries(entries).alias("by_slot"))
-    slots = F.transform(F.sequence(F.lit(0), F.lit(tuples - 1)), lambda i: F.try_element_at("by_slot", i))
-    return found.select(*keys, slots.alias("sketch"))
+    split = split.select(*keys, _numbered(F.col("ordered")).alias("elements"))
+    last = F.floor((F.size("elements") - 1) / CHUNK).cast("int")
+    starts = F.when(F.size("elements") > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    cut = F.transform(starts, lambda c: F.slice("elements", c * CHUNK + 1, CHUNK))
+    # Not a column of its own: for one, the optimizer would add a filter that computes all of it again.
+    chunks = split.select(*keys, F.posexplode(cut).alias("number", "chunk"))
+    chunks = chunks.select("*", F.explode(F.sequence(F.lit(0), F.lit(tuples - 1))).alias("slot"))
+    least, names = _least(chunks, keys, length)
+    members = F.array_compact(F.array(*names))
+    entry = F.struct("slot", "part", members.alias("members"), _number(members).alias("number"))
+    found = least.groupBy(*keys).agg(F.collect_list(entry).alias("entries"))
+    # Only texts of several parts have their parts put together.
+    slots = F.sequence(F.lit(0), F.lit(tuples - 1))
+    mine = lambda i: F.flatten(F.transform(F.filter("entries", lambda e: e["slot"] == i), lambda e: e["members"]))
+    merged = F.transform(slots, lambda i: _number(F.slice(F.sort_array(mine(i)), 1, length)))
+    ordered = F.transform(F.array_sort(F.transform("entries", lambda e: F.struct(e["slot"], e["number"]))), lambda e: e["number"])
+    sketch = F.when(F.size("entries") == tuples, ordered).otherwise(merged)
+    return found.select(*keys, sketch.alias("sketch"))
 
 
 def fingerprint(sketch: Column) -> Column:

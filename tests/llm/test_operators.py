@@ -124,6 +124,50 @@ def test_op1_is_sensitive_to_order_and_to_counts(spark):
     assert like("c", "d") < 0.5
 
 
+def _sketches(spark, texts: dict, **options) -> dict:
+    df = spark.createDataFrame(list(texts.items()), "k string, text string").repartition("k")
+    return {r["k"]: r["sketch"] for r in edit_sketch.sketches(df, ["k"], **options).collect()}
+
+
+@pytest.mark.parametrize("n", [20, 60, 100])
+def test_op1_swapped_halves_of_short_texts(spark, n):
+    import random
+
+    random.seed(n)
+    texts, want = {}, 0.0
+    for r in range(40):
+        w = [f"r{r}w{i}" for i in range(n)]
+        texts[f"{r}a"], texts[f"{r}b"] = " ".join(w), " ".join(w[n // 2 :] + w[: n // 2])
+        # Order MinHash itself, with drawn numbers for the hashes of a tuple.
+        a = [tuple(w[i : i + 3]) for i in range(n - 2)]
+        v = w[n // 2 :] + w[: n // 2]
+        b = [tuple(v[i : i + 3]) for i in range(n - 2)]
+        for _ in range(64):
+            draw = {e: random.random() for e in {*a, *b}}
+            least = [sorted(sorted(x, key=draw.get)[:2], key=x.index) for x in (a, b)]
+            want += (least[0] == least[1]) / 40 / 64
+    got = _sketches(spark, texts)
+    assert all(None not in s and len(s) == 64 for s in got.values())
+    same = sum(x == y for r in range(40) for x, y in zip(got[f"{r}a"], got[f"{r}b"])) / 40 / 64
+    assert same == pytest.approx(want, abs=0.06)
+
+
+@pytest.mark.parametrize("bits", [0, 2, 8])
+def test_op1_takes_the_least_of_the_whole_text(spark, monkeypatch, bits):
+    texts = {str(n): " ".join(f"w{i * i % 97}" for i in range(n)) for n in (1, 3, 4, 5, 34, 35, 100, 1000)}
+    elements = spark.createDataFrame(list(texts.items()), "k string, text string")
+    tokens = F.regexp_extract_all("text", F.lit(edit_sketch.TOKEN), F.lit(0))
+    elements = elements.select("k", edit_sketch._packed(edit_sketch._kmers(tokens, 3)).alias("ordered"))
+    elements = elements.select("k", F.explode(edit_sketch._numbered(F.col("ordered"))).alias("e"))
+    elements = elements.crossJoin(spark.range(64).select(F.col("id").cast("int").alias("slot")))
+    mixed = edit_sketch._with_place(F.xxhash64(F.shiftright("e", edit_sketch.PLACE_BITS), "slot"), F.col("e"))
+    want = elements.groupBy("k", "slot").agg(F.slice(F.sort_array(F.collect_list(mixed)), 1, 2).alias("m"))
+    want = {(r["k"], r["slot"]): r["n"] for r in want.select("k", "slot", edit_sketch._number(F.col("m")).alias("n")).collect()}
+    monkeypatch.setattr(edit_sketch, "PART_BITS", bits)
+    got = _sketches(spark, texts)
+    assert {(k, i): v for k, s in got.items() for i, v in enumerate(s)} == want
+
+
 def test_op2_learns_words_and_points_at_the_sentence(spark):
     calm = "the river is calm and wide. we walk along it for hours. birds sing in trees"
     rows = [(f"{calm} number {i} of many. " + (f"what an idiot number {i} is. " if i % 4 == 0 else ""), int(i % 4 == 0)) for i in range(120)]
