@@ -147,11 +147,9 @@ def scan(text: Column, allowed: Sequence[str] = ALLOWED) -> Column:
         F.contains(text, F.lit("AKIA")), _runs(text, ACCESS, "access", lambda m: F.length(m) >= 20)
     ).otherwise(none)
     hexes = F.when(text.rlike(HEX), _runs(text, HEX, "hex")).otherwise(none)
-    # A digit inside a long run tells candidates from long words.
-    telling = r"[A-Za-z+/_-][0-9][A-Za-z0-9+/_-]|[0-9][A-Za-z+/_-]"
+    # Whether a run has a digit and a letter is left to is_random, whatever stands around it.
     candidates = F.when(
-        text.rlike(telling) & text.rlike(CANDIDATE),
-        _runs(text, CANDIDATE, "entropy", lambda m: is_random(m, allowed=allowed)),
+        text.rlike(CANDIDATE), _runs(text, CANDIDATE, "entropy", lambda m: is_random(m, allowed=allowed))
     ).otherwise(none)
     base = F.concat(assign, access, hexes)
     return F.struct(base.alias("base"), candidates.alias("candidates"))

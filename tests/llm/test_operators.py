@@ -353,6 +353,20 @@ def test_op8_entropy_and_redaction(spark):
     assert found.select(secret_scan.redact(F.col("text"), F.col("s"))).first()[0] == "[SECRET] and [SECRET]'"
 
 
+def _found(spark, text: str) -> tuple[list[tuple[str, str]], str]:
+    """Kinds and strings of the spans of a text, and the text redacted."""
+    df = spark.createDataFrame([(text,)], "text string").select("text", secret_scan.scan(F.col("text")).alias("f"))
+    df = df.select("text", secret_scan.all_spans(F.col("f.base"), F.col("f.candidates")).alias("s"))
+    spans, redacted = df.select("s", secret_scan.redact(F.col("text"), F.col("s"))).first()
+    return [(s["kind"], text[s["start"] : s["end"]]) for s in spans], redacted
+
+
+@pytest.mark.parametrize("around", ["the key {} of it", "{}", "the key {} of a1b"])
+def test_op8_only_digit_at_the_end(spark, around):
+    key = "QwErTyUiOpAsDfGhJkLzXcVbN7"
+    assert _found(spark, around.format(key)) == ([("entropy", key)], around.format("[SECRET]"))
+
+
 def _deduplicated(texts: dict[int, str], n: int) -> dict[int, tuple[int, int, str]]:
     first, result = {}, {}
     split = {i: WORD.findall(t) for i, t in sorted(texts.items())}
