@@ -130,10 +130,9 @@ def is_random(string: Column, thresholds: dict[str, float] = THRESHOLDS, allowed
 
 
 def scan(text: Column, allowed: Sequence[str] = ALLOWED) -> Column:
-    """All spans of a text, by start and then in the order of ``KINDS``.
+    """The spans of a text by pattern (``base``) and by entropy (``candidates``).
 
-    Null and empty texts have none.  An entropy span that overlaps a pattern's span is left
-    out, as it says nothing new.
+    Null and empty texts have none.
     """
     text = F.coalesce(text, F.lit(""))
     none = F.array().cast(SPANS)
@@ -164,9 +163,14 @@ def ordered(spans: Column) -> Column:
 
 
 def all_spans(base: Column, candidates: Column) -> Column:
-    """The base spans and those candidates that overlap none of them."""
-    clear = lambda c: ~F.exists(base, lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"]))
-    return ordered(F.concat(base, F.filter(candidates, clear)))
+    """The base spans and those candidates that they do not cover, together, from end to end."""
+    by_start = ordered(base)
+
+    def covered(c: Column) -> Column:
+        farther = lambda at, b: F.when((b["start"] <= at) & (b["end"] > at), b["end"]).otherwise(at)
+        return F.aggregate(by_start, c["start"], farther) >= c["end"]
+
+    return ordered(F.concat(base, F.filter(candidates, lambda c: ~covered(c))))
 
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
