@@ -1,4 +1,4 @@
-"""Row numbers within a key."""
+"""Running numbers and sums within a key."""
 
 from __future__ import annotations
 
@@ -9,63 +9,70 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cabflow.operators.picking import ColumnLike, _col
+from cabflow.sinks.writers import staged
 
 
-def batch_number(
+PART, GROUP = "_part", "_group"
+
+
+def _in_parts(df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike]) -> DataFrame:
+    """The rows dealt into ranges of (keys, order), written with the number of their range.
+
+    The keys stand in one struct, inside which missing values compare equal.  Written, because
+    the bounds of the ranges are drawn anew whenever a plan is run again.
+    """
+    spark = df.sparkSession
+    rows = df.withColumn(GROUP, F.struct(F.lit(0).alias("_"), *[F.col(k) for k in keys]))
+    ranges = rows.repartitionByRange(GROUP, *[_col(c) for c in order])
+    return staged(spark, ranges.withColumn(PART, F.spark_partition_id()), "parts")
+
+
+def running_total(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[ColumnLike],
     out: str,
+    value: ColumnLike | None = None,
     tiebreak: Sequence[ColumnLike] = (),
-    slices: Sequence[ColumnLike] | None = None,
-    counted: DataFrame | None = None,
-) -> DataFrame:
-    """Running number of each row within its key.
-
-    A key may hold far more rows than one task can sort, so the number is put together
-    from two parts.  ``slices`` are columns that grow with the order (by default its
-    first column).  Rows are counted per key and slice, which the map side combines; the
-    running sum of those counts is where a slice starts.  Only the rows of one slice are
-    then sorted together.  ``counted`` may give the same rows with fewer columns, if those
-    are cheaper to count.
-    """
-    if slices is None:
-        slices = [order[0]]
-    names = [f"_slice{i}" for i in range(len(slices))]
-    parts = [F.col(k) for k in keys] + [_col(c).alias(n) for n, c in zip(names, slices)]
-    # One struct as the group: missing values compare equal inside it, and the join and
-    # the window below share its partitioning, so the rows are shuffled once.
-    group = F.struct(*parts)
-    sliced = df.withColumn("_group", group)
-
-    before = (
-        W.partitionBy(*[f"_group.`{k}`" for k in keys])
-        .orderBy(*[f"_group.`{n}`" for n in names])
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
-    starts = (
-        (sliced if counted is None else counted.withColumn("_group", group))
-        .groupBy("_group")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-        .drop("_rows")
-    )
-    within = W.partitionBy("_group").orderBy(*[_col(c) for c in [*order, *tiebreak]])
-    number = (F.col("_start") + F.row_number().over(within)).cast("bigint")
-    # A merge join keeps the partitioning that the window needs.
-    return sliced.join(starts.hint("merge"), "_group").withColumn(out, number).select(*df.columns, out)
-
-
-def number_groups(
-    df: DataFrame, keys: Sequence[str], order: Sequence[ColumnLike], out: str
 ) -> DataFrame:
-    """Running number over rows that an aggregate has already made few per key.
+    """Running sum of ``value`` (by default of ones) within each key, this row included.
 
-    Only for groups of a known bound, such as rounds and batches, which are one-byte
-    numbers and so give at most 65,536 rows per order.
+    A key may hold far more rows than one task can sort, so the sum is put together on two
+    levels.  Rows are dealt into ranges of key and order; within a range they are summed in
+    order.  A key that goes on from one range into the next is the last of the one and the first
+    of the other, so there are fewer such keys than ranges: their sums per range, again summed in
+    order, are where each range starts.  No keys at all is one key.  Rows that are equal in keys,
+    order and tiebreak may take each other's place; those are never torn apart, so ``order`` and
+    ``tiebreak`` should tell the rows of a hot key apart.  Missing values are zero.
     """
-    window = W.partitionBy(*keys).orderBy(*[_col(c) for c in order])
-    return df.withColumn(out, F.row_number().over(window))
+    order = [*order, *tiebreak]
+    rows = _in_parts(df, keys, order)
+    amount = F.lit(1).cast("bigint") if value is None else F.coalesce(_col(value), F.lit(0))
+    ends = rows.groupBy(PART).agg(F.min(GROUP).alias("first"), F.max(GROUP).alias("last"))
+    ends = ends.select(PART, F.explode(F.array_distinct(F.array("first", "last"))).alias(GROUP))
+    torn = ends.groupBy(GROUP).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(GROUP)
+    sums = rows.join(torn, GROUP, "left_semi").groupBy(GROUP, PART).agg(F.sum(amount).alias("_sum"))
+    # One row for each range that a torn key lies in.
+    before = W.partitionBy(GROUP).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.select(GROUP, PART, F.sum("_sum").over(before).alias("_start"))
+    within = W.partitionBy(GROUP, PART).orderBy(*[_col(c) for c in order])
+    if value is None:
+        local = F.row_number().over(within).cast("bigint")
+    else:
+        local = F.sum(amount).over(within.rowsBetween(W.unboundedPreceding, W.currentRow))
+    joined = rows.join(starts, [GROUP, PART], "left")
+    return joined.withColumn(out, F.coalesce("_start", F.lit(0)) + local).select(*df.columns, out)
+
+
+def batch_number(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[ColumnLike],
+    out: str,
+    tiebreak: Sequence[ColumnLike] = (),
+) -> DataFrame:
+    """Running number of each row within its key, from 1 (see :func:`running_total`)."""
+    return running_total(df, keys, order, out, tiebreak=tiebreak)
 
 
 def top_k_per_key(

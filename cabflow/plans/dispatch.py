@@ -12,7 +12,7 @@ from cabflow.functions.times import LOCAL_ZONE, effective_time, to_epoch
 from cabflow.operators.aggregates import SPREADS, batch_stats, round_total_columns
 from cabflow.operators.filters import of_city, of_days
 from cabflow.operators.joins import left_join
-from cabflow.operators.numbering import batch_number, number_groups
+from cabflow.operators.numbering import batch_number
 from cabflow.operators.picking import Snapshot, snapshots
 from cabflow.operators.shaping import with_json
 
@@ -89,45 +89,17 @@ def dispatch_rounds(
     )
 
 
-def round_positions(
-    info: DataFrame,
-    dates: Sequence[str] | None = None,
-    city: str | None = None,
-    tz: str = LOCAL_ZONE,
-) -> DataFrame:
-    """Where each round is, for counting; reads no JSON that it does not need."""
-    rows = of_days(info, dates)
-    if city is not None:
-        rows = rows.select(KEY, "round", "batch", "datetime", "template_snapshot")
-        rows = of_city(with_json(rows, F.col("template_snapshot"), {"city": "city"}), city)
-    logged = to_epoch(F.col("datetime"), tz=tz).alias("datetime")
-    return rows.select(KEY, "round", "batch", logged)
-
-
-def numbered_rounds(rounds: DataFrame, positions: DataFrame | None = None) -> DataFrame:
-    """Running batch number per order.
-
-    Rows are cut by round, batch and minute of the log, so that an id shared by a large
-    part of the log is not sorted in one task.
-    """
+def numbered_rounds(rounds: DataFrame) -> DataFrame:
+    """Running batch number per order; the whole row decides between equal positions."""
     rest = [c for c in rounds.columns if c not in POSITION]
-    minute = F.floor(F.col("datetime") / 60)
-    return batch_number(
-        rounds,
-        [KEY],
-        ["round", "batch", "datetime"],
-        "acc_batch",
-        tiebreak=rest,
-        slices=["round", "batch", minute],
-        counted=positions,
-    )
+    return batch_number(rounds, [KEY], POSITION[1:], "acc_batch", tiebreak=rest)
 
 
 def _prefixed(prefix: str, columns: Sequence[str]) -> dict[str, str]:
     return {f"{prefix}_{c}": c for c in columns}
 
 
-def dispatch_summary(rounds: DataFrame, positions: DataFrame | None = None) -> DataFrame:
+def dispatch_summary(rounds: DataFrame) -> DataFrame:
     """Last state, totals, first accept, first decision and end of each order's dispatch.
 
     All five come from one aggregate; ``sum_batch`` is the number of the batch that holds
@@ -190,7 +162,7 @@ def dispatch_summary(rounds: DataFrame, positions: DataFrame | None = None) -> D
         newest=True,
     )
     return snapshots(
-        numbered_rounds(rounds, positions),
+        numbered_rounds(rounds),
         [KEY],
         [latest, first_accept, first_decision, final],
         totals=round_total_columns(),
@@ -204,9 +176,7 @@ def dispatch_info_extract(
     city: str | None = None,
     tz: str = LOCAL_ZONE,
 ) -> DataFrame:
-    return dispatch_summary(
-        dispatch_rounds(info, dates, city, tz), round_positions(info, dates, city, tz)
-    )
+    return dispatch_summary(dispatch_rounds(info, dates, city, tz))
 
 
 # -- candidate drivers ---------------------------------------------------------
@@ -240,8 +210,9 @@ def dispatch_candidates(
 
 
 def numbered_batches(detail: DataFrame) -> DataFrame:
-    """One row per batch with its running number; rounds and batches are one-byte numbers."""
-    return number_groups(batch_stats(detail), [KEY], ["round", "batch"], "acc_batch")
+    """One row per batch with its running number."""
+    numbered = batch_number(batch_stats(detail), [KEY], ["round", "batch"], "acc_batch")
+    return numbered.withColumn("acc_batch", F.col("acc_batch").cast("int"))
 
 
 _MEASURES = (

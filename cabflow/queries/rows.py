@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from cabflow.functions.times import day_bounds
 from cabflow.operators import filters
 from cabflow.operators.joins import semi, union_all
-from cabflow.operators.numbering import batch_number, number_groups, top_k_per_key
+from cabflow.operators.numbering import batch_number, top_k_per_key
 from cabflow.operators.picking import (
     any_per_key,
     compact_changes,
@@ -402,7 +402,6 @@ def w1(t: Tables):
         ["l_linenumber", "l_shipdate"],
         "acc_batch",
         tiebreak=_TIES[1:],
-        slices=["l_linenumber", F.trunc("l_shipdate", "month")],
     )
     return numbered.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "acc_batch")
 
@@ -418,7 +417,7 @@ def w1(t: Tables):
     """,
 )
 def w1_hot(t: Tables):
-    """Two keys over the whole table, numbered in slices of a hundred parts."""
+    """Two keys over the whole table; each goes over many ranges."""
     rows = t.lineitem.select(
         "l_linestatus", "l_partkey", "l_suppkey", "l_orderkey", "l_linenumber", "l_shipdate",
         "l_extendedprice",
@@ -429,7 +428,6 @@ def w1_hot(t: Tables):
         ["l_partkey", "l_suppkey"],
         "acc_batch",
         tiebreak=["l_orderkey", "l_linenumber", "l_shipdate", "l_extendedprice"],
-        slices=[F.floor(F.col("l_partkey") / 100)],
     )
     return numbered.drop("l_shipdate", "l_extendedprice")
 
@@ -447,7 +445,8 @@ def w2(t: Tables):
     grouped = t.lineitem.groupBy("l_orderkey", "l_linenumber").agg(
         F.count(F.lit(1)).alias("drivers")
     )
-    return number_groups(grouped, ["l_orderkey"], ["l_linenumber"], "acc_batch")
+    numbered = batch_number(grouped, ["l_orderkey"], ["l_linenumber"], "acc_batch")
+    return numbered.withColumn("acc_batch", F.col("acc_batch").cast("int"))
 
 
 @query(

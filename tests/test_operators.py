@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from cabflow.operators import aggregates, filters
 from cabflow.operators.joins import left_join, semi, union_all, upsert, with_group_stats
-from cabflow.operators.numbering import batch_number, top_k_per_key
+from cabflow.operators.numbering import batch_number, running_total, top_k_per_key
 from cabflow.operators.picking import (
     any_per_key,
     compact_changes,
@@ -75,21 +76,54 @@ def test_change_log(spark):
     assert tuples(compact_changes(df, "id", "t", "op")) == [(1, 2, "UPDATE")]
 
 
-@pytest.mark.parametrize("slices", [None, ["a"], ["a", "b"]])
-def test_batch_number_is_row_number(spark, slices):
+@pytest.fixture
+def many_parts(spark):
+    """Small ranges are not put together."""
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "23"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def _hot_rows():
     rng = random.Random(5)
     # A third of the rows has one key, and one key is missing.
-    data = [
+    return [
         (7 if i % 3 == 0 else rng.choice([1, 2, None]), rng.randrange(6), rng.randrange(9), i)
         for i in range(4000)
     ]
+
+
+def test_batch_number_is_row_number_over_many_parts(spark, many_parts):
+    data = _hot_rows()
     df = spark.createDataFrame(data, "k int, a int, b int, v int").repartition(5)
-    got = batch_number(df, ["k"], ["a", "b"], "n", tiebreak=["v"], slices=slices)
+    got = batch_number(df, ["k"], ["a", "b"], "n", tiebreak=["v"])
     want, seen = {}, {}
     for k, a, b, v in sorted(data, key=lambda r: (str(r[0]), r[1], r[2], r[3])):
         seen[k] = seen.get(k, 0) + 1
         want[v] = seen[k]
     assert {r.v: r.n for r in got.collect()} == want
+    # No window holds a key as a whole, but for the sums per part.
+    windows = re.findall(r"Window \[(.*)", got._jdf.queryExecution().optimizedPlan().toString())
+    assert len(windows) == 2
+    assert sum("_part" in w.split("row_number")[-1] for w in windows if "row_number" in w) == 1
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_running_total_goes_on_over_parts(spark, many_parts, keys):
+    data = [(k, a, -v if v % 2 else None, v) for k, a, _, v in _hot_rows()]
+    df = spark.createDataFrame(data, "k int, a int, w int, v int").repartition(3)
+    got = running_total(df, keys, [F.desc("a")], "n", value="w", tiebreak=["v"])
+    want, seen = {}, {}
+    for k, a, w, v in sorted(data, key=lambda r: (-r[1], r[3])):
+        key = k if keys else 0
+        seen[key] = seen.get(key, 0) + (w or 0)
+        want[v] = seen[key]
+    assert {r.v: r.n for r in got.collect()} == want
+    assert running_total(df.limit(0), keys, ["a"], "n").count() == 0
 
 
 def test_top_k_is_cut_before_the_shuffle(spark):
