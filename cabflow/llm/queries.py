@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow.llm import (
+    clustering,
     decontamination,
     edit_sketch,
     jaccard_join,
     language,
+    mixing,
     personal_data,
     pieces,
     secret_scan,
@@ -127,6 +129,16 @@ def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    found = clustering.cluster(table(spark, folder, "embeddings"), dimensions=64, k=8, rounds=10)
+    return found.drop("computed")
+
+
+def op13_systematic_mix(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, folder, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
 def queries() -> dict[str, Build]:
     found = (
         op1_order_minhash,
@@ -139,6 +151,8 @@ def queries() -> dict[str, Build]:
         op8_secrets,
         op9_suffix_dedup,
         op10_pieces,
+        op12_centroids,
+        op13_systematic_mix,
     )
     return {f.__name__: f for f in found}
 

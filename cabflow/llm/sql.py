@@ -52,4 +52,41 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(kept.n, 0))::BI
 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
 """
 
-SQL: dict[str, str] = {"op4_jaccard_join": OP4, "op9_suffix_dedup": OP9}
+_KMEANS_START = """
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64
+), dims AS MATERIALIZED (
+  SELECT vec_id, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM kept
+), c0 AS MATERIALIZED (
+  SELECT n, unnest(v) AS x, generate_subscripts(v, 1) AS d
+  FROM (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS n, v FROM kept QUALIFY n < 8)
+)"""
+
+_KMEANS_ASSIGN = """, a{i} AS MATERIALIZED (
+  SELECT vec_id, arg_min(n, (distance, n)) AS n, min(distance) AS distance
+  FROM (SELECT vec_id, n, sum((dims.x - c.x) * (dims.x - c.x)) AS distance FROM dims JOIN c{i} c USING (d) GROUP BY ALL)
+  GROUP BY vec_id
+)"""
+
+_KMEANS_MOVE = """, c{j} AS MATERIALIZED (
+  SELECT c.n, c.d, coalesce(m.x, c.x) AS x FROM c{i} c LEFT JOIN (
+    SELECT n, d, ((s - ((s % k) + k) % k) // k)::BIGINT AS x
+    FROM (SELECT n, d, sum(x) AS s, count(*) AS k FROM a{i} JOIN dims USING (vec_id) GROUP BY ALL)
+  ) m ON m.n = c.n AND m.d = c.d
+)"""
+
+_KMEANS_END = """
+SELECT vec_id, n::INTEGER AS cluster, distance::BIGINT AS distance, (sum(distance) OVER (PARTITION BY n))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha AS centroid_sha256
+FROM a{i} JOIN (SELECT n, sha256(string_agg(x::VARCHAR, ',' ORDER BY d)) AS sha FROM c{i} GROUP BY n) USING (n)
+"""
+
+
+def kmeans(rounds: int) -> str:
+    """All distances of every round, one relation after the other."""
+    steps = [_KMEANS_ASSIGN.format(i=i) + _KMEANS_MOVE.format(i=i, j=i + 1) for i in range(rounds)]
+    return _KMEANS_START + "".join(steps) + _KMEANS_ASSIGN.format(i=rounds) + _KMEANS_END.format(i=rounds)
+
+
+SQL: dict[str, str] = {"op4_jaccard_join": OP4, "op9_suffix_dedup": OP9, "op12_centroids": kmeans(10)}
