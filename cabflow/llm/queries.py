@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cabflow.llm import (
     clustering,
+    collocations,
     decontamination,
     edit_sketch,
     jaccard_join,
@@ -129,6 +130,11 @@ def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    found = collocations.phrases(table(spark, folder, "documents"), longest=3, least=10, percent=50)
+    return collocations.report(found, top=2000)
+
+
 def op12_centroids(spark: SparkSession, folder: str) -> DataFrame:
     found = clustering.cluster(table(spark, folder, "embeddings"), dimensions=64, k=8, rounds=10)
     return found.drop("computed")
@@ -151,6 +157,7 @@ def queries() -> dict[str, Build]:
         op8_secrets,
         op9_suffix_dedup,
         op10_pieces,
+        op11_collocations,
         op12_centroids,
         op13_systematic_mix,
     )

@@ -52,6 +52,41 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(kept.n, 0))::BI
 FROM w LEFT JOIN kept ON kept.doc_id = w.doc_id
 """
 
+#: All phrases of up to three words, counted as text; HUGEINT for the products.
+OP11 = r"""
+WITH pieces AS MATERIALIZED (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS MATERIALIZED (
+  SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM pieces
+), grams AS MATERIALIZED (
+  SELECT lang, size, phrase, count(*) AS f FROM (
+    SELECT lang, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: array_to_string(ws[i:i+size-1], ' '))) AS phrase
+    FROM w, (VALUES (1), (2), (3)) sizes(size)
+  ) GROUP BY ALL
+), totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE size = 1 GROUP BY lang),
+often AS MATERIALIZED (SELECT *, string_split(phrase, ' ') AS ws FROM grams WHERE f >= 10),
+cuts AS (
+  SELECT o.lang, o.size, o.phrase, o.f AS a, k, x.f AS l, y.f AS r, (1000000::HUGEINT * o.f * o.f) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM often WHERE size > 1) o
+  JOIN often x ON x.lang = o.lang AND x.size = k AND x.phrase = array_to_string(o.ws[1:k], ' ')
+  JOIN often y ON y.lang = o.lang AND y.size = o.size - k AND y.phrase = array_to_string(o.ws[k+1:], ' ')
+), best AS (
+  SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase, size ORDER BY score, k) = 1
+), longer AS (
+  SELECT lang, inner_phrase, max(f) AS f FROM (
+    SELECT lang, f, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS inner_phrase FROM often WHERE size = 3
+  ) GROUP BY ALL
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN longer ON longer.lang = b.lang AND longer.inner_phrase = b.phrase AND b.size = 2
+  WHERE longer.f IS NULL OR 100 * longer.f < 50 * b.a
+)
+SELECT kept.lang, row_number() OVER (PARTITION BY kept.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM kept JOIN totals USING (lang) QUALIFY rank <= 2000
+"""
+
 _KMEANS_START = """
 WITH kept AS MATERIALIZED (
   SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v FROM embeddings
@@ -89,4 +124,4 @@ def kmeans(rounds: int) -> str:
     return _KMEANS_START + "".join(steps) + _KMEANS_ASSIGN.format(i=rounds) + _KMEANS_END.format(i=rounds)
 
 
-SQL: dict[str, str] = {"op4_jaccard_join": OP4, "op9_suffix_dedup": OP9, "op12_centroids": kmeans(10)}
+SQL: dict[str, str] = {"op4_jaccard_join": OP4, "op9_suffix_dedup": OP9, "op11_collocations": OP11, "op12_centroids": kmeans(10)}
