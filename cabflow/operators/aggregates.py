@@ -315,6 +315,24 @@ def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+class RowCounts:
+    """Row counts of several frames of one plan, filled in by the action that runs it.
+
+    No frame is computed a second time to be counted.
+    """
+
+    def __init__(self) -> None:
+        self._observations: dict[str, Observation] = {}
+
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        df, self._observations[name] = observed(df, name)
+        return df
+
+    def rows(self) -> dict[str, int]:
+        """Waits for the action; a part that it could leave out altogether had no rows."""
+        return {name: found.get.get("rows", 0) for name, found in self._observations.items()}
+
+
 def counts_by(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"))
 

@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cabflow.functions.times import LOCAL_ZONE
+from cabflow.operators.aggregates import RowCounts
 from cabflow.plans.dispatch import dispatch_candidates, dispatch_info_extract, dispatch_merged
 from cabflow.plans.orders import order_base
 from cabflow.plans.pricing import pricing
 from cabflow.plans.profile import staged_profile
 from cabflow.plans.training import merged_order, training_table
-from cabflow.sinks.writers import write_overwrite, write_table
-from cabflow.sources.tables import merged_path, read_days
+from cabflow.schemas import ods_schema
+from cabflow.sinks.writers import staged, write_overwrite, write_table
+from cabflow.sources.tables import merged_path, read_days, read_ods
 
 TABLES = (
     "service_order",
@@ -26,8 +29,23 @@ TABLES = (
 )
 
 
-def ods_tables(spark: SparkSession, ods: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{ods}/{name}") for name in TABLES}
+#: What is counted on the way, in the order in which it is made.
+COUNTED = ("orders", "dispatch", "candidates", "pricing", "merged")
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """Where a day's merged orders are, and how many rows each step had."""
+
+    path: str
+    rows: dict[str, int]
+
+
+def ods_tables(
+    spark: SparkSession, ods: str, dates: Sequence[str] | None, names: Sequence[str] = TABLES
+) -> dict[str, DataFrame]:
+    """Some days of the tables, in their declared columns; other days are not touched."""
+    return {name: read_ods(spark, f"{ods}/{name}", dates, schema=ods_schema(name)) for name in names}
 
 
 def merge_tables(
@@ -35,13 +53,25 @@ def merge_tables(
     dates: Sequence[str] | None = None,
     city: str | None = None,
     tz: str = LOCAL_ZONE,
+    counts: RowCounts | None = None,
 ) -> DataFrame:
-    """Merged orders as one plan; nothing is written between the extracts."""
+    """Merged orders as one plan; ``counts`` gets the rows of each step (:data:`COUNTED`).
+
+    A merge join stops reading its right side at the last row of its left one.  So that no row is
+    left out of the counts, what stands on the right is then written before it is joined.
+    """
+    if counts is None:
+        watch = written = lambda _, df: df
+    else:
+        watch = counts.watch
+        written = lambda name, df: staged(df.sparkSession, watch(name, df), name)
     orders = order_base(tables["service_order"], tables["service_order_ext"], dates, city, tz)
-    summary = dispatch_info_extract(tables["dispatch_info"], dates, city, tz)
+    orders = watch("orders", orders)
+    summary = watch("dispatch", dispatch_info_extract(tables["dispatch_info"], dates, city, tz))
     dispatch = dispatch_merged(
         summary, dispatch_candidates(tables["dispatch_detail"], dates, city, tz)
     )
+    dispatch = written("candidates", dispatch)
     prices = pricing(
         tables["pre_dispatch"],
         tables["system_dispatch"],
@@ -51,16 +81,17 @@ def merge_tables(
         city,
         tz,
     )
-    return merged_order(orders, dispatch, prices)
+    return watch("merged", merged_order(orders, dispatch, written("pricing", prices)))
 
 
 def prepare_day(
     spark: SparkSession, ods: str, out: str, city: str, day: str, tz: str = LOCAL_ZONE
-) -> str:
-    """Write the merged orders of one city and day."""
-    path = merged_path(out, city, day)
-    write_overwrite(merge_tables(ods_tables(spark, ods), [day], city, tz), path)
-    return path
+) -> Prepared:
+    """Write the merged orders of one city and day; the rows of each step are counted by the way."""
+    path, counts = merged_path(out, city, day), RowCounts()
+    tables = ods_tables(spark, ods, [day])
+    write_overwrite(merge_tables(tables, [day], city, tz, counts), path)
+    return Prepared(path, counts.rows())
 
 
 def build_training(
@@ -74,7 +105,7 @@ def build_training(
     path: str | None = None,
 ) -> None:
     """Write the training table from merged days and the profiles over the same days."""
-    tables = ods_tables(spark, ods)
+    tables = ods_tables(spark, ods, dates, ("dispatch_info", "dispatch_detail"))
     profile = staged_profile(
         spark, tables["dispatch_info"], tables["dispatch_detail"], dates, city, tz=tz
     )
@@ -90,7 +121,7 @@ def write_profile(
     path: str | None = None,
 ) -> None:
     """Write the profiles of one city's users."""
-    tables = ods_tables(spark, ods)
+    tables = ods_tables(spark, ods, dates, ("dispatch_info", "dispatch_detail"))
     profile = staged_profile(
         spark, tables["dispatch_info"], tables["dispatch_detail"], dates, city
     )

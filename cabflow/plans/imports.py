@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow.functions.times import shift_day
@@ -13,8 +13,7 @@ from cabflow.operators.shaping import project, stamped
 from cabflow.schemas import DEVICE, IMPORTS, RISK_ORDER, ImportSource, fields, without
 from cabflow.sinks.writers import (
     drop_partition,
-    path_exists,
-    replace_from_itself,
+    merge_path,
     staged,
     write_jdbc,
     write_overwrite,
@@ -24,6 +23,7 @@ from cabflow.sources.tables import read_existing
 from cabflow.sources.text import parse_tsv, read_tsv_named
 
 RETENTION_DAYS = 30
+RISK_KEYS = ["service_order_id"]
 VERSION_KEYS = ["service_order_id", "update_time"]
 
 
@@ -70,14 +70,18 @@ def risk_orders(spark: SparkSession, path: str, day: str) -> DataFrame:
     return stamped(risk_only(rows), day)
 
 
+def still_kept(day: str, keep_days: int) -> Column:
+    return F.col("dt") > int(shift_day(day, -keep_days))
+
+
 def merge_risk_orders(
     old: DataFrame | None, new: DataFrame, day: str, keep_days: int | None = None
 ) -> DataFrame:
     """New rows replace old ones of the same order; older days can be let go."""
-    merged = new if old is None else upsert(old, new, ["service_order_id"])
+    merged = new if old is None else upsert(old, new, RISK_KEYS)
     if keep_days is None:
         return merged
-    return merged.where(F.col("dt") > int(shift_day(day, -keep_days)))
+    return merged.where(still_kept(day, keep_days))
 
 
 def update_risk_orders(
@@ -92,12 +96,8 @@ def update_risk_orders(
     """Merge one day's risk orders into a Parquet folder or a relational table."""
     new = risk_orders(spark, path, day)
     if url is None:
-        old = spark.read.parquet(target) if path_exists(spark, target) else None
-        merged = merge_risk_orders(old, new, day, keep_days)
-        if old is None:
-            write_overwrite(merged, target)
-        else:
-            replace_from_itself(spark, merged, target)
+        keep = None if keep_days is None else still_kept(day, keep_days)
+        merge_path(spark, new, target, RISK_KEYS, keep)
         return
     old = read_existing(spark, target, url, **options)
     merged = merge_risk_orders(old, new, day, keep_days)

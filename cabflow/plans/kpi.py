@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow.operators.aggregates import kpi_rows
-from cabflow.sinks.writers import upsert_path
+from cabflow.sinks.writers import merge_path
 
 KPI_KEYS = ["key", "datetime"]
 
@@ -24,4 +24,4 @@ def kpi_table(rows: DataFrame) -> DataFrame:
 
 def refresh_dispatch_kpi(spark: SparkSession, info: DataFrame, path: str) -> None:
     """Compute the KPIs and merge them into the KPI table by key and period."""
-    upsert_path(spark, kpi_table(kpi_rows(info)), path, KPI_KEYS)
+    merge_path(spark, kpi_table(kpi_rows(info)), path, KPI_KEYS)

@@ -13,6 +13,7 @@ from cabflow.operators.filters import known, of_city, of_days
 from cabflow.operators.joins import left_join, union_all
 from cabflow.operators.picking import any_per_key, latest_per_key
 from cabflow.operators.shaping import with_json
+from cabflow.sinks.writers import staged
 
 KEY = "bidding_id"
 
@@ -23,7 +24,7 @@ BY_SYSTEM, BY_DRIVER = 1, 2
 
 def pricing_ids(info: DataFrame, dates: Sequence[str] | None, city: str | None) -> DataFrame:
     """Pricing ids of a city and who decided: the pricing logs themselves do not say where they
-    are from.  One pass over the rounds serves all three logs."""
+    are from."""
     rows = known(of_city(of_days(info, dates), city), KEY)
     by = lambda kind: F.max(F.coalesce(F.col("decision_type") == kind, F.lit(False)))
     return rows.groupBy(KEY).agg(by(BY_SYSTEM).alias("by_system"), by(BY_DRIVER).alias("by_driver"))
@@ -88,10 +89,11 @@ def pricing(
 ) -> DataFrame:
     """Estimates with the rates of the system's and the drivers' decisions.
 
-    An id that occurs in both logs gives two rows.
+    An id that occurs in both logs gives two rows.  The ids are few next to the rounds; written
+    once, one pass over the rounds serves all three logs.
     """
 
-    ids = pricing_ids(info, dates, city)
+    ids = staged(info.sparkSession, pricing_ids(info, dates, city), "pricing_ids")
     rates = union_all(
         system_rates(of_days(system, dates), ids.where("by_system")),
         personal_rates(of_days(personal, dates), ids.where("by_driver")),

@@ -341,3 +341,15 @@ VIEWS = {
 def with_views(*names: str) -> str:
     """``with a as (...), b as (...)`` for the named views."""
     return "with " + ",\n".join(VIEWS[name] for name in names)
+
+
+def with_views_of(day: str, city: str, *names: str) -> str:
+    """The same for one day and, where a table says where its rows are from, one city."""
+    cities = {"service_order", "dispatch_rounds", "dispatch_detail"}
+
+    def scoped(name: str) -> str:
+        body = VIEWS[name].removeprefix(f"{name} as (").removesuffix(")")
+        where = f"dt = {day}" + (f" and city = '{city}'" if name in cities else "")
+        return f"{name} as (select * from ({body}) every_row where {where})"
+
+    return "with " + ",\n".join(scoped(name) for name in names)

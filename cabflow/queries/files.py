@@ -10,22 +10,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cabflow.functions.times import epoch_of
-from cabflow.operators.aggregates import kpi_rows
-from cabflow.plans.imports import devices, export_rows, merge_risk_orders, risk_orders
-from cabflow.plans.kpi import kpi_table
-from cabflow.plans.logs import convert_log, typed_log
+from cabflow.plans.imports import devices, export_rows, update_risk_orders
+from cabflow.plans.kpi import kpi_table, refresh_dispatch_kpi
+from cabflow.plans.logs import convert_log, current_state, typed_log
 from cabflow.queries.base import Tables, query
 from cabflow.queries.domain import (
     DATES,
     LINE_PRICING_TIME,
     LINE_TIME,
+    MIDNIGHT,
     ORDER_PRICING_TIME,
     dispatch_info,
     service_order,
     with_views,
 )
 from cabflow.queries.groups import KPI_SQL
-from cabflow.schemas import CONTROL_A, IMPORTS, LOGS, TWO_PIPES, fields
+from cabflow.schemas import CONTROL_A, IMPORTS, LOGS, TWO_PIPES, fields, ods_schema
 from cabflow.session import scratch_path
 from cabflow.sinks import writers
 from cabflow.sources import tables as stored
@@ -240,6 +240,23 @@ def s10(t: Tables):
     return stored.read_ods(t.spark, _partitioned_orders(t), [DATES[1], DATES[4]], "bj")
 
 
+@query(
+    "s10_absent_day",
+    f"""
+    {with_views("service_order")}
+    select service_order_id, city, update_time, dt, cast(null as varchar) as remark
+    from service_order where dt = {DATES[1]}
+    """,
+)
+def s10_absent(t: Tables):
+    """One of two days is there, and one of the declared columns is in no file; a table of which
+    no asked day is there has the columns and no rows."""
+    schema = "service_order_id bigint, city string, update_time int, remark string, dt int"
+    path = _partitioned_orders(t)
+    none = stored.read_ods(t.spark, path, ["20990101"], schema=schema)
+    return stored.read_ods(t.spark, path, [DATES[1], "20990101"], schema=schema).unionByName(none)
+
+
 @query("s11_existing", "select c_custkey, c_name from customer")
 def s11(t: Tables):
     """The table exists as a view; one that does not gives nothing."""
@@ -283,6 +300,29 @@ def k1(t: Tables):
     return t.spark.read.parquet(base)
 
 
+@query(
+    "k1_absent_day",
+    f"""
+    select user_id as service_order_id, cast(event_id as int) as operator_id, {DATES[0]} as dt
+    from (select *, row_number() over (partition by user_id
+              order by epoch_us(ts) // 1000000 desc, event_id desc) as rn
+          from events where user_id is not null) r
+    where rn = 1 and event_type <> 'error'
+    """,
+)
+def k1_absent(t: Tables):
+    """Both days are converted; then the second has no landed folder, and its rows go."""
+    full, without, ods = (scratch_path(t.spark, n) for n in ("raw", "raw", "ods"))
+    for day in DATES[:2]:
+        _change_lines(t).write.text(f"{full}/dt={day}")
+    _change_lines(t).write.text(f"{without}/dt={DATES[0]}")
+    for raw in (full, without):
+        for day in DATES[:2]:
+            convert_log(t.spark, "service_order_ext", raw, ods, day)
+    rows = stored.read_ods(t.spark, ods, DATES[:2], schema=ods_schema("service_order_ext"))
+    return rows.select("service_order_id", "operator_id", "dt")
+
+
 @query(
     "k2_replace_hours",
     f"select *, {DATES[0]} as dt, cast(o_orderkey % 24 as int) as hour from ({_ORDERS_SQL}) o",
@@ -309,21 +349,60 @@ def k4(t: Tables):
     return t.spark.read.parquet(path)
 
 
-def _through_table(t: Tables, rows: DataFrame, fmt: str) -> DataFrame:
+def _file_shares(t: Tables, path: str) -> tuple[int, int, int]:
+    """Files of a folder, its rows, and the rows of the largest file."""
+    each = t.spark.read.parquet(path).groupBy(F.input_file_name().alias("file")).agg(F.count(F.lit(1)).alias("n"))
+    return tuple(each.agg(F.count(F.lit(1)), F.sum("n"), F.max("n")).first())
+
+
+@query("k4_even_files", "select cast(8 as bigint) as files, count(*) as rows, true as even from orders")
+def k4_even(t: Tables):
+    """How many files there are, and whether none holds much more than its share."""
+    path = scratch_path(t.spark, "even")
+    writers.write_repartitioned(_orders(t), path, 8)
+    files, rows, most = _file_shares(t, path)
+    return t.spark.createDataFrame([(files, rows, most * files <= 1.5 * rows)], "files bigint, rows bigint, even boolean")
+
+
+@query(
+    "k12_files_follow_bytes",
+    "select count(*) as rows, 2 * count(*) as twice, true as several, true as doubled, true as even from lineitem",
+)
+def k12_bytes(t: Tables):
+    """Twice the rows give about twice the files of the same size."""
+    rows = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_extendedprice")
+    found = []
+    for df in (rows, rows.unionAll(rows)):
+        path = scratch_path(t.spark, "sized")
+        # Small parts, as the given tables are small: about 16 bytes of a row are shuffled.
+        writers.write_sized(df, path, part_bytes=max(16 << 10, rows.count() * 2))
+        found.append(_file_shares(t, path))
+    (few, one, most), (many, two, _) = found
+    several, doubled, even = few >= 4, 1.5 * few <= many <= 2.5 * few, most * few <= 2.0 * one
+    kind = "rows bigint, twice bigint, several boolean, doubled boolean, even boolean"
+    return t.spark.createDataFrame([(one, two, several, doubled, even)], kind)
+
+
+def _through_table(t: Tables, rows: DataFrame, fmt: str) -> str:
     path = scratch_path(t.spark, "table")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     writers.write_table(rows, name, fmt, path)
-    return t.spark.table(name)
+    return name
+
+
+def _with_provider(t: Tables, name: str) -> DataFrame:
+    """The table's rows with the format that the catalog has for it."""
+    return t.spark.table(name).withColumn("provider", F.lit(writers.table_details(t.spark, name)["Provider"]))
 
 
-@query("k5_orc_table", _ORDERS_SQL)
+@query("k5_orc_table", f"select *, 'orc' as provider from ({_ORDERS_SQL}) o")
 def k5(t: Tables):
-    return _through_table(t, _orders(t), "orc")
+    return _with_provider(t, _through_table(t, _orders(t), "orc"))
 
 
-@query("k6_named_table", _ORDERS_SQL)
+@query("k6_named_table", f"select *, 'parquet' as provider from ({_ORDERS_SQL}) o")
 def k6(t: Tables):
-    return _through_table(t, _orders(t), "parquet")
+    return _with_provider(t, _through_table(t, _orders(t), "parquet"))
 
 
 @query(
@@ -336,7 +415,7 @@ def k6(t: Tables):
     """,
 )
 def k8(t: Tables):
-    """The old rows of the KPI table have one key of their own and one that is replaced."""
+    """The job on a KPI table whose old rows have one key of their own and one that is replaced."""
     path = scratch_path(t.spark, "kpi")
     count = F.format_string("%.4f", F.count(F.lit(1)).cast("double"))
     old = t.orders.agg(count.alias("value")).select(
@@ -345,9 +424,7 @@ def k8(t: Tables):
         "value",
     )
     writers.write_overwrite(kpi_table(old), path)
-    writers.upsert_path(
-        t.spark, kpi_table(kpi_rows(dispatch_info(t))), path, ["key", "datetime"]
-    )
+    refresh_dispatch_kpi(t.spark, dispatch_info(t), path)
     return t.spark.read.parquet(path).select("key", "value", "datetime")
 
 
@@ -369,6 +446,30 @@ def k10(t: Tables):
     return t.spark.table(name).groupBy("dt").agg(F.count(F.lit(1)).alias("rows"))
 
 
+@query(
+    "k10_drop_and_find_again",
+    f"""
+    {with_views("service_order")}
+    select dt, count(*) as rows, cast(0 as bigint) as while_dropped
+    from service_order where dt <> {DATES[3]} group by dt
+    """,
+)
+def k10_drop(t: Tables):
+    """A day that is dropped from the catalog alone is found again; one whose files went is not."""
+    path = _partitioned_orders(t)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    columns = "service_order_id bigint, city string, update_time int, dt int"
+    t.spark.sql(f"create table {name} ({columns}) using parquet partitioned by (dt) location '{path}'")
+    writers.add_partitions(t.spark, name)
+    writers.drop_table_partition(t.spark, name, DATES[2])
+    writers.drop_table_partition(t.spark, name, DATES[3], files=True)
+    gone = F.col("dt").isin(int(DATES[2]), int(DATES[3]))
+    dropped = t.spark.table(name).where(gone).count()
+    writers.add_partitions(t.spark, name)
+    found = t.spark.table(name).groupBy("dt").agg(F.count(F.lit(1)).alias("rows"))
+    return found.withColumn("while_dropped", F.lit(dropped).cast("bigint"))
+
+
 @query(
     "k11_retention",
     f"""
@@ -437,12 +538,64 @@ def t2(t: Tables):
     return rows.where(F.col("hour").between(0, 23)).select("value")
 
 
+@query("t3_timed_roll", _LINES_SQL)
+def t3(t: Tables):
+    """A query on a timer, which finds new files between its batches, is stopped and goes on."""
+    source, base, checkpoint = (scratch_path(t.spark, n) for n in ("topic", "landed", "offsets"))
+    lines = t.events.select("event_id", F.to_json(F.struct("event_id", "props")).alias("value"))
+    t.spark.createDataFrame([], "value string").write.text(source)
+    for runs in ((0, 1), (2, 3)):
+        stream = stored.stream_topic(t.spark, "events", path=source)
+        landing = land_stream(stream, base, checkpoint, roll="1 second")
+        try:
+            for part in runs:
+                lines.where(F.col("event_id") % 4 == part).select("value").write.mode("append").text(source)
+                landing.processAllAvailable()
+        finally:
+            landing.stop()
+    return t.spark.read.text(base).select("value")
+
+
+@query(
+    "t4_late_versions",
+    f"""
+    with landed as (
+        select user_id, event_id, event_type, epoch_us(ts) // 1000000 as changed,
+               cast({DATES[0]} + event_id % 2 as int) as dt
+        from events where user_id is not null
+    ), of_day as (
+        select *, row_number() over (partition by dt, user_id order by changed desc, event_id desc) as rn
+        from landed
+    ), newest as (
+        select *, row_number() over (partition by user_id order by changed desc, event_id desc) as place
+        from of_day where rn = 1 and event_type <> 'error'
+    )
+    select user_id as service_order_id, cast(event_id as int) as operator_id,
+           cast(changed as int) as update_time, dt
+    from newest where place = 1
+    """,
+)
+def t4(t: Tables):
+    """Half of the versions land on one day and half on the next, whatever their own time: for
+    many ids the newer one is in the earlier folder."""
+    source, landed, checkpoint, ods = (scratch_path(t.spark, n) for n in ("topic", "landed", "offsets", "ods"))
+    for i, day in enumerate(DATES[:2]):
+        _change_lines(t, F.col("event_id") % 2 == i).write.mode("append").text(source)
+        noon = F.lit(MIDNIGHT + i * 86400 + 43200)
+        stream = stored.stream_topic(t.spark, "changes", path=source)
+        land_stream(stream, landed, checkpoint, available_now=True, arrived=noon).awaitTermination()
+    for day in DATES[:2]:
+        convert_log(t.spark, "service_order_ext", landed, ods, day)
+    state = current_state(t.spark, "service_order_ext", ods, DATES[:2])
+    return state.select("service_order_id", "operator_id", "update_time", "dt")
+
+
 # -- jobs over files -----------------------------------------------------------------------
 
 _CHANGE_SCHEMA = LOGS["service_order_ext"].schema
 
 
-def _change_lines(t: Tables) -> DataFrame:
+def _change_lines(t: Tables, where: Column | None = None) -> DataFrame:
     """Events as lines of a change log: the user is the id, errors delete it."""
     known = {
         "service_order_id": "cast(user_id as string)",
@@ -454,7 +607,8 @@ def _change_lines(t: Tables) -> DataFrame:
         "operation": "case when event_type = 'error' then 'DELETE' else 'UPDATE' end",
     }
     parts = [F.expr(known.get(n, f"'{text.NULL_TOKEN}'".replace("\\", "\\\\"))) for n, _ in _CHANGE_SCHEMA]
-    return t.events.select(F.concat_ws(CONTROL_A, *parts).alias("value"))
+    events = t.events if where is None else t.events.where(where)
+    return events.select(F.concat_ws(CONTROL_A, *parts).alias("value"))
 
 
 _LATEST_EVENT_SQL = """
@@ -566,9 +720,31 @@ def _risk_lines(t: Tables, flag: str, city: str) -> str:
     """,
 )
 def c13(t: Tables):
-    """The second day's rows replace those of the first day with the same order."""
+    """The job on two days: the second's rows replace those of the first with the same order."""
     first = _risk_lines(t, "case when o_orderstatus = 'P' then 'F' else 'T' end", "old")
     second = _risk_lines(t, "case when o_orderstatus = 'O' then 'T' else 'F' end", "new")
-    old = risk_orders(t.spark, first, DATES[0])
-    merged = merge_risk_orders(old, risk_orders(t.spark, second, DATES[1]), DATES[1])
-    return merged.select("service_order_id", "city", "price", "dt")
+    target = scratch_path(t.spark, "risk_table")
+    for path, day in ((first, DATES[0]), (second, DATES[1])):
+        update_risk_orders(t.spark, path, day, target)
+    return t.spark.read.parquet(target).select("service_order_id", "city", "price", "dt")
+
+
+@query(
+    "k8_only_touched_buckets",
+    """
+    select o_orderkey, case when o_orderkey % 500 = 3 then 'new' else o_orderstatus end as status,
+           false as rewritten_elsewhere
+    from orders
+    """,
+)
+def k8_buckets(t: Tables):
+    """A delta of a few keys; files of buckets without one of them stay as they are."""
+    path = scratch_path(t.spark, "merged_orders")
+    rows = t.orders.select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    writers.merge_path(t.spark, rows, path, ["o_orderkey"], buckets=64)
+    before = set(t.spark.read.parquet(path).inputFiles())
+    few = rows.where(F.col("o_orderkey") % 500 == 3).withColumn("status", F.lit("new"))
+    touched = writers.merge_path(t.spark, few, path, ["o_orderkey"])
+    after = set(t.spark.read.parquet(path).inputFiles())
+    buckets = {int(name.rsplit("/", 1)[1][1:6]) for name in before ^ after}
+    return t.spark.read.parquet(path).withColumn("rewritten_elsewhere", F.lit(not buckets <= set(touched)))

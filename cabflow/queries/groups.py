@@ -14,12 +14,15 @@ from cabflow.plans.profile import profile_base
 from cabflow.queries.base import Tables, query
 from cabflow.queries.columns import ACCEPT_SQL, GEO_KEY_SQL, geohash_sql
 from cabflow.queries.domain import (
+    DATES,
     dispatch_detail,
     dispatch_info,
     pre_dispatch,
     service_order,
     with_views,
 )
+from cabflow.session import scratch_path
+from cabflow.streaming.cells import SLOT_COLUMNS, accounts, start_supply_demand
 
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -575,10 +578,53 @@ def a10(t: Tables):
     return aggregates.kpi_rows(dispatch_info(t))
 
 
-@query("a11_observed", "select o_orderkey, o_orderstatus from orders")
+@query("a11_observed", "select count(*) as rows from orders")
 def a11(t: Tables):
-    rows, _ = aggregates.observed(t.orders.select("o_orderkey", "o_orderstatus"), "orders")
-    return rows
+    """The count that the write of the rows gave by the way."""
+    rows, found = aggregates.observed(t.orders.select("o_orderkey", "o_orderstatus"), "orders")
+    rows.write.format("noop").mode("overwrite").save()
+    return t.spark.createDataFrame([(found.get["rows"],)], "rows bigint")
+
+
+_STREAM_DELAY = 600
+
+
+@query(
+    "a7_supply_demand_stream",
+    f"""
+    {with_views("service_order")},
+    placed as (
+        select {GEO_KEY_SQL} as geo_time_key, order_create_time // 300 * 300 + 300 as slot_end,
+               service_order_id, order_create_time,
+               service_order_id % 50 = 0 and dt = {DATES[0]} as late
+        from (select *, create_time as order_create_time from service_order) o
+    )
+    select geo_time_key, count(*) as abs_demand,
+           round(avg(service_order_id % 40) / (count(*) + 1), 6) as relative_supply,
+           (select count(*) from placed where late) as late_orders
+    from placed
+    where not late
+      and slot_end <= (select max(order_create_time) - {_STREAM_DELAY} from placed where not late)
+    group by geo_time_key
+    """,
+)
+def a7_stream(t: Tables):
+    """Days come one after the other; some orders of the first day come after all others, when
+    their windows are closed.  The stream is stopped in between and goes on."""
+    source, out, checkpoint = (scratch_path(t.spark, n) for n in ("orders", "slots", "state"))
+    columns = ["order_create_time", "expect_start_latitude", "expect_start_longitude", "pre_availableDriverNum"]
+    orders = _available(t)
+    late = F.expr(f"service_order_id % 50 = 0 and dt = {DATES[0]}")
+    parts = [orders.where(~late & F.col("dt").isin(*map(int, days))) for days in (DATES[:3], DATES[3:5], DATES[5:])]
+    for part in [*parts, orders.where(late)]:
+        part = part.select(*columns)
+        part.write.mode("append").parquet(source)
+        replayed = t.spark.readStream.schema(part.schema).parquet(source)
+        delay = f"{_STREAM_DELAY} seconds"
+        start_supply_demand(replayed, out, checkpoint, delay, available_now=True).awaitTermination()
+    found = accounts(t.spark.read.parquet(source), out, checkpoint)
+    slots = t.spark.read.schema(SLOT_COLUMNS).parquet(out)
+    return rounded(slots, "relative_supply").withColumn("late_orders", F.lit(found.late).cast("bigint"))
 
 
 @query(

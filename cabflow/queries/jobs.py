@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cabflow.functions.times import day_bounds
-from cabflow.operators.aggregates import SPREADS, kpi_rows
-from cabflow.plans.daily import merge_tables
+from cabflow.operators.aggregates import SPREADS
+from cabflow.plans.daily import build_training, merge_tables, prepare_day
 from cabflow.plans.dispatch import (
     PARAM_FIELDS,
     RATES,
@@ -15,6 +16,7 @@ from cabflow.plans.dispatch import (
     dispatch_info_extract,
     dispatch_merged,
 )
+from cabflow.plans.kpi import refresh_dispatch_kpi
 from cabflow.plans.orders import ORDER_COLUMNS, name_map, order_base
 from cabflow.plans.pricing import pricing
 from cabflow.plans.profile import staged_profile
@@ -27,6 +29,7 @@ from cabflow.queries.domain import (
     dispatch_info,
     tables,
     with_views,
+    with_views_of,
 )
 from cabflow.queries.groups import (
     BATCH_SQL,
@@ -38,7 +41,9 @@ from cabflow.queries.groups import (
     rounded,
     small_ints,
 )
-from cabflow.sinks.writers import staged
+from cabflow.schemas import LOGS, ods_schema
+from cabflow.session import scratch_path
+from cabflow.sinks.writers import balanced, staged
 
 _SMALL = {"is_asap", "order_status", "rc_status"}
 
@@ -231,7 +236,22 @@ _ALL_VIEWS = with_views(
     "system_dispatch",
     "personal_dispatch",
 )
-_MERGE_STEPS = f"{_ALL_VIEWS}, {_ORDERS}, {_ROUNDS}, {_CANDIDATES}, {_PRICES}, {_MERGED}"
+_STEPS = f"{_ORDERS}, {_ROUNDS}, {_CANDIDATES}, {_PRICES}, {_MERGED}"
+_MERGE_STEPS = f"{_ALL_VIEWS}, {_STEPS}"
+
+# One day of one city, as the daily jobs run.
+_DAY, _CITY = DATES[2], "bj"
+_DAY_VIEWS = with_views_of(
+    _DAY,
+    _CITY,
+    "service_order",
+    "service_order_ext",
+    "dispatch_rounds",
+    "dispatch_detail",
+    "pre_dispatch",
+    "system_dispatch",
+    "personal_dispatch",
+)
 
 
 def _means(df: DataFrame) -> list[str]:
@@ -283,6 +303,49 @@ def c8(t: Tables):
     return _comparable(merge_tables(tables(t), DATES))
 
 
+def _ods(t: Tables) -> str:
+    """All days of the seven tables as folders, in their declared columns."""
+    ods = scratch_path(t.spark, "ods")
+    for name, rows in tables(t).items():
+        declared = t.spark.createDataFrame([], ods_schema(name)).schema
+        typed = [
+            (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in declared
+        ]
+        by = ["dt", "hour"] if LOGS[name].by_hour else ["dt"]
+        balanced(rows.select(*typed), "dt").write.partitionBy(*by).parquet(f"{ods}/{name}")
+    return ods
+
+
+def _as_planned(df: DataFrame, like: DataFrame) -> DataFrame:
+    """The declared columns are narrower than those that the checks derive."""
+    kinds = {f.name: f.dataType for f in like.schema}
+    return df.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in df.columns])
+
+
+@query("c8_prepare_day", f"{_DAY_VIEWS}, {_STEPS} select * from merged")
+def c8_day(t: Tables):
+    """The daily job from table folders to the merged orders of one city."""
+    done = prepare_day(t.spark, _ods(t), scratch_path(t.spark, "merged"), _CITY, _DAY)
+    return _comparable(_as_planned(t.spark.read.parquet(done.path), merge_tables(tables(t), DATES)))
+
+
+@query(
+    "a11_step_rows",
+    f"""
+    {_DAY_VIEWS}, {_STEPS}
+    select 'orders' as step, (select count(*) from orders_out) as rows
+    union all select 'dispatch', (select count(*) from info_out)
+    union all select 'candidates', (select count(*) from dispatch_out)
+    union all select 'pricing', (select count(*) from prices_out)
+    union all select 'merged', (select count(*) from merged)
+    """,
+)
+def a11_steps(t: Tables):
+    """What the daily job says about its steps."""
+    done = prepare_day(t.spark, _ods(t), scratch_path(t.spark, "merged"), _CITY, _DAY)
+    return t.spark.createDataFrame(list(done.rows.items()), "step string, rows bigint")
+
+
 _TRAINING = f"""
     placed as (
         select *, {GEO_KEY_SQL} as cell,
@@ -350,6 +413,22 @@ def c9(t: Tables):
     )
 
 
+@query(
+    "c9_training_of_city",
+    f"{_DAY_VIEWS}, {_STEPS}{_profile_after_views()}, {_TRAINING} select * from training",
+)
+def c9_city(t: Tables):
+    """The jobs of one city, from table folders to the written training table."""
+    ods, merged, path = _ods(t), scratch_path(t.spark, "merged"), scratch_path(t.spark, "training")
+    prepare_day(t.spark, ods, merged, _CITY, _DAY)
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    build_training(t.spark, ods, merged, _CITY, [_DAY], name, path=path)
+    table = _comparable(_as_planned(t.spark.table(name), merge_tables(tables(t), DATES)))
+    return rounded(
+        table, "relative_supply", "geo_bidding_pct", "geo_bidding_ok_pct", *PROFILE_MEANS
+    )
+
+
 @query("c10_user_profile", f"{PROFILE_SQL} select {replace_rounded(PROFILE_MEANS)} from profile")
 def c10(t: Tables):
     profile = staged_profile(t.spark, dispatch_info(t), dispatch_detail(t), DATES)
@@ -358,4 +437,8 @@ def c10(t: Tables):
 
 @query("c11_dispatch_kpi", KPI_SQL)
 def c11(t: Tables):
-    return kpi_rows(dispatch_info(t))
+    """The job, run twice on one table."""
+    path = scratch_path(t.spark, "kpi")
+    for _ in range(2):
+        refresh_dispatch_kpi(t.spark, dispatch_info(t), path)
+    return t.spark.read.parquet(path).select("key", "value", "datetime")

@@ -374,10 +374,14 @@ def d5(t: Tables):
 
 @query(
     "d6_preview",
-    "select 5 as rows",
+    "select 5 as rows, cast(5 as bigint) as known",
 )
 def d6(t: Tables):
-    return preview(t.lineitem, 5).agg(F.count(F.lit(1)).cast("int").alias("rows"))
+    """Rows of the preview, and how many of them the table knows."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    there = t.lineitem.select(*keys).distinct().withColumn("_there", F.lit(1))
+    seen = preview(t.lineitem, 5).select(*keys).join(there, keys, "left")
+    return seen.agg(F.count(F.lit(1)).cast("int").alias("rows"), F.count("_there").alias("known"))
 
 
 # -- numbering -----------------------------------------------------------------------

@@ -238,3 +238,12 @@ IMPORTS: dict[str, ImportSource] = {
         fields(ORDER_CHARGE) + _DAY, "ods_service_order_charge"
     ),
 }
+
+
+def ods_schema(name: str) -> str:
+    """Columns and types of a converted log, with its partition columns."""
+    source = LOGS[name]
+    new_names = dict(source.rename)
+    columns = [(new_names.get(n, n), t) for n, t in source.schema]
+    hour: Fields = [("hour", "int")] if source.by_hour else []
+    return ", ".join(f"`{n}` {t}" for n, t in [*columns, ("dt", "int"), *hour])

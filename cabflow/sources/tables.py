@@ -16,16 +16,29 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ods(
-    spark: SparkSession, base: str, dates: Sequence[str] | None, city: str | None = None
+    spark: SparkSession,
+    base: str,
+    dates: Sequence[str] | None,
+    city: str | None = None,
+    schema: str | None = None,
 ) -> DataFrame:
-    """Some days of a table, and one city; other days' folders are not even listed."""
+    """Some days of a table, and one city; other days' folders are not even listed.
+
+    Days that are not there have no rows.  With a ``schema`` (partition columns included) no file
+    is opened to find the columns; it is needed where none of the days may be there.
+    """
     base = base.rstrip("/")
-    folders = [f"{base}/dt={day}" for day in dates or ()]
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    if dates is None:
+        return of_city(reader.parquet(base), city)
+    folders = [f"{base}/dt={day}" for day in dates]
     folders = [folder for folder in folders if path_exists(spark, folder)]
     if folders:
-        table = spark.read.option("basePath", base).parquet(*folders)
+        table = reader.option("basePath", base).parquet(*folders)
+    elif schema is not None:
+        table = spark.createDataFrame([], schema)
     else:
-        table = spark.read.parquet(base)
+        raise FileNotFoundError(f"{base} has none of the days {', '.join(dates)}, and no schema is given")
     return of_city(of_days(table, dates), city)
 
 

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import json
 import os
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
+from cabflow.operators.aggregates import supply_demand
 from cabflow.plans import imports, kpi, logs
-from cabflow.schemas import CONTROL_A, IMPORTS, LOGS, fields, names
+from cabflow.schemas import CONTROL_A, IMPORTS, LOGS, fields, names, ods_schema
 from cabflow.sinks import writers
 from cabflow.sources import tables, text
-from cabflow.streaming.landing import land_stream, with_arrival
+from cabflow.streaming import cells
+from cabflow.streaming.landing import LandedLines, land_stream, with_arrival
 
 
 def lines(spark, *values):
@@ -208,6 +212,209 @@ def test_only_the_asked_days_are_read(spark, tmp_path):
     assert "EqualTo(city,bj)" in plan
 
 
+def test_a_broken_file_of_another_day_is_not_opened(spark, tmp_path):
+    base = str(tmp_path / "ods")
+    spark.range(9).selectExpr("id", "'bj' as city").write.parquet(f"{base}/dt=20170402")
+    write(f"{base}/dt=20170401", "part-0.parquet", "this is no Parquet file")
+    schema = "id long, city string, added string, dt int"
+    for given in (None, schema):
+        got = tables.read_ods(spark, base, ["20170402", "20990101"], "bj", given)
+        assert got.count() == 9
+    assert got.columns == ["id", "city", "added", "dt"] and got.where("added is not null").count() == 0
+    with pytest.raises(Exception, match="20170401|Parquet"):
+        tables.read_ods(spark, base, ["20170401"], schema=schema).collect()
+    none = tables.read_ods(spark, base, ["20990101"], schema=schema)
+    assert none.count() == 0 and none.columns == got.columns
+    with pytest.raises(FileNotFoundError, match="20990101"):
+        tables.read_ods(spark, base, ["20990101"])
+
+
+@pytest.mark.parametrize("name", sorted(LOGS))
+def test_declared_columns_are_those_that_are_written(spark, name):
+    empty = logs.raw_lines(spark, name, "/no/such/folder", "20170401")
+    rows = logs.typed_log(empty, name).withColumn("dt", F.lit(1))
+    declared = spark.createDataFrame([], ods_schema(name)).schema
+    assert {(f.name, f.dataType.simpleString()) for f in rows.schema} == {
+        (f.name, f.dataType.simpleString()) for f in declared
+    }
+
+
+def test_an_absent_day_clears_its_partition(spark, tmp_path):
+    raw, ods = str(tmp_path / "raw"), str(tmp_path / "ods")
+    for name, line in (
+        ("service_order", line_of("service_order", service_order_id="1", update_time="1", operation="UPDATE")),
+        ("dispatch_detail", "||".join({"service_order_id": "1"}.get(n, "") for n in names(LOGS["dispatch_detail"].schema))),
+    ):
+        hour = "/hour=3" if LOGS[name].by_hour else ""
+        for day in ("20170401", "20170402"):
+            write(f"{raw}/{name}/dt={day}{hour}", "a.log", line)
+            logs.convert_log(spark, name, f"{raw}/{name}", f"{ods}/{name}", day)
+        read = lambda: tables.read_ods(spark, f"{ods}/{name}", None, schema=ods_schema(name))  # noqa: B023, E731
+        assert read().count() == 2
+        logs.convert_log(spark, name, f"{raw}/nothing", f"{ods}/{name}", "20170402")
+        assert [r.dt for r in read().collect()] == [20170401]
+        # Hours of a day whose folder is there but empty.
+        os.makedirs(f"{raw}/{name}/dt=20170403", exist_ok=True)
+        logs.convert_log(spark, name, f"{raw}/{name}", f"{ods}/{name}", "20170403")
+        assert read().count() == 1
+
+
+def _merged(spark, path):
+    return tuples(spark.read.parquet(path))
+
+
+def test_merge_leaves_untouched_files(spark, tmp_path):
+    path = str(tmp_path / "merged")
+    rows = spark.range(200).selectExpr("id as k", "'old' as v", "cast(id % 3 as int) as dt")
+    assert writers.merge_path(spark, rows, path, ["k"], buckets=16) == list(range(16))
+    before = {n: os.path.getmtime(f"{path}/{n}") for n in os.listdir(path) if n.startswith("b")}
+    delta = spark.createDataFrame([(5, "new", 9), (500, "new", 9)], "k long, v string, dt int")
+    touched = writers.merge_path(spark, delta, path, ["k"])
+    assert 1 <= len(touched) <= 2
+    after = {n: os.path.getmtime(f"{path}/{n}") for n in os.listdir(path) if n.startswith("b")}
+    kept = {n: t for n, t in before.items() if int(n[1:6]) not in touched}
+    assert len(kept) >= 12 and kept.items() <= after.items()
+    assert all(int(n[1:6]) in touched for n in set(before) ^ set(after))
+    want = sorted([(k, "old", k % 3) for k in range(200) if k != 5] + [(5, "new", 9), (500, "new", 9)], key=repr)
+    assert _merged(spark, path) == want
+    # The same delta again changes no row, an empty one nothing at all.
+    writers.merge_path(spark, delta, path, ["k"])
+    assert _merged(spark, path) == want
+    assert writers.merge_path(spark, delta.limit(0), path, ["k"]) == []
+    # Rows that are let go lie in many buckets.
+    writers.merge_path(spark, delta.limit(0), path, ["k"], keep=F.col("dt") > 0)
+    assert _merged(spark, path) == [r for r in want if r[2] > 0]
+    assert not [n for n in os.listdir(path) if n.startswith("_")]
+
+
+def test_merge_deals_a_plain_folder_into_buckets(spark, tmp_path):
+    path = str(tmp_path / "plain")
+    spark.range(20).selectExpr("id as k", "1 as v").write.parquet(path)
+    writers.merge_path(spark, spark.createDataFrame([(3, 2)], "k long, v int"), path, ["k"], buckets=4)
+    assert _merged(spark, path) == sorted([(k, 1) for k in range(20) if k != 3] + [(3, 2)], key=repr)
+    assert all(n.startswith("b") for n in os.listdir(path) if not n.startswith(("_", ".")))
+    # A table without rows keeps its columns.
+    none = str(tmp_path / "none")
+    writers.merge_path(spark, spark.createDataFrame([], "k long, v int"), none, ["k"])
+    assert spark.read.parquet(none).columns == ["k", "v"] and _merged(spark, none) == []
+    writers.merge_path(spark, spark.createDataFrame([(1, 1)], "k long, v int"), none, ["k"])
+    assert _merged(spark, none) == [(1, 1)]
+
+
+@pytest.mark.parametrize("step", ["nothing", "deleted", "half moved"])
+def test_merge_that_was_cut_off_is_ended_by_the_next(spark, tmp_path, monkeypatch, step):
+    path = str(tmp_path / "cut")
+    rows = spark.range(50).selectExpr("id as k", "'old' as v")
+    writers.merge_path(spark, rows, path, ["k"], buckets=4)
+    delta = spark.range(50).selectExpr("id as k", "'new' as v")
+
+    def cut_off(spark, path, journal):
+        with open(f"{path}/{journal}", encoding="utf8") as f:
+            plan = json.load(f)
+        if step != "nothing":
+            for name in plan["remove"]:
+                os.remove(f"{path}/{name}")
+        if step == "half moved":
+            source, name = plan["add"][0]
+            os.rename(f"{path}/{source}", f"{path}/{name}")
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patched:
+        patched.setattr(writers, "_swap", cut_off)
+        with pytest.raises(KeyboardInterrupt):
+            writers.merge_path(spark, delta, path, ["k"])
+    last = spark.createDataFrame([(1, "last")], "k long, v string")
+    writers.merge_path(spark, last, path, ["k"])
+    assert _merged(spark, path) == sorted([(k, "new") for k in range(50) if k != 1] + [(1, "last")], key=repr)
+
+
+def test_files_follow_the_bytes(spark, tmp_path):
+    def files(rows):
+        path = str(tmp_path / f"sized{rows}")
+        before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        writers.write_sized(spark.range(rows), path, part_bytes=32 << 10)
+        assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == before
+        return len([n for n in os.listdir(path) if n.endswith(".parquet")])
+
+    few, many = files(30_000), files(120_000)
+    assert few >= 2 and 2.5 * few <= many <= 6 * few
+
+
+def test_partitions_are_dropped_and_found_again(spark, tmp_path):
+    path = str(tmp_path / "external")
+    spark.range(9).selectExpr("id", "cast(20170401 + id % 3 as int) as dt").write.partitionBy("dt").parquet(path)
+    spark.sql(f"create table days_of (id bigint, dt int) using parquet partitioned by (dt) location '{path}'")
+    days = lambda: sorted(r.dt for r in spark.table("days_of").select("dt").distinct().collect())
+    assert days() == []
+    writers.add_partitions(spark, "days_of")
+    assert days() == [20170401, 20170402, 20170403]
+    writers.drop_table_partition(spark, "days_of", "20170401")
+    writers.drop_table_partition(spark, "days_of", "20170402", files=True)
+    assert days() == [20170403]
+    writers.add_partitions(spark, "days_of")
+    assert days() == [20170401, 20170403]
+
+
+def test_landed_lines_are_counted_while_they_land(spark, tmp_path):
+    source, base, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
+    counter = LandedLines()
+    spark.streams.addListener(counter)
+    try:
+        for i in range(2):
+            write(source, f"{i}.log", "\n".join(f"line {i} {j}" for j in range(20 + i)))
+            stream = tables.stream_topic(spark, "any", path=source)
+            query = land_stream(stream, base, offsets, roll="1 second")
+            query.processAllAvailable()
+            query.stop()
+        deadline = time.time() + 30
+        while counter.of(query) < 41 and time.time() < deadline:
+            time.sleep(0.2)
+        assert counter.of(query) == 41
+    finally:
+        spark.streams.removeListener(counter)
+    assert spark.read.text(base).count() == 41
+
+
+def test_late_versions_do_not_win(spark, tmp_path):
+    source, landed, offsets, ods = (str(tmp_path / n) for n in ("in", "landed", "offsets", "ods"))
+    change = lambda key, time, op: line_of("service_order_ext", service_order_id=key, update_time=time, operation=op)
+    days = {
+        "20170401": [change("1", "30", "UPDATE"), change("2", "10", "UPDATE"), change("3", "10", "UPDATE")],
+        # An older version of 1 comes a day late; 3 is deleted there, which ends it in that day only.
+        "20170402": [change("1", "20", "UPDATE"), change("2", "20", "UPDATE"), change("3", "20", "DELETE")],
+    }
+    for i, (day, content) in enumerate(days.items()):
+        write(source, f"{day}.log", "\n".join(content))
+        stream = tables.stream_topic(spark, "any", path=source)
+        noon = F.lit(1490976000 + i * 86400 + 43200)
+        land_stream(stream, landed, offsets, available_now=True, arrived=noon).awaitTermination()
+        logs.convert_log(spark, "service_order_ext", landed, ods, day)
+    got = logs.current_state(spark, "service_order_ext", ods, list(days))
+    assert tuples(got.select("service_order_id", "update_time", "dt")) == [
+        (1, 30, 20170401), (2, 20, 20170402), (3, 10, 20170401)
+    ]
+
+
+def test_late_orders_are_accounted_for(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("orders", "slots", "state"))
+    schema = "order_create_time int, expect_start_latitude double, expect_start_longitude double, pre_availableDriverNum double"
+    here = (39.9, 116.4)
+    batches = [
+        [(1000, *here, 5.0), (1001, *here, None), (1400, *here, 5.0), (5000, *here, 2.0)],
+        # Two are late; one has no time and one no place.
+        [(1000, *here, 5.0), (1010, *here, 5.0), (5001, *here, 2.0), (None, *here, 1.0), (9, None, 1.0, 1.0), (9000, *here, 1.0)],
+    ]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).write.mode("append").parquet(source)
+        orders = spark.readStream.schema(schema).parquet(source)
+        cells.start_supply_demand(orders, out, state, available_now=True).awaitTermination()
+    found = cells.accounts(spark.read.parquet(source), out, state)
+    assert (found.orders, found.written, found.open, found.late) == (8, 5, 1, 2)
+    on_time = [r for r in batches[0] + batches[1][2:] if r[0] is not None and r[0] < 9000]
+    want = supply_demand(spark.createDataFrame(on_time, schema)).where("geo_time_key is not null")
+    assert tuples(spark.read.parquet(out)) == tuples(want)
+
+
 def test_landing_restarts_from_its_checkpoint(spark, tmp_path):
     source, base, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
     for i in range(3):

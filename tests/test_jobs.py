@@ -219,6 +219,17 @@ def test_pricing(tables):
     assert other[0].datetime == MIDNIGHT + 10 * 3600 - 60
 
 
+def test_pricing_reads_the_rounds_once(spark, tables, tmp_path):
+    path = str(tmp_path / "info")
+    tables["dispatch_info"].write.parquet(path)
+    names = ("pre_dispatch", "system_dispatch", "personal_dispatch")
+    got = pricing(*[tables[n] for n in names], spark.read.parquet(path), [DAY], CITY)
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    # What is left of the rounds is the written ids.
+    assert path not in plan and plan.count("pricing_ids-") >= 3
+
+
 def test_merge(tables):
     rows = daily.merge_tables(tables, [DAY], CITY).collect()
     by_order = {}
@@ -253,7 +264,11 @@ def test_files_to_training_table(spark, tables, tmp_path):
     for name, df in tables.items():
         df.write.partitionBy("dt").parquet(f"{ods}/{name}")
     for _ in range(2):
-        daily.prepare_day(spark, ods, merged, CITY, DAY)
+        done = daily.prepare_day(spark, ods, merged, CITY, DAY)
+    assert done.rows == {"orders": 4, "dispatch": 3, "candidates": 3, "pricing": 3, "merged": 2}
+    # A day of which no table has a folder gives no rows; broken files of it are not opened.
+    none = daily.prepare_day(spark, ods, merged, CITY, "20990101")
+    assert set(none.rows.values()) == {0} and spark.read.parquet(none.path).count() == 0
     for _ in range(2):
         daily.build_training(
             spark, ods, merged, CITY, [DAY], "bidding_training", path=str(tmp_path / "training")
