@@ -51,8 +51,9 @@ def running_total(
     ends = rows.groupBy(PART).agg(F.min(GROUP).alias("first"), F.max(GROUP).alias("last"))
     ends = ends.select(PART, F.explode(F.array_distinct(F.array("first", "last"))).alias(GROUP))
     torn = ends.groupBy(GROUP).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(GROUP)
-    sums = rows.join(torn, GROUP, "left_semi").groupBy(GROUP, PART).agg(F.sum(amount).alias("_sum"))
-    # One row for each range that a torn key lies in.
+    # Torn keys, and the ranges they lie in, are fewer than the ends of all ranges: small enough
+    # to be sent to the rows, which a join by the key would bring together in one task.
+    sums = rows.join(F.broadcast(torn), GROUP, "left_semi").groupBy(GROUP, PART).agg(F.sum(amount).alias("_sum"))
     before = W.partitionBy(GROUP).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
     starts = sums.select(GROUP, PART, F.sum("_sum").over(before).alias("_start"))
     within = W.partitionBy(GROUP, PART).orderBy(*[_col(c) for c in order])
@@ -60,7 +61,7 @@ def running_total(
         local = F.row_number().over(within).cast("bigint")
     else:
         local = F.sum(amount).over(within.rowsBetween(W.unboundedPreceding, W.currentRow))
-    joined = rows.join(starts, [GROUP, PART], "left")
+    joined = rows.join(F.broadcast(starts), [GROUP, PART], "left")
     return joined.withColumn(out, F.coalesce("_start", F.lit(0)) + local).select(*df.columns, out)
 
 
