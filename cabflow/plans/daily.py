@@ -15,6 +15,7 @@ from cabflow.plans.pricing import pricing
 from cabflow.plans.profile import staged_profile
 from cabflow.plans.training import merged_order, training_table
 from cabflow.schemas import ods_schema
+from cabflow.session import scratch
 from cabflow.sinks.writers import staged, write_overwrite, write_table
 from cabflow.sources.tables import merged_path, read_days, read_ods
 
@@ -90,7 +91,8 @@ def prepare_day(
     """Write the merged orders of one city and day; the rows of each step are counted by the way."""
     path, counts = merged_path(out, city, day), RowCounts()
     tables = ods_tables(spark, ods, [day])
-    write_overwrite(merge_tables(tables, [day], city, tz, counts), path)
+    with scratch(spark):
+        write_overwrite(merge_tables(tables, [day], city, tz, counts), path)
     return Prepared(path, counts.rows())
 
 
@@ -106,10 +108,11 @@ def build_training(
 ) -> None:
     """Write the training table from merged days and the profiles over the same days."""
     tables = ods_tables(spark, ods, dates, ("dispatch_info", "dispatch_detail"))
-    profile = staged_profile(
-        spark, tables["dispatch_info"], tables["dispatch_detail"], dates, city, tz=tz
-    )
-    write_table(training_table(read_days(spark, merged, city, dates), profile), table, path=path)
+    with scratch(spark):
+        profile = staged_profile(
+            spark, tables["dispatch_info"], tables["dispatch_detail"], dates, city, tz=tz
+        )
+        write_table(training_table(read_days(spark, merged, city, dates), profile), table, path=path)
 
 
 def write_profile(
@@ -122,7 +125,8 @@ def write_profile(
 ) -> None:
     """Write the profiles of one city's users."""
     tables = ods_tables(spark, ods, dates, ("dispatch_info", "dispatch_detail"))
-    profile = staged_profile(
-        spark, tables["dispatch_info"], tables["dispatch_detail"], dates, city
-    )
-    write_table(profile, table, fmt="parquet", path=path)
+    with scratch(spark):
+        profile = staged_profile(
+            spark, tables["dispatch_info"], tables["dispatch_detail"], dates, city
+        )
+        write_table(profile, table, fmt="parquet", path=path)

@@ -34,6 +34,13 @@ PARAM_FIELDS = {
     "max_range": "mAX_RANGE",
 }
 RATES = tuple(PRICE_FIELDS)
+# Those that no summary uses.
+MORE_TEMPLATE_FIELDS = {"code": "code"}
+MORE_PARAM_FIELDS = {
+    "assign_max_range": "aSSIGN_MAX_RANGE",
+    "max_accept_count": "mAX_ACCEPT_COUNT",
+    "max_driver_count": "mAX_DRIVER_COUNT",
+}
 
 # The rest of a round's columns, in the order that tells tied rounds apart.
 ROUND_COLUMNS = (
@@ -65,8 +72,13 @@ def dispatch_rounds(
     dates: Sequence[str] | None = None,
     city: str | None = None,
     tz: str = LOCAL_ZONE,
+    whole: bool = False,
 ) -> DataFrame:
-    """Typed rounds; the city is the one in the template, not the one of the table."""
+    """Typed rounds; the city is the one in the template, not the one of the table.
+
+    ``whole`` adds, at the end, the template's columns that the summaries do not use.
+    """
+    more_template, more_params = (MORE_TEMPLATE_FIELDS, MORE_PARAM_FIELDS) if whole else ({}, {})
     rows = of_days(info, dates).select(
         KEY,
         "round",
@@ -76,9 +88,9 @@ def dispatch_rounds(
         "add_price_info",
         "template_snapshot",
     )
-    template = TEMPLATE_FIELDS | {"_params": "dispatchParams"}
+    template = TEMPLATE_FIELDS | more_template | {"_params": "dispatchParams"}
     rows = of_city(with_json(rows, F.col("template_snapshot"), template), city)
-    rows = with_json(rows, F.col("_params"), PARAM_FIELDS)
+    rows = with_json(rows, F.col("_params"), PARAM_FIELDS | more_params)
     rows = with_json(rows, F.col("add_price_info"), {f"_{n}": f for n, f in PRICE_FIELDS.items()})
     return rows.select(
         *POSITION,
@@ -86,6 +98,8 @@ def dispatch_rounds(
         *[number(F.col(f"_{name}")).alias(name) for name in RATES],
         *TEMPLATE_FIELDS,
         *PARAM_FIELDS,
+        *more_template,
+        *more_params,
     )
 
 

@@ -14,13 +14,16 @@ from cabflow.schemas import DEVICE, IMPORTS, RISK_ORDER, ImportSource, fields, w
 from cabflow.sinks.writers import (
     drop_partition,
     merge_path,
+    partition_path,
+    path_exists,
     staged,
     write_jdbc,
     write_overwrite,
     write_partition,
+    write_sized,
 )
 from cabflow.sources.tables import read_existing
-from cabflow.sources.text import parse_tsv, read_tsv_named
+from cabflow.sources.text import LINE, parse_tsv, read_tsv_named
 
 RETENTION_DAYS = 30
 RISK_KEYS = ["service_order_id"]
@@ -38,14 +41,37 @@ def export_rows(
 
 
 def import_export(
-    spark: SparkSession, name: str, folder: str, base: str, day: str, on_short: str = "fail"
+    spark: SparkSession,
+    name: str,
+    folder: str,
+    base: str,
+    day: str,
+    on_short: str = "fail",
+    on_absent: str = "fail",
+    part_bytes: int | None = None,
 ) -> str:
-    """Replace one day of an imported table and drop the day that is 30 days older."""
+    """Replace one day of an imported table and drop the day that is 30 days older.
+
+    Without an export of the day the import fails, or with ``on_absent="clear"`` the day becomes
+    an empty one.  Files are as large as ``part_bytes`` says (see ``write_sized``); by default
+    there is one for each part of the export.
+    """
     source = IMPORTS[name]
-    lines = spark.read.text(f"{folder}/{source.file_name}_{day}.tsv")
-    path = write_partition(export_rows(lines, source, day, on_short), base, dt=int(day))
+    path = f"{folder}/{source.file_name}_{day}.tsv"
+    if on_absent not in ("fail", "clear"):
+        raise ValueError(f"on_absent must be 'fail' or 'clear', not {on_absent!r}")
+    if on_absent == "clear" and not path_exists(spark, path):
+        lines = spark.createDataFrame([], f"{LINE} string")
+    else:
+        lines = spark.read.text(path)
+    rows = export_rows(lines, source, day, on_short)
+    if part_bytes is None:
+        target = write_partition(rows, base, dt=int(day))
+    else:
+        target = partition_path(base, dt=int(day))
+        write_sized(rows, target, part_bytes)
     drop_partition(spark, base, shift_day(day, -RETENTION_DAYS))
-    return path
+    return target
 
 
 def devices(spark: SparkSession, path: str, day: str) -> DataFrame:

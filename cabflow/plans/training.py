@@ -24,7 +24,8 @@ def merged_order(orders: DataFrame, dispatch: DataFrame, prices: DataFrame) -> D
     )
 
 
-def _cells(orders: DataFrame) -> DataFrame:
+def with_cells(orders: DataFrame) -> DataFrame:
+    """Adds the cell and time slot of a row (``_cell``) and its cell (``expect_geohash``)."""
     lat, lon = F.col("expect_start_latitude"), F.col("expect_start_longitude")
     return orders.withColumns(
         {
@@ -34,7 +35,7 @@ def _cells(orders: DataFrame) -> DataFrame:
     )
 
 
-def _demand(merged: DataFrame) -> DataFrame:
+def demand_of(merged: DataFrame) -> DataFrame:
     return known(supply_demand(merged), "geo_time_key")
 
 
@@ -48,16 +49,23 @@ def _by_row(cells: DataFrame, merged: DataFrame) -> DataFrame:
     The key starts with the cell, so the statistics join the few rows of supply and
     demand, and the wide orders are shuffled once for both.
     """
-    slots = _demand(merged).withColumn("_geo", F.substring_index("geo_time_key", "_", 1))
+    slots = demand_of(merged).withColumn("_geo", F.substring_index("geo_time_key", "_", 1))
     slots = left_join(slots, _of_cells(merged), "_geo", "geo").drop("_geo")
     return left_join(cells, slots, "_cell", "geo_time_key", often_missing=True)
 
 
-def _by_order(cells: DataFrame, merged: DataFrame) -> DataFrame:
-    """The supply and demand of every row of the same order, times those rows."""
+def with_demand_of_order(cells: DataFrame, demand: DataFrame) -> DataFrame:
+    """Every row with the supply and demand of each row of the same order.
+
+    ``n`` rows of an order become ``n`` times ``n``.
+    """
     of_rows = cells.select(F.col("service_order_id").alias("_oid"), "_cell")
-    slots = left_join(of_rows, _demand(merged), "_cell", "geo_time_key", often_missing=True)
-    joined = left_join(cells, slots.drop("_cell"), "service_order_id", "_oid")
+    slots = left_join(of_rows, demand, "_cell", "geo_time_key", often_missing=True)
+    return left_join(cells, slots.drop("_cell"), "service_order_id", "_oid")
+
+
+def _by_order(cells: DataFrame, merged: DataFrame) -> DataFrame:
+    joined = with_demand_of_order(cells, demand_of(merged))
     return left_join(joined, _of_cells(merged), "expect_geohash", "geo", often_missing=True)
 
 
@@ -75,7 +83,7 @@ def training_features(
     """
     if fan_out not in FAN_OUTS:
         raise ValueError(f"fan_out must be 'row' or 'order', not {fan_out!r}")
-    joined = FAN_OUTS[fan_out](_cells(merged), merged)
+    joined = FAN_OUTS[fan_out](with_cells(merged), merged)
     kept = complete(joined.drop("_cell"))
     return left_join(kept, profile, "user_id", "uid", often_missing=True)
 

@@ -153,6 +153,10 @@ INFO_PARSED = {
     "distanct_pct": "cast(l_suppkey % 100 as string)",
     "evaluation_pct": "'20'",
     "max_range": "'50000'",
+    "code": "case when l_linenumber = 1 then 'first' else 'normal' end",
+    "assign_max_range": "cast(l_partkey % 9000 as string)",
+    "max_accept_count": "cast(l_linenumber + 2 as string)",
+    "max_driver_count": "cast(l_suppkey % 40 as string)",
 }
 
 DETAIL_COLUMNS = {
@@ -208,7 +212,9 @@ def _derived(table: DataFrame, columns: dict[str, str], **text: str) -> DataFram
 
 _PARAMS = (
     "named_struct('bATCH_DRIVER_COUNT', l_linenumber * 10, 'bATCH_INTERVAL', l_linenumber,"
-    " 'cONTRIBUTION', 70, 'dISTANCE', l_suppkey % 100, 'eVALUATION', 20, 'mAX_RANGE', 50000)"
+    " 'cONTRIBUTION', 70, 'dISTANCE', l_suppkey % 100, 'eVALUATION', 20, 'mAX_RANGE', 50000,"
+    " 'aSSIGN_MAX_RANGE', l_partkey % 9000, 'mAX_ACCEPT_COUNT', l_linenumber + 2,"
+    " 'mAX_DRIVER_COUNT', l_suppkey % 40)"
 )
 
 
@@ -232,7 +238,7 @@ def dispatch_info(t: Tables) -> DataFrame:
         " 'dep', cast(floor(l_extendedprice) as int)))"
     )
     template = (
-        f"to_json(named_struct('city', {_CITY}, 'code', 'normal', 'dispatchParams', {_PARAMS},"
+        f"to_json(named_struct('city', {_CITY}, 'code', {INFO_PARSED['code']}, 'dispatchParams', {_PARAMS},"
         " 'isRushHour', l_linenumber % 2, 'remark', l_returnflag))"
     )
     return _derived(

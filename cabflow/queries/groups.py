@@ -11,6 +11,7 @@ from cabflow.operators.joins import left_join, semi, upsert, with_group_stats
 from cabflow.operators.picking import Snapshot, snapshots
 from cabflow.plans.dispatch import dispatch_candidates
 from cabflow.plans.profile import profile_base
+from cabflow.plans.training import demand_of, with_cells, with_demand_of_order
 from cabflow.queries.base import Tables, query
 from cabflow.queries.columns import ACCEPT_SQL, GEO_KEY_SQL, geohash_sql
 from cabflow.queries.domain import (
@@ -586,6 +587,30 @@ def a11(t: Tables):
     return t.spark.createDataFrame([(found.get["rows"],)], "rows bigint")
 
 
+@query(
+    "j6_demand_of_order",
+    f"""
+    {with_views("service_order")},
+    placed as (
+        select service_order_id, update_time, {GEO_KEY_SQL} as cell
+        from (select *, create_time as order_create_time from service_order) o
+    ), demand as (
+        select cell, count(*) as abs_demand,
+               round(avg(service_order_id % 40) / (count(*) + 1), 6) as relative_supply
+        from placed group by cell
+    )
+    select a.service_order_id, a.update_time, abs_demand, relative_supply
+    from placed a join placed b on b.service_order_id = a.service_order_id
+    join demand on demand.cell = b.cell
+    """,
+)
+def j6_by_order(t: Tables):
+    """Joined by the order, two versions of an order are four rows."""
+    orders = _available(t)
+    joined = with_demand_of_order(with_cells(orders), demand_of(orders))
+    return rounded(joined.select("service_order_id", "update_time", "abs_demand", "relative_supply"), "relative_supply")
+
+
 _STREAM_DELAY = 600
 
 

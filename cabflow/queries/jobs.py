@@ -15,6 +15,8 @@ from cabflow.plans.dispatch import (
     dispatch_candidates,
     dispatch_info_extract,
     dispatch_merged,
+    dispatch_rounds,
+    numbered_rounds,
 )
 from cabflow.plans.kpi import refresh_dispatch_kpi
 from cabflow.plans.orders import ORDER_COLUMNS, name_map, order_base
@@ -86,6 +88,11 @@ _ROUND_ORDER = ["round", "batch", "datetime", *ROUND_COLUMNS, *RATES, "city", "i
                 "remark", *PARAM_FIELDS]
 
 
+_SMALL_ROUND = ["round", "batch", "status", "dispatch_type", "decision_type", "user_level",
+                "decision_car_type_id", "dispatch_count", "response_count", "accept_count",
+                "can_dispatch_count"]
+
+
 def _pick(name: str, source: str, order: str, where: str, columns: list[str]) -> str:
     return f"""
     {name} as (
@@ -270,6 +277,26 @@ def c4(t: Tables):
     )
 
 
+_WHOLE_ROUND = [*_ROUND_ORDER, "code", "assign_max_range", "max_accept_count", "max_driver_count"]
+
+
+@query(
+    "p2_round_columns",
+    f"""
+    {_INFO_VIEWS}
+    select service_order_id, {", ".join(c for c in _WHOLE_ROUND if c not in (*RATES, *_SMALL_ROUND))},
+           {", ".join(f"cast({c} as double) as {c}" for c in RATES)},
+           {", ".join(f"cast({c} as int) as {c}" for c in _SMALL_ROUND)},
+           cast(row_number() over (partition by service_order_id
+                order by {", ".join(f"{c} nulls first" for c in _WHOLE_ROUND)}) as bigint) as acc_batch
+    from dispatch_rounds
+    """,
+)
+def p2_rounds(t: Tables):
+    """All columns of a round with its running number."""
+    return small_ints(numbered_rounds(dispatch_rounds(dispatch_info(t), DATES, whole=True)))
+
+
 @query("c5_dispatch_rounds", f"{_INFO_VIEWS}, {_ROUNDS} select * from info_out")
 def c5(t: Tables):
     extract = dispatch_info_extract(dispatch_info(t), DATES)

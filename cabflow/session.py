@@ -4,6 +4,10 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from urllib.parse import urlsplit
 
 from pyspark.sql import SparkSession
 
@@ -42,14 +46,46 @@ def build_session(app: str, input_bytes: int | None = None, **overrides: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder, or one below the warehouse where none is set."""
+    """The folder that all executors share, from ``spark.checkpoint.dir``.
+
+    Where it is not set, as in tests, one below the warehouse is used.  A warehouse on the disk of
+    one machine does not do on a cluster.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+        warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+        if urlsplit(warehouse).scheme in ("", "file") and not spark.sparkContext.master.startswith("local"):
+            raise ValueError(f"set spark.checkpoint.dir: {warehouse} is a folder of one machine")
+        folder = f"{warehouse}/_scratch"
     return folder.rstrip("/")
 
 
+#: Paths that were handed out inside :func:`scratch`, innermost last.
+_OPEN: ContextVar[tuple[list[str], ...]] = ContextVar("open scratch folders", default=())
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    for paths in _OPEN.get()[-1:]:
+        paths.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is removed at the end.
+
+    For jobs that write their result: frames made inside must not be read after it.
+    """
+    paths: list[str] = []
+    token = _OPEN.set((*_OPEN.get(), paths))
+    try:
+        yield
+    finally:
+        _OPEN.reset(token)
+        jvm = spark.sparkContext._jvm
+        for path in paths:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

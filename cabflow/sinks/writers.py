@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cabflow.operators.joins import upsert
-from cabflow.session import scratch_path
+from cabflow.session import scratch, scratch_path
 
 
 def balanced(df: DataFrame, *by: str) -> DataFrame:
@@ -212,8 +212,13 @@ def merge_path(
     together: a merge that is cut off in between is ended by the next one.  Until then a reader
     may miss rows of the buckets that were being swapped.  One merge at a time.
     """
-    path = path.rstrip("/")
-    new = staged(spark, new, "delta")
+    with scratch(spark):
+        return _merged(spark, staged(spark, new, "delta"), path.rstrip("/"), keys, keep, buckets)
+
+
+def _merged(
+    spark: SparkSession, new: DataFrame, path: str, keys: Sequence[str], keep: Column | None, buckets: int | None
+) -> list[int]:
     target, fs = _hadoop_path(spark, path)
     if fs.exists(target):
         _finish_swaps(spark, path)

@@ -154,6 +154,22 @@ def test_import_job(spark, tmp_path):
     assert sorted(os.listdir(base)) == ["dt=20170401"]
 
 
+def test_import_of_an_absent_export(spark, tmp_path):
+    folder, base = str(tmp_path / "tsv"), str(tmp_path / "base")
+    schema = IMPORTS["ods_service_order"].schema
+    row = "\t".join("20170401" if n == "dt" else "" for n in names(schema))
+    write(folder, "ods_service_order_20170401.tsv", "\n".join([row] * 500))
+    imports.import_export(spark, "ods_service_order", folder, base, "20170401", part_bytes=16 << 10)
+    assert spark.read.parquet(f"{base}/dt=20170401").count() == 500
+    with pytest.raises(Exception, match="20170402"):
+        imports.import_export(spark, "ods_service_order", folder, base, "20170402")
+    os.rename(f"{folder}/ods_service_order_20170401.tsv", f"{folder}/elsewhere.tsv")
+    imports.import_export(spark, "ods_service_order", folder, base, "20170401", on_absent="clear")
+    assert spark.read.parquet(f"{base}/dt=20170401").count() == 0
+    with pytest.raises(ValueError, match="on_absent"):
+        imports.import_export(spark, "ods_service_order", folder, base, "20170401", on_absent="x")
+
+
 def test_device_job(spark, tmp_path):
     write(tmp_path, "d.tsv", "d1\t7\t1\t0\t5\t1.0\tos\t9\tm\tt\ts\tf\tn\ta\t0\nd2\t\t\t\t\t\t\t\t\t\t\t\t\t\t0\n")
     target = str(tmp_path / "devices")
@@ -438,3 +454,38 @@ def test_shared_folder_comes_from_the_session(spark):
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert shared_folder(spark) == folder.rstrip("/")
     assert scratch_path(spark, "a") != scratch_path(spark, "a")
+
+
+def test_jobs_remove_what_they_staged(spark):
+    from cabflow.session import scratch, scratch_path
+
+    before = scratch_path(spark, "kept")
+    spark.range(1).write.parquet(before)
+    with scratch(spark):
+        outer = writers.staged(spark, spark.range(3), "outer")
+        with pytest.raises(KeyError), scratch(spark):
+            inner = scratch_path(spark, "inner")
+            spark.range(1).write.parquet(inner)
+            raise KeyError
+        assert not os.path.exists(inner)
+        assert outer.count() == 3
+        folder = os.path.dirname(outer.inputFiles()[0].removeprefix("file://"))
+        assert os.path.exists(folder)
+    assert not os.path.exists(folder) and os.path.exists(before)
+
+
+def test_a_machines_own_folder_is_refused_on_a_cluster():
+    from types import SimpleNamespace
+
+    from cabflow.session import shared_folder
+
+    def session(master, warehouse, folder=None):
+        conf = {"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": folder}
+        get = SimpleNamespace(get=lambda key, default=None: conf[key] or default)
+        return SimpleNamespace(conf=get, sparkContext=SimpleNamespace(getConf=lambda: get, master=master))
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(session("yarn", "file:/tmp/spark-warehouse"))
+    assert shared_folder(session("local[8]", "file:/w/")) == "file:/w/_scratch"
+    assert shared_folder(session("yarn", "hdfs://a/w")) == "hdfs://a/w/_scratch"
+    assert shared_folder(session("yarn", "/w", "hdfs://a/c/")) == "hdfs://a/c"
