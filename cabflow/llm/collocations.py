@@ -8,10 +8,12 @@
 4. Neighbours are pairs of ids.  The matrix of pairs is cut into tiles of ``SIDE`` by ``SIDE``
    cells; each chunk sends its distinct pairs, with their counts, to the parts that hold their
    tiles.  A part counts a tile that is filled well by ``numpy.bincount`` over its cells, and
-   sparse tiles by sorting (tile, cell, count) triples.
-5. Frequent pairs are ranked like words and take their place in the sequences, and the same count
-   over neighbours gives phrases of one word more, as two phrases that overlap in all but one
-   word each.  This goes on to the longest phrases.
+   sparse tiles by sorting (tile, cell, count) triples.  It also writes down which chunk's pairs
+   turned out frequent.
+5. Frequent pairs are ranked like words.  The parts look the ranks up for the chunks' frequent
+   pairs, which take their place in the sequences, and the same count over neighbours gives
+   phrases of one word more, as two phrases that overlap in all but one word each.  This goes on
+   to the longest phrases.
 
 A tile of two frequent blocks of ids may hold a third of all pairs.  How much it holds at most is
 known from the frequencies, so it is dealt over as many parts as that takes; each counts it
@@ -27,13 +29,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.core.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from cabflow.llm.arrays import as_lists, lists, mixed
 from cabflow.llm.common import stage
-from cabflow.operators.numbering import running_total
+from cabflow.operators.numbering import running_total, top_k_per_key
 
 #: Words of a chunk, after which a task begins the next one.
 CHUNK_WORDS = 1_000_000
@@ -44,8 +47,6 @@ SIDE = 1 << SIDE_BITS
 BLOCK_BITS = 31
 #: Words of the corpus for each part that counts tiles.
 PART_WORDS = 2_000_000
-#: Triples that a part holds before it adds up equal ones.
-PENDING = 2_000_000
 
 BREAK, NOTHING = -1, -2
 #: A-Z in lower case, tab as space, all ends of a piece as line feed.
@@ -54,8 +55,10 @@ BYTES = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\x0b\x0c\r", b"abcde
 Batches = Iterator[pa.RecordBatch]
 CHUNK = "chunk long, n int, data binary, lang array<string>, word array<string>, times array<long>"
 SEQUENCE = "chunk long, n int, data binary"
-PACKED = "part int, whole boolean, tile array<long>, cell array<int>, times array<long>"
-
+#: Cells of tiles by part: pairs of a chunk (with their number in it), or counts or ids of pairs.
+CELLS = "part int, kind int, chunk long, tile array<long>, cell array<int>, number array<long>, local array<int>"
+#: Kinds of such rows, in the order in which they are worked through.
+COUNTS, PARTIAL, OF_CHUNK = 0, 1, 2
 
 def packed(numbers: np.ndarray) -> bytes:
     return pa.compress(numbers.tobytes(), codec="zstd", asbytes=True)
@@ -151,14 +154,6 @@ def _rows(batches: Batches, kind: type) -> Iterator[tuple[int, np.ndarray]]:
             yield chunk.as_py(), unpacked(n.as_py(), data.as_py(), kind)
 
 
-def _distinct(batches: Batches) -> Batches:
-    """The distinct pairs of every chunk, by their number in it."""
-    for chunk, ids in _rows(batches, np.int64):
-        _, a, b, _, _ = neighbours(ids)
-        arrays = [np.full(len(a), chunk), np.arange(len(a), dtype=np.int32), a, b]
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in arrays], names=["chunk", "local", "a", "b"])
-
-
 def _of_words(data: bytes, n: int) -> tuple[int, Callable[[np.ndarray], np.ndarray]]:
     symbols = unpacked(n, data, np.int32)
     size = int(symbols.max(initial=-1)) + 1
@@ -177,10 +172,10 @@ def _of_pairs(data: bytes, n: int) -> tuple[int, Callable[[np.ndarray], np.ndarr
     return len(a), placed
 
 
-def _replaced(opened: Callable) -> Callable[[Batches], Batches]:
+def _replaced(opened: Callable, in_lists: bool) -> Callable[[Batches], Batches]:
     """Puts the ids of a chunk's words or pairs in their places; -1 for those without one.
 
-    Rows come by chunk: the chunk itself first (``local`` is -1), then its ids.
+    Rows come by chunk: the chunk itself first, then its ids, one or a list of them a row.
     """
 
     def row(chunk: int, ids: np.ndarray) -> pa.RecordBatch:
@@ -190,7 +185,11 @@ def _replaced(opened: Callable) -> Callable[[Batches], Batches]:
     def run(batches: Batches) -> Batches:
         chunk, ids, placed = None, None, None
         for batch in batches:
-            chunks, local, id_ = (batch.column(c).to_numpy() for c in ("chunk", "local", "id"))
+            chunks = batch.column("chunk").to_numpy()
+            if in_lists:
+                each = list(zip(lists(batch.column("local")), lists(batch.column("id")), strict=True))
+            else:
+                local, id_ = (batch.column(c).to_numpy() for c in ("local", "id"))
             bounds = np.flatnonzero(np.r_[True, chunks[1:] != chunks[:-1], True]) if len(chunks) else []
             for start, end in zip(bounds, bounds[1:], strict=False):
                 if chunks[start] != chunk:
@@ -200,7 +199,11 @@ def _replaced(opened: Callable) -> Callable[[Batches], Batches]:
                     size, placed = opened(batch.column("data")[start].as_py(), batch.column("n")[start].as_py())
                     ids = np.full(size, -1, np.int64)
                     start += 1
-                ids[local[start:end]] = id_[start:end]
+                if in_lists:
+                    for local_, id_ in each[start:end]:
+                        ids[local_] = id_
+                else:
+                    ids[local[start:end]] = id_[start:end]
         if placed is not None:
             yield row(chunk, placed(ids))
 
@@ -208,12 +211,15 @@ def _replaced(opened: Callable) -> Callable[[Batches], Batches]:
 
 
 def with_ids(sequences: DataFrame, found: DataFrame, opened: Callable) -> DataFrame:
-    """Sequences of the ids in ``found`` (``chunk``, ``local``, ``id``)."""
-    none = F.lit(None)
-    first = sequences.select("chunk", F.lit(-1).alias("local"), F.lit(-1).cast("bigint").alias("id"), "n", "data")
-    then = found.select("chunk", "local", "id", none.cast("int").alias("n"), none.cast("binary").alias("data"))
-    rows = first.unionByName(then).repartition("chunk").sortWithinPartitions("chunk", "local")
-    return rows.mapInArrow(_replaced(opened), SEQUENCE)
+    """Sequences of the ids in ``found`` (``chunk``, and ``local`` and ``id`` or lists of them)."""
+    kind = found.schema["local"].dataType
+    in_lists = isinstance(kind, ArrayType)
+    zero = lambda name: (F.array() if in_lists else F.lit(0)).cast(found.schema[name].dataType).alias(name)
+    first = sequences.select("chunk", F.lit(0).alias("turn"), zero("local"), zero("id"), "n", "data")
+    none = [F.lit(None).cast("int").alias("n"), F.lit(None).cast("binary").alias("data")]
+    then = found.select("chunk", F.lit(1).alias("turn"), "local", "id", *none)
+    rows = first.unionByName(then).repartition("chunk").sortWithinPartitions("chunk", "turn")
+    return rows.mapInArrow(_replaced(opened, in_lists), SEQUENCE)
 
 
 # -- tiles -----------------------------------------------------------------------------
@@ -256,44 +262,53 @@ def tiles_for(ranked: DataFrame, words: int) -> Tiles:
 
 
 def summed(tile: np.ndarray, cell: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Adds up equal cells of equal tiles; the result is in their order."""
+    """Adds up equal cells of equal tiles: tile, cell and sum, and for each entry that came in the
+    sum it is part of."""
     turn = np.argsort(tile, kind="stable")
     tile, cell, times = tile[turn], cell[turn], times[turn]
     bounds = np.flatnonzero(np.r_[True, tile[1:] != tile[:-1], True]) if len(tile) else np.zeros(1, np.int64)
     dense = np.flatnonzero(np.diff(bounds) >= SIDE * SIDE // 16)
-    sparse = np.ones(len(tile), bool)
-    out = []
+    sparse, of_entry = np.ones(len(tile), bool), np.zeros(len(tile), np.int64)
+    out = [(tile[:0], cell[:0], times[:0].astype(np.int64))]
     for i in dense:
         here = slice(bounds[i], bounds[i + 1])
         sparse[here] = False
         # Sums stay below 2 ** 53, up to which they are exact.
-        counts = np.bincount(cell[here], weights=times[here], minlength=SIDE * SIDE)
+        counts = np.bincount(cell[here], weights=times[here], minlength=SIDE * SIDE).astype(np.int64)
         cells = np.flatnonzero(counts)
-        out.append((np.full(len(cells), tile[bounds[i]]), cells.astype(np.int32), counts[cells].astype(np.int64)))
+        out.append((np.full(len(cells), tile[bounds[i]]), cells.astype(np.int32), counts[cells]))
+        of_entry[turn[here]] = counts[cell[here]]
     if sparse.any():
-        tile, cell, times = tile[sparse], cell[sparse], times[sparse]
-        turn = np.lexsort((cell, tile))
-        tile, cell, times = tile[turn], cell[turn], times[turn]
-        first = np.flatnonzero(np.r_[True, (tile[1:] != tile[:-1]) | (cell[1:] != cell[:-1])])
-        out.append((tile[first], cell[first], np.add.reduceat(times, first)))
-    if not out:
-        return tile, cell, times
-    return tuple(np.concatenate(c) for c in zip(*out, strict=True))
-
-
-def _by_part(part: np.ndarray, tile: np.ndarray, cell: np.ndarray, times: np.ndarray, whole: bool) -> pa.RecordBatch:
+        place = np.flatnonzero(sparse)
+        place = place[np.lexsort((cell[place], tile[place]))]
+        tile, cell, times = tile[place], cell[place], times[place]
+        new = np.r_[True, (tile[1:] != tile[:-1]) | (cell[1:] != cell[:-1])]
+        first = np.flatnonzero(new)
+        sums = np.add.reduceat(times, first)
+        out.append((tile[first], cell[first], sums))
+        of_entry[turn[place]] = sums[np.cumsum(new) - 1]
+    return *(np.concatenate(c) for c in zip(*out, strict=True)), of_entry
+
+
+def _cells(kind: int, part: np.ndarray, chunk: int, *columns: np.ndarray) -> pa.RecordBatch:
+    """Rows of entries by part; ``columns`` are tile, cell and number, and may be local numbers."""
     turn = np.argsort(part, kind="stable")
     part = part[turn]
-    bounds = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-    cut = lambda x: np.split(x[turn], bounds[1:])
-    arrays = [
-        pa.array(part[bounds].astype(np.int32)),
-        pa.array([whole] * len(bounds), pa.bool_()),
-        as_lists(cut(tile), pa.int64()),
-        as_lists(cut(cell), pa.int32()),
-        as_lists(cut(times), pa.int64()),
-    ]
-    return pa.RecordBatch.from_arrays(arrays, names=["part", "whole", "tile", "cell", "times"])
+    bounds = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else np.zeros(0, np.int64)
+    cut = lambda x: np.split(x[turn], bounds[1:]) if len(bounds) else []
+    columns = [*columns, *[part[:0]] * (4 - len(columns))]
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32())
+    filled = [as_lists(cut(c) if len(c) == len(turn) else [c] * len(bounds), k) for c, k in zip(columns, kinds, strict=True)]
+    one = lambda value, k: pa.array([value] * len(bounds), k)
+    arrays = [pa.array(part[bounds].astype(np.int32)), one(kind, pa.int32()), one(chunk, pa.int64()), *filled]
+    return pa.RecordBatch.from_arrays(arrays, names=["part", "kind", "chunk", "tile", "cell", "number", "local"])
+
+
+def _in_tile(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    if len(a) and max(a.max(), b.max()) >> (SIDE_BITS + BLOCK_BITS):
+        raise OverflowError("more ids than a tile's number can hold")
+    tile = (a >> SIDE_BITS) << BLOCK_BITS | (b >> SIDE_BITS)
+    return tile, ((a & (SIDE - 1)) << SIDE_BITS | (b & (SIDE - 1))).astype(np.int32)
 
 
 def _sent(shared) -> Callable[[Batches], Batches]:
@@ -303,77 +318,147 @@ def _sent(shared) -> Callable[[Batches], Batches]:
         tiles: Tiles = shared.value
         for chunk, ids in _rows(batches, np.int64):
             _, a, b, times, _ = neighbours(ids)
-            if not len(a):
-                continue
-            if max(a.max(), b.max()) >> (SIDE_BITS + BLOCK_BITS):
-                raise OverflowError("more ids than a tile's number can hold")
-            tile = (a >> SIDE_BITS) << BLOCK_BITS | (b >> SIDE_BITS)
-            cell = ((a & (SIDE - 1)) << SIDE_BITS | (b & (SIDE - 1))).astype(np.int32)
+            tile, cell = _in_tile(a, b)
             copy = mixed(np.array([chunk]), 7).astype(np.int64)[0] % tiles.copies(tile)
-            yield _by_part(tiles.part(tile, copy), tile, cell, times, True)
+            yield _cells(OF_CHUNK, tiles.part(tile, copy), chunk, tile, cell, times, np.arange(len(tile), dtype=np.int32))
 
     return run
 
 
-def _counted(shared, least: int, last: bool) -> Callable[[Batches], Batches]:
-    """Counts the tiles of each part; rows come by part.
-
-    Cells below ``least`` go, unless the tile is dealt over parts (``whole`` is false then).  On
-    the ``last`` run nothing is dealt any more.
+def _by_part(batches: Batches) -> Iterator[tuple[int, list[tuple[int, int, np.ndarray, ...]]]]:
+    """Rows of one part after the other: (kind, chunk, tile, cell, number, local)."""
+    now, held = None, []
+    for batch in batches:
+        flat = [batch.column(c).to_pylist() for c in ("part", "kind", "chunk")]
+        columns = [lists(batch.column(c)) for c in ("tile", "cell", "number", "local")]
+        for part, *row in zip(*flat, *columns, strict=True):
+            if part != now:
+                if held:
+                    yield now, held
+                now, held = part, []
+            held.append(tuple(row))
+    if held:
+        yield now, held
+
+
+def _counted(shared, least: int, look_up: bool) -> Callable[[Batches], Batches]:
+    """Counts the tiles of each part, of which the rows come together.
+
+    Cells below ``least`` go.  A tile that is dealt over parts is not known as a whole: all its
+    cells stay, as partial counts and (for ``look_up``) in the chunks they are from.
     """
 
-    def rows(tiles: Tiles, part: int, held: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
-        tile, cell, times = (np.concatenate(c) for c in zip(*held, strict=True))
-        dealt = np.zeros(len(tile), bool) if last else tiles.copies(tile) > 1
-        for whole, keep in ((True, ~dealt & (times >= least)), (False, dealt)):
-            if keep.any():
+    def run(batches: Batches) -> Batches:
+        tiles: Tiles = shared.value
+        for part, rows in _by_part(batches):
+            of_rows = [np.concatenate(c) for c in zip(*(r[2:5] for r in rows), strict=True)]
+            tile, cell, times, of_entry = summed(*of_rows)
+            dealt = tiles.copies(tile) > 1
+            often = ~dealt & (times >= least)
+            yield _cells(COUNTS, np.full(int(often.sum()), part), -1, tile[often], cell[often], times[often])
+            if dealt.any():
                 # Partial tiles meet again in the part of their first copy.
-                to = tiles.part(tile[keep], np.zeros(int(keep.sum()), np.int64)) if not whole else np.full(int(keep.sum()), part)
-                yield _by_part(to, tile[keep], cell[keep], times[keep], whole)
+                meet = tiles.part(tile[dealt], np.zeros(int(dealt.sum()), np.int64))
+                yield _cells(PARTIAL, meet, -1, tile[dealt], cell[dealt], times[dealt])
+            if look_up:
+                keep = (of_entry >= least) | (tiles.copies(of_rows[0]) > 1)
+                start = 0
+                for _, chunk, tile, cell, number, local in rows:
+                    here = keep[start : start + len(tile)]
+                    start += len(tile)
+                    to = np.full(int(here.sum()), part)
+                    yield _cells(OF_CHUNK, to, chunk, tile[here], cell[here], number[here], local[here])
+
+    return run
+
+
+def _added(least: int) -> Callable[[Batches], Batches]:
+    """Counts of tiles from their parts."""
 
     def run(batches: Batches) -> Batches:
-        tiles: Tiles = shared.value
-        now, held, size, added = None, [], 0, 0
-        for batch in batches:
-            columns = [lists(batch.column(c)) for c in ("tile", "cell", "times")]
-            for part, *triple in zip(batch.column("part").to_pylist(), *columns, strict=True):
-                if part != now:
-                    if held:
-                        yield from rows(tiles, now, [_all(held)])
-                    now, held, size, added = part, [], 0, 0
-                held.append(tuple(triple))
-                size += len(triple[0])
-                added += len(triple[0])
-                # Worth it only if what came is as much as what is held.
-                if added >= max(PENDING, size // 2):
-                    held = [_all(held)]
-                    size, added = len(held[0][0]), 0
-        if held:
-            yield from rows(tiles, now, [_all(held)])
+        for part, rows in _by_part(batches):
+            tile, cell, times, _ = summed(*(np.concatenate(c) for c in zip(*(r[2:5] for r in rows), strict=True)))
+            often = times >= least
+            yield _cells(COUNTS, np.full(int(often.sum()), part), -1, tile[often], cell[often], times[often])
 
     return run
 
 
-def _all(held: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
-    return summed(*(np.concatenate(c) for c in zip(*held, strict=True)))
+def _dealt(cells: DataFrame, parts: int) -> DataFrame:
+    return cells.repartition(parts, "part").sortWithinPartitions("part", "kind")
 
 
-def count_pairs(sequences: DataFrame, ranked: DataFrame, least: int, words: int) -> DataFrame:
-    """``a``, ``b``, ``f``: ids that stand next to each other ``least`` times or more, and how often."""
+@dataclass(frozen=True)
+class Counted:
+    """Frequent pairs (``a``, ``b``, ``f``), and the chunks' pairs that may be among them."""
+
+    pairs: DataFrame
+    of_chunks: DataFrame
+    parts: int
+    shared: Broadcast
+
+
+def count_pairs(sequences: DataFrame, ranked: DataFrame, least: int, words: int, look_up: bool) -> Counted:
+    """Ids that stand next to each other ``least`` times or more, and how often."""
     spark = sequences.sparkSession
     tiles = tiles_for(ranked, words)
     shared = spark.sparkContext.broadcast(tiles)
-    dealt = lambda df: df.repartition(tiles.parts, "part").sortWithinPartitions("part")
-    sent = sequences.mapInArrow(_sent(shared), PACKED)
-    counted = stage(spark, dealt(sent).mapInArrow(_counted(shared, least, False), PACKED), "tiles")
-    added = dealt(counted.where(~F.col("whole"))).mapInArrow(_counted(shared, least, True), PACKED)
-    cells = counted.where("whole").unionByName(added).select(F.explode(F.arrays_zip("tile", "cell", "times")).alias("c"))
-    side, block = F.lit(SIDE - 1), F.lit((1 << BLOCK_BITS) - 1)
-    high, low = F.shiftright("c.tile", BLOCK_BITS), F.col("c.tile").bitwiseAND(block)
-    in_high, in_low = F.shiftright("c.cell", SIDE_BITS), F.col("c.cell").bitwiseAND(side)
-    return cells.select(
-        (F.shiftleft(high, SIDE_BITS) + in_high).alias("a"), (F.shiftleft(low, SIDE_BITS) + in_low).alias("b"), F.col("c.times").alias("f")
+    sent = sequences.mapInArrow(_sent(shared), CELLS)
+    counted = stage(spark, _dealt(sent, tiles.parts).mapInArrow(_counted(shared, least, look_up), CELLS), "tiles")
+    added = _dealt(counted.where(F.col("kind") == PARTIAL), tiles.parts).mapInArrow(_added(least), CELLS)
+    cells = counted.where(F.col("kind") == COUNTS).unionByName(added)
+    cells = cells.select(F.explode(F.arrays_zip("tile", "cell", "number")).alias("c"))
+    low, in_low = F.col("c.tile").bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)), F.col("c.cell").bitwiseAND(F.lit(SIDE - 1))
+    high, in_high = F.shiftright("c.tile", BLOCK_BITS), F.shiftright("c.cell", SIDE_BITS)
+    pairs = cells.select(
+        (F.shiftleft(high, SIDE_BITS) + in_high).alias("a"), (F.shiftleft(low, SIDE_BITS) + in_low).alias("b"), F.col("c.number").alias("f")
     )
+    return Counted(pairs, counted.where(F.col("kind") == OF_CHUNK), tiles.parts, shared)
+
+
+def _listed(shared) -> Callable[[Batches], Batches]:
+    """Ids of pairs by the parts that hold the pairs; a tile that is dealt goes to all its parts."""
+
+    def run(batches: Batches) -> Batches:
+        tiles: Tiles = shared.value
+        for batch in batches:
+            a, b, ids = (batch.column(c).to_numpy() for c in ("a", "b", "id"))
+            tile, cell = _in_tile(a, b)
+            copies = tiles.copies(tile)
+            each = np.repeat(np.arange(len(tile)), copies)
+            copy = np.arange(len(each)) - np.repeat(np.cumsum(copies) - copies, copies)
+            yield _cells(COUNTS, tiles.part(tile[each], copy), -1, tile[each], cell[each], ids[each])
+
+    return run
+
+
+def _looked_up(batches: Batches) -> Batches:
+    """Ids of the chunks' pairs: rows of one part come together, its ids first."""
+    for _, rows in _by_part(batches):
+        known = [r[2:5] for r in rows if r[0] == COUNTS]
+        if not known:
+            continue
+        tile, cell, ids = (np.concatenate(c) for c in zip(*known, strict=True))
+        names = np.unique(tile)
+        key = np.searchsorted(names, tile) << (2 * SIDE_BITS) | cell
+        turn = np.argsort(key)
+        key, ids = key[turn], ids[turn]
+        for kind, chunk, tile, cell, _, local in rows:
+            if kind != OF_CHUNK:
+                continue
+            at = np.minimum(np.searchsorted(names, tile), len(names) - 1)
+            wanted = at << (2 * SIDE_BITS) | cell
+            place = np.minimum(np.searchsorted(key, wanted), len(key) - 1)
+            same = (names[at] == tile) & (key[place] == wanted)
+            arrays = [pa.array([chunk], pa.int64()), as_lists([local[same]], pa.int32()), as_lists([ids[place[same]]], pa.int64())]
+            yield pa.RecordBatch.from_arrays(arrays, names=["chunk", "local", "id"])
+
+
+def ids_of_pairs(counted: Counted, pairs: DataFrame) -> DataFrame:
+    """``chunk`` and lists of ``local`` and ``id`` for the pairs with an ``id``."""
+    ids = pairs.select("a", "b", "id").mapInArrow(_listed(counted.shared), CELLS)
+    rows = _dealt(counted.of_chunks.unionByName(ids), counted.parts)
+    return rows.mapInArrow(_looked_up, "chunk long, local array<int>, id array<long>")
 
 
 # -- phrases ---------------------------------------------------------------------------
@@ -417,7 +502,8 @@ def phrases(docs: DataFrame, longest: int = 3, least: int = 10, percent: int = 5
     known = ranked.select("id", "f", "lang", F.array("word").alias("words"), own.alias("firsts"), own.alias("lasts"))
     levels: list[DataFrame] = []
     for size in range(2, longest + 1):
-        pairs = by_frequency(count_pairs(sequences, ranked, least, total), ["a", "b"], f"phrases-{size}")
+        counted = count_pairs(sequences, ranked, least, total, look_up=size < longest)
+        pairs = by_frequency(counted.pairs, ["a", "b"], f"phrases-{size}")
         left = known.select(F.col("id").alias("a"), "lang", F.col("words").alias("head"), "firsts")
         right = known.select(F.col("id").alias("b"), F.element_at("words", -1).alias("tail"), "lasts")
         joined = pairs.join(left, "a").join(right, "b")
@@ -434,9 +520,7 @@ def phrases(docs: DataFrame, longest: int = 3, least: int = 10, percent: int = 5
         known = stage(spark, known, f"known-{size}")
         levels.append(known)
         if size < longest:
-            near = sequences.mapInArrow(_distinct, "chunk long, local int, a long, b long")
-            found = near.join(pairs.select("a", "b", "id"), ["a", "b"]).select("chunk", "local", "id")
-            sequences = with_ids(sequences, found, _of_pairs)
+            sequences = with_ids(sequences, ids_of_pairs(counted, pairs), _of_pairs)
             if size + 1 < longest:
                 sequences = stage(spark, sequences, "sequences")
             ranked = pairs
@@ -474,6 +558,9 @@ def phrases(docs: DataFrame, longest: int = 3, least: int = 10, percent: int = 5
 
 def report(found: DataFrame, top: int = 2000) -> DataFrame:
     """The first ``top`` phrases of each language that are not dropped, with their ``rank``."""
-    order = W.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = found.where(~F.col("dropped")).withColumn("rank", F.row_number().over(order).cast("bigint"))
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    # Most go in the tasks they are in; what is left of a language is numbered over many.
+    salted = found.where(~F.col("dropped")).withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(16)))
+    first = top_k_per_key(salted, ["lang", "salt"], order, top)
+    ranked = running_total(first, ["lang"], order, "rank")
     return ranked.where(F.col("rank") <= top).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

@@ -95,7 +95,8 @@ def test_tiles_are_summed_densely_or_sorted():
     got = collocations.summed(tile, cell, times)
     assert dict(zip(zip(got[0].tolist(), got[1].tolist(), strict=True), got[2].tolist(), strict=True)) == want
     assert len(got[0]) == len(want)
-    assert [len(x) for x in collocations.summed(tile[:0], cell[:0], times[:0])] == [0, 0, 0]
+    assert [want[t, c] for t, c in zip(tile.tolist(), cell.tolist(), strict=True)] == got[3].tolist()
+    assert [len(x) for x in collocations.summed(tile[:0], cell[:0], times[:0])] == [0, 0, 0, 0]
 
 
 def test_a_tile_of_two_hot_blocks_is_dealt_over_parts():
