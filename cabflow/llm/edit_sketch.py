@@ -11,7 +11,8 @@ token.
 
 Occurrences are numbered in an array per text, which holds eight bytes a token; then chunks of
 elements are rows, one for each tuple, which stay in the partition of their document while they
-are reduced.
+are reduced.  A text and its edited form share the elements of the part that is the same; the
+least of those are found once for both.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ PLACE = (1 << PLACE_BITS) - 1
 CHUNK = 12
 #: Rows of a text and tuple that are reduced at once are two to this power.
 PART_BITS = 8
+#: The same for the parts of a text that begins like another.
+BOTH_BITS = 4
 
 
 def _kmers(tokens: Column, k: int) -> Column:
@@ -78,21 +81,25 @@ def _number(members: Column) -> Column:
     return F.pmod(F.xxhash64(F.transform(in_text, lambda e: e["high"])), F.lit(1 << 32))
 
 
-def _least(chunks: DataFrame, keys: Sequence[str], length: int) -> tuple[DataFrame, list[str]]:
-    """The least elements of each slot and part of a text, as columns.
-
-    The two least of a text are the two least of one chunk, or stand in chunks whose numbers
-    differ in a bit: then they are the minima of the chunks with and without that bit.  Plain
-    minima thus give both, and any other pair that they give is greater.
-    """
-    names = [f"m{j}" for j in range(length)]
+def _of_chunks(chunks: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """The least elements of each chunk and slot, as columns."""
     hashed = lambda v: F.when(v.isNotNull(), _with_place(F.xxhash64(F.shiftright(v, PLACE_BITS), "slot"), v))
     mixed = [f"x{i}" for i in range(CHUNK)]
     rows = chunks.select(*keys, "slot", "number", *[hashed(F.get("chunk", F.lit(i))).alias(x) for i, x in enumerate(mixed)])
     for j, name in enumerate(names):
         left = [F.col(x) if j == 0 else F.when(F.col(x) > F.col(names[j - 1]), F.col(x)) for x in mixed]
         rows = rows.select("*", F.least(*left).alias(name))
-    bits = range(PART_BITS if length == 2 else 0)
+    return rows.select(*keys, "slot", "number", *names)
+
+
+def _least(rows: DataFrame, keys: Sequence[str], names: Sequence[str], most_bits: int) -> DataFrame:
+    """The least elements of each slot and part of a text; a part is 2 ** ``most_bits`` numbers.
+
+    The two least of a text are the two least of one row, or stand in rows whose numbers
+    differ in a bit: then they are the minima of the rows with and without that bit.  Plain
+    minima thus give both, and any other pair that they give is greater.
+    """
+    bits = range(most_bits if len(names) == 2 else 0)
     part = F.shiftright("number", len(bits)).alias("part")
     rows = rows.select(*keys, "slot", part, "number", *names)
     has = lambda b: F.col("number").bitwiseAND(F.lit(1 << b)) != 0
@@ -102,39 +109,88 @@ def _least(chunks: DataFrame, keys: Sequence[str], length: int) -> tuple[DataFra
         pair = lambda x, y: F.when(x.isNotNull() & y.isNotNull(), F.greatest(x, y))
         pairs = [pair(F.col(f"b{b}_0"), F.col(f"b{b}_1")) for b in bits]
         found = found.withColumn(names[1], F.least(names[1], *pairs))
-    return found.select(*keys, "slot", "part", *names), names
+    return found.select(*keys, "slot", "part", *names)
 
 
-def sketches(texts: DataFrame, keys: Sequence[str], k: int = 3, tuples: int = 64, length: int = 2) -> DataFrame:
-    """``keys`` and ``sketch`` (array of numbers below 2 ** 32) of every text with a token.
+def _elements(texts: DataFrame, keys: Sequence[str], k: int, **columns: str) -> DataFrame:
+    """Numbered elements of texts, as columns; ``columns`` are their names and those of the texts."""
+    tokens = {name: F.regexp_extract_all(text_of(text), F.lit(TOKEN), F.lit(0)).alias(name) for name, text in columns.items()}
+    split = texts.select(*keys, *tokens.values())
+    split = split.select(*keys, *[_packed(_kmers(F.col(name), k)).alias(name) for name in columns])
+    return split.select(*keys, *[_numbered(F.col(name)).alias(name) for name in columns])
 
-    ``texts`` has ``keys`` (unique) and ``text`` and is partitioned by one or more of the keys,
-    which keeps all steps without a shuffle.  A text with fewer than ``length`` elements takes
-    all of them into each tuple.
-    """
-    tokens = F.regexp_extract_all(text_of(), F.lit(TOKEN), F.lit(0))
-    split = texts.select(*keys, tokens.alias("tokens"))
-    split = split.select(*keys, _packed(_kmers(F.col("tokens"), k)).alias("ordered"))
-    split = split.select(*keys, _numbered(F.col("ordered")).alias("elements"))
+
+def _least_of_parts(split: DataFrame, keys: Sequence[str], tuples: int, names: Sequence[str]) -> DataFrame:
+    """The least of ``elements``: chunks of them are rows, one for each slot."""
     last = F.floor((F.size("elements") - 1) / CHUNK).cast("int")
     starts = F.when(F.size("elements") > 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
     cut = F.transform(starts, lambda c: F.slice("elements", c * CHUNK + 1, CHUNK))
     # Not a column of its own: for one, the optimizer would add a filter that computes all of it again.
     chunks = split.select(*keys, F.posexplode(cut).alias("number", "chunk"))
     chunks = chunks.select("*", F.explode(F.sequence(F.lit(0), F.lit(tuples - 1))).alias("slot"))
-    least, names = _least(chunks, keys, length)
+    return _least(_of_chunks(chunks, keys, names), keys, names, PART_BITS)
+
+
+def _sketched(least: DataFrame, keys: Sequence[str], tuples: int, names: Sequence[str]) -> DataFrame:
+    """One number per slot from the least elements of a text's parts."""
     members = F.array_compact(F.array(*names))
     entry = F.struct("slot", "part", members.alias("members"), _number(members).alias("number"))
     found = least.groupBy(*keys).agg(F.collect_list(entry).alias("entries"))
     # Only texts of several parts have their parts put together.
     slots = F.sequence(F.lit(0), F.lit(tuples - 1))
     mine = lambda i: F.flatten(F.transform(F.filter("entries", lambda e: e["slot"] == i), lambda e: e["members"]))
-    merged = F.transform(slots, lambda i: _number(F.slice(F.sort_array(mine(i)), 1, length)))
+    merged = F.transform(slots, lambda i: _number(F.slice(F.sort_array(mine(i)), 1, len(names))))
     ordered = F.transform(F.array_sort(F.transform("entries", lambda e: F.struct(e["slot"], e["number"]))), lambda e: e["number"])
     sketch = F.when(F.size("entries") == tuples, ordered).otherwise(merged)
     return found.select(*keys, sketch.alias("sketch"))
 
 
+def _names(length: int) -> list[str]:
+    return [f"m{j}" for j in range(length)]
+
+
+def sketches(texts: DataFrame, keys: Sequence[str], k: int = 3, tuples: int = 64, length: int = 2) -> DataFrame:
+    """``keys`` and ``sketch`` (array of numbers below 2 ** 32) of every text with a token.
+
+    ``texts`` has ``keys`` (unique) and ``text`` and is partitioned by one or more of the keys,
+    which keeps all steps without a shuffle.  A text with fewer than ``length`` elements takes
+    all of them into each tuple.
+    """
+    split = _elements(texts, keys, k, elements="text")
+    names = _names(length)
+    return _sketched(_least_of_parts(split, keys, tuples, names), keys, tuples, names)
+
+
+def sketches_of_two(
+    texts: DataFrame, keys: Sequence[str], start: Column, k: int = 3, tuples: int = 64, length: int = 2
+) -> DataFrame:
+    """``keys``, ``side`` (0 or 1) and ``sketch`` of ``text`` and ``edited``.
+
+    Both begin with ``start``.  The elements that lie in it, up to its last token, are the same
+    in both and stand in the same places, so the least of them are found once: the least of a text
+    are among those and the least of the rest of it.
+    """
+    names, side = _names(length), [*keys, "side"]
+    # The last token may go on after the start.
+    tokens = F.size(F.regexp_extract_all(start, F.lit(TOKEN), F.lit(0))) - 1
+    rows = texts.select(*keys, "text", "edited", F.greatest(tokens - (k - 1), F.lit(0)).cast("bigint").alias("same"))
+    both = _elements(rows, [*keys, "same"], k, own="text", changed="edited")
+    place = lambda e: e.bitwiseAND(F.lit(PLACE))
+    parts = [
+        F.filter("own", lambda e: place(e) < F.col("same")),
+        F.filter("own", lambda e: place(e) >= F.col("same")),
+        F.filter("changed", lambda e: place(e) >= F.col("same")),
+    ]
+    parts = [F.struct(F.lit(i).alias("side"), e.alias("elements")) for i, e in enumerate(parts)]
+    split = both.select(*keys, F.explode(F.array(*parts)).alias("s")).select(*keys, "s.side", "s.elements")
+    least = _least_of_parts(split, side, tuples, names)
+    # The common part belongs to both texts, the others to one.
+    of = F.when(F.col("side") == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.col("side") - 1))
+    number = F.col("part") * 2 + F.when(F.col("side") == 0, 0).otherwise(1)
+    least = least.select(*keys, F.explode(of).alias("side"), "slot", number.alias("number"), *names)
+    return _sketched(_least(least, side, names, BOTH_BITS), side, tuples, names)
+
+
 def fingerprint(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda v: F.coalesce(F.lpad(F.hex(v), 8, "0"), F.lit("-"))), "")
 
@@ -212,12 +268,10 @@ def fingerprints(docs: DataFrame, k: int = 3, tuples: int = 64, length: int = 2)
     heads = linked.select(
         *[F.col(f"previous_{c}").alias(c) for c in KEYS], F.left("text", quarter("previous_n_chars")).alias("head")
     )
-    edited = F.concat(F.left("text", F.col("n_chars") - quarter("n_chars")), F.col("head"))
+    start = F.left("text", F.col("n_chars") - quarter("n_chars"))
+    edited = F.concat(start, F.col("head"))
     both = linked.join(heads, list(KEYS)).withColumn("edited", edited)
-    sides = both.select(
-        *KEYS, F.explode(F.array(F.struct(F.lit(0).alias("side"), "text"), F.struct(F.lit(1).alias("side"), F.col("edited").alias("text")))).alias("s")
-    ).select(*KEYS, "s.side", "s.text")
-    drawn = sketches(sides, (*KEYS, "side"), k, tuples, length)
+    drawn = sketches_of_two(both, KEYS, start, k, tuples, length)
     side = lambda i: F.first(F.when(F.col("side") == i, F.col("sketch")), ignorenulls=True)
     drawn = drawn.groupBy(*KEYS).agg(side(0).alias("own"), side(1).alias("changed"))
     about = both.select(
