@@ -4,6 +4,8 @@ Fit: on a bounded sample of labelled texts (``sample_docs`` per language, drawn
 Spark counts words and the character n-grams of words per language.  A word counted twice
 or more is known and scores by its log frequency in each language.  Any other word falls
 back to its n-grams of four letters, and where none of those is known to three, two and one.
+A letter is what ``str.isalpha`` takes for one; marks that follow it, such as vowel signs, belong
+to the word.
 All scores are taken relative to their mean over the languages, so that words and n-grams
 are on one scale; a text scores the sum over its words.
 """
@@ -11,9 +13,12 @@ are on one scale; a text scores the sum over its words.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections import Counter
-from collections.abc import Iterator
-from dataclasses import dataclass, field
+from collections.abc import Callable, Iterable, Iterator
+from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pandas as pd
@@ -23,14 +28,35 @@ from pyspark.sql import functions as F
 from cabflow.llm.common import hashed_share
 
 UNKNOWN = "und"
-LETTERS = re.compile(r"[^\W\d_]+")
 LONGEST = 4
-#: Unseen words whose score a task remembers.
-REMEMBERED = 200_000
+#: Characters of the texts whose words are scored together, each distinct word once.
+BATCH_CHARS = 8_000_000
+
+
+@cache
+def letter_pattern() -> re.Pattern[str]:
+    """Words: a letter (as ``str.isalpha`` says), then letters and marks such as vowel signs.
+
+    Numbers that are no digits, such as superscripts and fractions, are no letters.
+    """
+
+    def ranges(wanted: Callable[[str], bool]) -> str:
+        inside = [wanted(chr(i)) for i in range(sys.maxunicode + 1)]
+        edges = [i for i in range(sys.maxunicode + 1) if inside[i] != (inside[i - 1] if i else False)]
+        edges += [sys.maxunicode + 1] if len(edges) % 2 else []
+        return "".join(f"{re.escape(chr(x))}-{re.escape(chr(y - 1))}" for x, y in zip(edges[::2], edges[1::2], strict=True))
+
+    letters = ranges(str.isalpha)
+    marks = ranges(lambda c: unicodedata.category(c)[0] == "M")
+    return re.compile(f"[{letters}][{letters}{marks}]*")
+
+
+#: The same for texts of ASCII only.
+ASCII_WORDS = re.compile("[a-z]+")
 
 
 def letter_words(text: str) -> list[str]:
-    return LETTERS.findall(text.lower())
+    return (ASCII_WORDS if text.isascii() else letter_pattern()).findall(text.lower())
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -39,49 +65,58 @@ def grams(word: str, n: int) -> list[str]:
     return [padded[i : i + n] for i in range(len(padded) - n + 1)]
 
 
+class _Numbers(dict):
+    """Numbers words as they come."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 @dataclass
 class LanguageModel:
+    """``scores`` has a row for each known word and n-gram; ``known`` and ``grams`` say which."""
+
     languages: list[str]
     known: dict[str, int]
+    grams: dict[str, int]
     scores: np.ndarray
-    gram_scores: dict[str, np.ndarray]
     prior: np.ndarray
-    _memo: dict[str, np.ndarray] = field(default_factory=dict)
 
-    def unseen(self, word: str) -> np.ndarray:
-        """Mean score of the longest n-grams of which at least one is known."""
+    def of_word(self, word: str) -> np.ndarray:
+        """Its own score, or the mean of its longest n-grams of which at least one is known."""
+        at = self.known.get(word)
+        if at is not None:
+            return self.scores[at]
         for n in range(LONGEST, 0, -1):
-            found = [self.gram_scores[g] for g in grams(word, n) if g in self.gram_scores]
+            found = [at for g in grams(word, n) if (at := self.grams.get(g)) is not None]
             if found:
-                return np.mean(found, axis=0)
+                return self.scores[found].mean(axis=0)
         return np.zeros(len(self.languages), np.float32)
 
-    def total(self, tokens: list[str]) -> np.ndarray:
-        """Sum of the scores of all words."""
-        seen, unseen = [], []
-        for word in tokens:
-            at = self.known.get(word)
-            if at is not None:
-                seen.append(at)
+    def predict_all(self, texts: Iterable[str | None]) -> list[tuple[str, float]]:
+        """The language and its posterior for each text; ``und`` and 0 without letters or languages.
+
+        Nothing is remembered beyond the texts, so that an idle worker holds the model alone.
+        """
+        numbers = _Numbers()
+        each = [np.fromiter(map(numbers.__getitem__, letter_words(t)), np.int64) if t else np.zeros(0, np.int64) for t in texts]
+        if not self.languages or not numbers:
+            return [(UNKNOWN, 0.0)] * len(each)
+        scores = np.array([self.of_word(w) for w in numbers], np.float64)
+        out = []
+        for words in each:
+            if not len(words):
+                out.append((UNKNOWN, 0.0))
                 continue
-            score = self._memo.get(word)
-            if score is None:
-                if len(self._memo) >= REMEMBERED:
-                    self._memo.clear()
-                score = self._memo[word] = self.unseen(word)
-            unseen.append(score)
-        total = self.scores[seen].sum(axis=0, dtype=np.float64)
-        return total + np.sum(unseen, axis=0) if unseen else total
+            total = scores[words].sum(axis=0) + self.prior
+            share = np.exp(total - total.max())
+            best = int(np.argmax(share))
+            out.append((self.languages[best], float(share[best] / share.sum())))
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        """The language and its posterior; ``und`` and 0 without letters or languages."""
-        tokens = letter_words(text) if text else []
-        if not tokens or not self.languages:
-            return UNKNOWN, 0.0
-        total = self.total(tokens) + self.prior
-        share = np.exp(total - total.max())
-        best = int(np.argmax(share))
-        return self.languages[best], float(share[best] / share.sum())
+        return self.predict_all([text])[0]
 
 
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -111,7 +146,7 @@ def fit(labelled: DataFrame, sample_docs: int = 1200, smoothing: float = 0.5) ->
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
-        return LanguageModel([], {}, np.zeros((0, 0)), {}, np.zeros(0))
+        return LanguageModel([], {}, {}, np.zeros((0, 0)), np.zeros(0))
     share = F.lit(0.0)
     for lang in languages:
         share = F.when(F.col("lang") == lang, F.lit(min(1.0, sample_docs / sizes[lang]))).otherwise(share)
@@ -138,12 +173,12 @@ def fit(labelled: DataFrame, sample_docs: int = 1200, smoothing: float = 0.5) ->
             scores[order == n] = logs - logs.mean(axis=1, keepdims=True)
     units = table["unit"].to_numpy()
     is_word = order == 0
-    known = {w: i for i, w in enumerate(units[is_word])}
-    gram_scores = dict(zip(units[~is_word], scores[~is_word].astype(np.float32), strict=True))
+    known = {units[i]: int(i) for i in np.flatnonzero(is_word)}
+    parts = {units[i]: int(i) for i in np.flatnonzero(~is_word)}
     # Frequent languages win where the words say nothing.
     n_docs = np.array([sizes[lang] for lang in languages], float)
     prior = np.log(n_docs / n_docs.sum())
-    return LanguageModel(languages, known, scores[is_word].astype(np.float32), gram_scores, prior)
+    return LanguageModel(languages, known, parts, scores.astype(np.float32), prior)
 
 
 def predict(model: LanguageModel, docs: DataFrame, text: str = "text") -> Column:
@@ -153,7 +188,14 @@ def predict(model: LanguageModel, docs: DataFrame, text: str = "text") -> Column
 
     @F.pandas_udf("lang string, score double")
     def guess(texts: pd.Series) -> pd.DataFrame:
-        found = [shared.value.predict(t) for t in texts]
+        found, part, chars = [], [], 0
+        for text in texts:
+            part.append(text)
+            chars += len(text or "")
+            if chars >= BATCH_CHARS:
+                found += shared.value.predict_all(part)
+                part, chars = [], 0
+        found += shared.value.predict_all(part)
         return pd.DataFrame(found, columns=["lang", "score"])
 
     return guess(F.col(text))
