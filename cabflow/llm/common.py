@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import zlib
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +52,17 @@ def stage(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that nobody holds any more.
+
+    It removes them when the driver's JVM collects the plans, which for a large job on a quiet
+    driver may be long after they were of use.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    spark.sparkContext._jvm.System.gc()
+
+
 def hashed_share(df: DataFrame, share: Column | float, *columns: str, seed: int = 0) -> DataFrame:
     """The rows whose hash falls into a share (0 to 1); the same rows on every run."""
     draw = F.pmod(F.xxhash64(*[F.col(c) for c in columns], F.lit(seed)), F.lit(1 << 30))
