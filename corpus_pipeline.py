@@ -6,7 +6,8 @@ again.  All but the last return the columns of ``documents`` (others pass throug
 1. ``language``: texts without a letter, or without a language that is likelier than all others
    together, go.  Null texts go.
 2. ``near_duplicates``: five-word shingles, Jaccard 0.8 or more; of each group of linked texts the
-   one with the least id stays.  Of equal rows one stays.
+   one with the least id stays (of several texts of that id, the least by hash).  Of equal rows
+   one stays.
 3. ``decontamination``: texts that hold a benchmark item go.
 4. ``secrets``: secrets are replaced by a mark, and ``n_chars`` follows the text.
 5. ``pieces``: ids of the pieces of each text, and whether decoding gives the text back.
@@ -39,17 +40,18 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    joined = jaccard_join.join(docs.select("doc_id", "text"), k=5, percent=80)
-    key = _spare(docs, "kept_id")
-    kept = joined.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.select(F.coalesce("doc_id", F.lit(jaccard_join.NO_ID)).alias(key)).distinct()
-    rows = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("bigint"), F.lit(jaccard_join.NO_ID)))
-    return rows.join(kept, key, "left_semi").dropDuplicates([key, "text"]).select(*docs.columns)
+    found = jaccard_join.linked(docs.select("doc_id", "text"), k=5, percent=80)
+    keys = {name: _spare(docs, name) for name in jaccard_join.TEXT_KEY}
+    first = found.where("stands").select(*[F.col(c).alias(spare) for c, spare in keys.items()]).distinct()
+    text = F.coalesce("text", F.lit(""))
+    own = (F.coalesce(F.col("doc_id").cast("bigint"), F.lit(jaccard_join.NO_ID)), F.xxhash64(text), F.octet_length(text))
+    rows = docs.withColumns(dict(zip(keys.values(), own, strict=True)))
+    names = list(keys.values())
+    return rows.join(first, names, "left_semi").dropDuplicates(names).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontamination.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.where(F.size(found("text")) == 0)
+    return decontamination.without_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
