@@ -248,6 +248,71 @@ def test_op4_finds_every_link_of_families(spark, monkeypatch, percent):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == want
 
 
+@pytest.mark.parametrize("parts", [1, 2, 8])
+def test_op4_rows_of_one_id_link_by_their_own_text(spark, parts):
+    words = lambda p, n=40: " ".join(f"{p}{i}" for i in range(n))
+    near = lambda p: words(p) + " tail"
+    rows = [(1, words("a")), (1, words("b")), (2, near("b")), (3, near("a")), (None, words("c")), (None, words("d")), (4, near("c"))]
+    rows += [(None, near("d")), (5, words("e")), (None, None), (None, ""), (5, words("e")), (6, words("E") + "  ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    got = sorted(((r["doc_id"], r["component_id"], r["n_links"]) for r in jaccard_join.join(docs, 3, 90).collect()), key=repr)
+    want = [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (None, None, 1), (None, None, 1), (4, None, 1), (None, None, 1)]
+    want += [(5, 5, 0), (None, None, 0), (None, None, 0), (5, 5, 0), (6, 5, 0)]
+    assert got == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("table_bytes", [64 << 20, 0])
+def test_op4_counts_every_link_of_a_set(spark, monkeypatch, table_bytes):
+    import random
+
+    random.seed(11)
+    monkeypatch.setattr(jaccard_join, "TABLE_BYTES", table_bytes)
+    monkeypatch.setattr(jaccard_join, "FAMILY_SETS", 7)
+    texts = {}
+    for family in range(3):
+        base = [f"f{family}w{i}" for i in range(60)]
+        for _ in range(20):
+            words = list(base)
+            words[random.randrange(60)] = f"n{random.randrange(10**6)}"
+            texts[len(texts)] = " ".join(words)
+    sets = {i: {tuple(t.split()[j : j + 3]) for j in range(58)} for i, t in texts.items()}
+    rows = jaccard_join.join(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), 3, 80).collect()
+    for r in rows:
+        mine = sets[r["doc_id"]]
+        links = sum(1 for i, s in sets.items() if s != mine and 100 * len(s & mine) >= 80 * len(s | mine))
+        assert r["n_links"] == links
+    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in rows} == _components(texts, 3, 80)
+
+
+def test_op4_goes_through_a_bucket_until_all_that_link_are_joined():
+    rng = __import__("numpy").random.default_rng(3)
+    np = __import__("numpy")
+    tokens = [rng.integers(0, 1 << 62, 50).astype(np.uint64) for _ in range(30)]
+    import pyarrow as pa
+
+    rows = [{"node": i, "n": 50, "sketch": jaccard_join.odd_sketch(t).tolist(), "label": i} for i, t in enumerate(tokens)]
+    members = jaccard_join._Members(pa.array(rows), share=1.0)
+    seen, first = set(), 1
+    while first < 30:
+        x, y = jaccard_join._apart(first, first * jaccard_join.WIDER - 1)(members)
+        seen |= set(zip(x.tolist(), y.tolist(), strict=True))
+        first *= jaccard_join.WIDER
+    assert seen == {(i, j) for i in range(30) for j in range(i + 1, 30)}
+
+
+def test_pipeline_keeps_one_row_of_each_group(spark, tmp_path):
+    import corpus_pipeline
+
+    words = lambda p, n=60: " ".join(f"{p}{i}" for i in range(n))
+    rows = [(1, words("a")), (1, words("b")), (2, words("b") + " x"), (2, words("c")), (None, words("d")), (None, words("d") + " y")]
+    rows += [(None, words("e")), (7, words("d").upper()), (7, None), (7, None), (8, "")]
+    docs = spark.createDataFrame([(*r, "clash", 1) for r in rows], "doc_id long, text string, id string, hash int").repartition(3)
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], (r["text"] or "")[:2]) for r in kept.collect()), key=repr)
+    assert got == sorted([(1, "a0"), (1, "b0"), (2, "c0"), (None, "d0"), (None, "e0"), (7, ""), (8, "")], key=repr)
+
+
 def test_components_of_a_path_and_a_star(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 140)] + [(7, 7)]
     got = {r["id"]: r["component_id"] for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
@@ -259,6 +324,62 @@ def test_op5(spark, folder):
     assert {(r["doc_id"], r["item_id"], r["distance"]) for r in rows} == {(16, 0, 0), (17, 0, 1)}
 
 
+def _items_in(texts: dict, items: list, rate: float) -> set:
+    """Edit distance to every stretch, by the plain table; short items by search at word bounds."""
+    found = set()
+    for i, text in texts.items():
+        text = decontamination.normalised(text or "")
+        for item_id, item in items:
+            item = decontamination.normalised(item)
+            if not item:
+                continue
+            if len(item) < 20:
+                if re.search(rf"(?<![^\W_]){re.escape(item)}(?![^\W_])", text):
+                    found.add((i, item_id, 0))
+                continue
+            row = [0] * (len(text) + 1)
+            for a, c in enumerate(item, 1):
+                diagonal, row[0] = row[0], a
+                for b, d in enumerate(text, 1):
+                    diagonal, row[b] = row[b], min(row[b] + 1, row[b - 1] + 1, diagonal + (c != d))
+            if min(row) <= int(len(item) * rate):
+                found.add((i, item_id, min(row)))
+    return found
+
+
+@pytest.mark.parametrize("block_chars", [4_000_000, 60])
+def test_op5_is_the_search_of_all_stretches(spark, monkeypatch, block_chars):
+    import random
+
+    random.seed(block_chars)
+    monkeypatch.setattr(decontamination, "BLOCK_CHARS", block_chars)
+    words = ["alpha", "beta", "gamma", "delta", "42", "of", "x"]
+    items = [(i, " ".join(random.choices(words, k=random.randrange(1, 14)))) for i in range(12)]
+    items += [(50, "short one"), (51, "Answer: 42"), (52, " "), (53, ""), (3, "another text of item three, with words"), (54, "é x")]
+    texts = {}
+    for i in range(60):
+        text = " ".join(random.choices(words, k=random.randrange(0, 25)))
+        at, item = random.randrange(len(text) + 1), list(random.choice(items)[1])
+        for _ in range(random.randrange(3)):
+            if item:
+                item[random.randrange(len(item))] = random.choice("abx ")
+        texts[i] = text[:at] + " " + "".join(item) + " " + text[at:]
+    texts |= {100: None, 101: "", 102: "a SHORT   one.", 103: "ashort one", 104: "short ones", 105: "the answer: 42!", 106: "answer: 421"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    bench = spark.createDataFrame([*items, (None, "alpha beta gamma"), (60, None)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"], r["distance"]) for r in decontamination.matches(docs, bench).collect()}
+    want = _items_in(texts, items, decontamination.ERROR_RATE)
+    least = {}
+    for i, item, distance in want:
+        least[i, item] = min(distance, least.get((i, item), distance))
+    for i, item, distance in got:
+        least_got = least.get((i, item))
+        assert least_got is not None and distance >= least_got
+    assert {(i, item) for i, item, _ in got} == set(least)
+    kept = {r["doc_id"] for r in decontamination.without_items(docs, bench).collect()}
+    assert kept == texts.keys() - {i for i, _ in least}
+
+
 def test_op5_distance_is_the_edit_distance():
     import random
 
@@ -318,6 +439,56 @@ def test_op7(spark, folder):
     assert model.predict("123 ...") == ("und", 0.0)
 
 
+def test_op7_letters_are_those_of_isalpha_and_keep_their_marks():
+    assert language.letter_words("² ½ Ⅷ ① 12 _ ٣") == []
+    assert language.letter_words("हिन्दी भाषा naïve a\u0301b x2y") == ["हिन्दी", "भाषा", "naïve", "a\u0301b", "x", "y"]
+    for text in ("plain words 2 go", "don't_stop", "ABC def"):
+        assert language.letter_words(text) == language.letter_pattern().findall(text.lower())
+    import sys
+
+    letters = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalpha()]
+    assert all(language.letter_pattern().fullmatch(c) for c in letters)
+
+
+def test_op7_is_the_sum_over_words(spark):
+    import random
+
+    random.seed(7)
+    words = {"en": "the of and this that water house".split(), "de": "der die und das haus wasser nicht".split()}
+    rows = [(i, " ".join(random.choices(words[lang], k=8)), lang) for i in range(60) for lang in words]
+    model = language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    texts = [" ".join(random.choices(words["en"] + words["de"] + ["strasse", "street", "q"], k=random.randrange(12))) for _ in range(60)]
+    texts += [None, "", "123", "² ½"]
+
+    def plain(text):
+        import numpy as np
+
+        found = re.findall("[a-z]+", (text or "").lower())
+        if not found:
+            return "und", 0.0
+        total = np.array(model.prior, float)
+        for w in found:
+            if w in model.known:
+                total += model.scores[model.known[w]]
+                continue
+            for n in (4, 3, 2, 1):
+                grams = [g for g in language.grams(w, n) if g in model.grams]
+                if grams:
+                    total += np.mean([model.scores[model.grams[g]] for g in grams], axis=0)
+                    break
+        share = np.exp(total - total.max()) / np.exp(total - total.max()).sum()
+        return model.languages[int(np.argmax(total))], share.max()
+
+    for (lang, score), text in zip(model.predict_all(texts), texts, strict=True):
+        want = plain(text)
+        assert lang == want[0] and score == pytest.approx(want[1], rel=1e-5)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = docs.select("doc_id", language.predict(model, docs).alias("g")).collect()
+    found = {r["doc_id"]: (r["g"]["lang"], r["g"]["score"]) for r in got}
+    for i, (lang, score) in enumerate(model.predict_all(texts)):
+        assert found[i] == (lang, pytest.approx(score))
+
+
 def _secrets(text: str) -> str:
     found = []
     for m in re.finditer(r"(?i:(password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text):
