@@ -219,6 +219,22 @@ def test_pricing(tables):
     assert other[0].datetime == MIDNIGHT + 10 * 3600 - 60
 
 
+def test_rounds_of_one_time_are_told_apart_by_rates(tables, spark):
+    """Not by the text of the payload, in which 9 comes after 10 and the name of a driver decides."""
+    offers = [{"b": 0.1, "a": 0.2}, {"a": 0.3, "b": 0.3}, {"z": 0.3, "y": 0.2}]
+    drivers = [{"driverData": {n: {"totalMagnification": r} for n, r in o.items()}} for o in offers]
+    system = [round_log(901, 5, {"totalMagnification": r}) for r in (9, 10, None)]
+    logs = {
+        "system_dispatch": frame(spark, "system_dispatch", [round_log(901, 4, {"totalMagnification": 99}), *system]),
+        "personal_dispatch": frame(spark, "personal_dispatch", [round_log(901, 6, d) for d in drivers]),
+    }
+    got = sorted(
+        (r.end_bidding_round, r.end_min_bidding_rate, r.end_max_bidding_rate)
+        for r in prices(tables | logs).where("bidding_id = 901").collect()
+    )
+    assert got == [(5, 10.0, 10.0), (6, 0.3, 0.3)]
+
+
 def test_pricing_reads_the_rounds_once(spark, tables, tmp_path):
     path = str(tmp_path / "info")
     tables["dispatch_info"].write.parquet(path)
