@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cabflow.operators import aggregates, filters
 from cabflow.operators.joins import left_join, semi, union_all, upsert, with_group_stats
-from cabflow.operators.numbering import batch_number, running_total, top_k_per_key
+from cabflow.operators.numbering import batch_number, number_per_key, running_total, top_k_per_key
 from cabflow.operators.picking import (
     any_per_key,
     compact_changes,
@@ -112,6 +112,21 @@ def test_batch_number_is_row_number_over_many_parts(spark, many_parts):
     assert sum("_part" in w.split("row_number")[-1] for w in windows if "row_number" in w) == 1
 
 
+@pytest.mark.parametrize("hot_rows", [100, 10_000])
+def test_only_hot_keys_are_numbered_in_parts(spark, many_parts, hot_rows):
+    data = _hot_rows()
+    df = spark.createDataFrame(data, "k int, a int, b int, v int").repartition(5)
+    got = number_per_key(df, ["k"], ["a", "b"], "n", tiebreak=["v"], hot_rows=hot_rows)
+    want, seen = {}, {}
+    for k, a, b, v in sorted(data, key=lambda r: (str(r[0]), r[1], r[2], r[3])):
+        seen[k] = seen.get(k, 0) + 1
+        want[v] = seen[k]
+    assert {r.v: r.n for r in got.collect()} == want
+    # Without a hot key nothing but the rows themselves is shuffled, once.
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert ("Join" in plan) == (hot_rows == 100)
+
+
 @pytest.mark.parametrize("keys", [["k"], []])
 def test_running_total_goes_on_over_parts(spark, many_parts, keys):
     data = [(k, a, -v if v % 2 else None, v) for k, a, _, v in _hot_rows()]
