@@ -35,3 +35,12 @@ def test_comparison_notices_a_changed_value(spark, con, monkeypatch):
     changed = replace(query, sql=query.sql.replace("count(*)", "count(*) + 1"))
     monkeypatch.setitem(QUERIES, "a13_orders_per_user", changed)
     assert "rows differ" in differences(spark, con, FOLDER, "a13_orders_per_user")
+
+
+def test_observed_rows_are_all_there(spark):
+    from cabflow.queries.base import Tables
+
+    tables = Tables(spark, FOLDER)
+    got = load()["a11_observed"].build(tables)
+    assert got.count() == tables.orders.count() > 1
+    assert [r.rows for r in got.select("rows").distinct().collect()] == [tables.orders.count()]
