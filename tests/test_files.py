@@ -489,3 +489,12 @@ def test_a_machines_own_folder_is_refused_on_a_cluster():
     assert shared_folder(session("local[8]", "file:/w/")) == "file:/w/_scratch"
     assert shared_folder(session("yarn", "hdfs://a/w")) == "hdfs://a/w/_scratch"
     assert shared_folder(session("yarn", "/w", "hdfs://a/c/")) == "hdfs://a/c"
+
+
+def test_rows_are_dealt_into_partitions_without_shuffle_or_sort(spark, tmp_path):
+    path, rows = str(tmp_path / "dealt"), spark.range(0, 1000, 1, 3).withColumn("dt", F.col("id") % 7)
+    writers.write_dealt(rows, path, ["dt"])
+    read = spark.read.parquet(path)
+    assert sorted((r.id, r.dt) for r in read.collect()) == [(i, i % 7) for i in range(1000)]
+    assert len(read.inputFiles()) == 21
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
