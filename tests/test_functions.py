@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cabflow.functions import rules
 from cabflow.functions.geo import ALPHABET, geo_time_key, geohash
-from cabflow.functions.payloads import driver_rates, json_fields, number, unescape
+from cabflow.functions.payloads import driver_rates, json_fields, number, payload_driver_rates, unescape
 from cabflow.functions.times import (
     PRICING_TIME,
     date_range,
@@ -178,3 +178,21 @@ def test_typed(spark):
     assert values(spark, rows, "t string", rules.typed(F.col("t"), "string")) == [
         r[0] for r in rows
     ]
+
+
+def test_driver_rates_out_of_the_payload_are_those_of_the_text(spark):
+    drivers = ['{"a":{"totalMagnification":"0.3"},"b":{"totalMagnification":0.1}}', "{}", "null", "5", "[1]",
+               '{"a":{}}', '{"a":7}', '{"a":{"totalMagnification":"x"}}']
+    quoted = '"' + drivers[0].replace('"', '\\"') + '"'
+    payloads = [f'{{"M":1,"driverData":{d}}}' for d in [*drivers, quoted]]
+    payloads += ["broken", f'{{"driverData":{drivers[0]}', '{"M":1}', None]
+    df = spark.createDataFrame([(p,) for p in payloads], "p string")
+    text = F.json_tuple("p", "driverData").alias("d")
+    both = df.select("p", text).select(
+        "p", driver_rates(F.col("d")).alias("want"), payload_driver_rates(F.col("p")).alias("got")
+    )
+    rows = both.collect()
+    assert [r.got for r in rows] == [r.want for r in rows]
+    assert [tuple(r.got) for r in rows if r.p and quoted in r.p] == [(0.1, 0.3)]
+    # Drivers that are an object are not made text again.
+    assert "json_tuple" not in df.select(payload_driver_rates(F.col("p")))._jdf.queryExecution().toString()
