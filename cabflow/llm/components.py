@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cabflow.llm.common import stage
+from cabflow.llm.common import release, stage
 
 
 def _fingerprint(edges: DataFrame) -> tuple[int, int]:
@@ -47,5 +47,7 @@ def components(links: DataFrame) -> DataFrame:
         before = now
         edges = stage(spark, _star(_star(edges, large=True), large=False), "links")
         now = _fingerprint(edges)
+        # The tables that this round sent to the tasks.
+        release(spark)
     centres = edges.select(F.col("b").alias("id")).distinct().withColumn("component_id", F.col("id"))
     return edges.select(F.col("a").alias("id"), F.col("b").alias("component_id")).unionByName(centres)

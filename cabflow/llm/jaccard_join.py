@@ -375,6 +375,7 @@ def _buckets(spark, members: DataFrame, bounds: Bounds) -> DataFrame:
     shared = spark.sparkContext.broadcast(counts)
     index = members.select("node", "tokens").mapInArrow(_index(shared, RARE + 4 * load, bounds), "signature long, node long")
     index = stage(spark, index, "signatures")
+    shared.destroy()
     sized = index.groupBy("signature").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     rows = _blocked(index.join(sized, "signature"), "signature", F.ceil(F.col("size") / BUCKET_BLOCK), "node", "signature")
     return rows.select(*BUCKET, "node").join(members.select("node", "n", "sketch"), "node")
@@ -465,8 +466,12 @@ def _joined(pairs: DataFrame, members: DataFrame, links: DataFrame, labels: Data
 
 
 def _labels(links: DataFrame) -> DataFrame:
-    found = components(links)
-    return found.select(F.col("id").alias("node"), F.col("component_id").alias("label"))
+    """Written, so that the plans that use it stay short."""
+    spark = links.sparkSession
+    found = components(links).select(F.col("id").alias("node"), F.col("component_id").alias("label"))
+    found = stage(spark, found, "components")
+    release(spark)
+    return found
 
 
 def _links(members: DataFrame, labels: DataFrame, bounds: Bounds) -> DataFrame:

@@ -624,6 +624,16 @@ def test_op10_does_not_depend_on_what_is_frequent(spark, frequent):
     assert {r["doc_id"]: r["d"] for r in rows} == {i: t or "" for i, t in enumerate(texts)}
 
 
+def _plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_op4_labels_are_computed_once(spark):
+    labels = jaccard_join._labels(spark.createDataFrame([(1, 2), (2, 3), (7, 5)], "a long, b long"))
+    assert {r["node"]: r["label"] for r in labels.collect()} == {1: 1, 2: 1, 3: 1, 5: 5, 7: 5}
+    assert "Exchange" not in _plan(labels)
+
+
 def test_pipeline(spark, folder):
     import corpus_pipeline
 
