@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from cabflow.operators import aggregates, filters
+from cabflow.operators import aggregates, filters, numbering
 from cabflow.operators.joins import left_join, semi, union_all, upsert, with_group_stats
 from cabflow.operators.numbering import batch_number, number_per_key, running_total, top_k_per_key
 from cabflow.operators.picking import (
@@ -112,6 +112,16 @@ def test_batch_number_is_row_number_over_many_parts(spark, many_parts):
     assert sum("_part" in w.split("row_number")[-1] for w in windows if "row_number" in w) == 1
 
 
+def test_ranges_follow_the_rows(spark, monkeypatch):
+    """A hot key of a larger table has more ranges, not larger ones."""
+    monkeypatch.setattr(numbering, "RANGE_ROWS", 50)
+    rows = spark.range(2000).select(F.lit(1).alias("k"), F.col("id").alias("o"))
+    got = batch_number(rows, ["k"], ["o"], "n")
+    assert all(r.n == r.o + 1 for r in got.collect())
+    sizes = got.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) > 20 and max(r["count"] for r in sizes) < 500
+
+
 @pytest.mark.parametrize("hot_rows", [100, 10_000])
 def test_only_hot_keys_are_numbered_in_parts(spark, many_parts, hot_rows):
     data = _hot_rows()
