@@ -116,9 +116,8 @@ def op9_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 def op10_pieces(spark: SparkSession, folder: str) -> DataFrame:
     vocabulary = pieces.Vocabulary.load()
-    coded = pieces.encode(table(spark, folder, "documents"), vocabulary)
-    decoded = coded.withColumn("decoded", pieces.decode(F.col("ids"), vocabulary))
-    return decoded.select(
+    coded = pieces.encode(table(spark, folder, "documents"), vocabulary, decoded=True)
+    return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_pieces"),
         "ids",

@@ -66,7 +66,7 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocabulary = pieces.Vocabulary.load()
-    coded = pieces.encode(docs, vocabulary).withColumn("decoded", pieces.decode(F.col("ids"), vocabulary))
+    coded = pieces.encode(docs, vocabulary, decoded=True)
     return coded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_pieces"),

@@ -628,6 +628,34 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_op10_decodes_where_the_ids_are(spark, folder):
+    """Two Python workers for each task, not three."""
+    plan = _plan(queries.op10_pieces(spark, folder))
+    assert plan.count("MapInArrow") == 2 and "ArrowEvalPython" not in plan
+    vocabulary = pieces.Vocabulary.load()
+    docs = spark.createDataFrame(list(enumerate(["a \u00e9\U0001f600", " lead", "", None])), "doc_id long, text string")
+    rows = pieces.encode(docs, vocabulary, decoded=True).withColumn("d", pieces.decode(F.col("ids"), vocabulary)).collect()
+    assert {r["doc_id"]: r["decoded"] for r in rows} == {0: "a \u00e9\U0001f600", 1: " lead", 2: "", 3: ""}
+    assert all(r["decoded"] == r["d"] for r in rows)
+
+
+def test_op10_frequent_segments_are_many_small_tasks(spark):
+    """Not as few as the size of the segments asks for, but as many as that of their edges."""
+    segments = spark.range(50).select(F.concat(F.lit(" word"), "id").alias("segment"))
+    rows = pieces.encoded(segments, ("segment",), pieces.Vocabulary.load(), 20)
+    assert rows.count() == 50
+    assert rows.rdd.getNumPartitions() == 20
+
+
+def test_op10_sends_bounded_batches(spark):
+    spark.conf.unset(pieces.ARROW_ROWS)
+    docs = spark.range(1500).select(F.col("id").alias("doc_id"), F.lit("two words").alias("text"))
+    rows = pieces.encode(docs, pieces.Vocabulary.load())
+    assert int(spark.conf.get(pieces.ARROW_ROWS)) == pieces.BATCH_ROWS
+    assert rows.count() == 1500
+    spark.conf.unset(pieces.ARROW_ROWS)
+
+
 def test_op4_labels_are_computed_once(spark):
     labels = jaccard_join._labels(spark.createDataFrame([(1, 2), (2, 3), (7, 5)], "a long, b long"))
     assert {r["node"]: r["label"] for r in labels.collect()} == {1: 1, 2: 1, 3: 1, 5: 5, 7: 5}
