@@ -44,3 +44,15 @@ def test_observed_rows_are_all_there(spark):
     got = load()["a11_observed"].build(tables)
     assert got.count() == tables.orders.count() > 1
     assert [r.rows for r in got.select("rows").distinct().collect()] == [tables.orders.count()]
+
+
+def test_orders_of_the_stream_are_computed_once(spark, monkeypatch):
+    """Each turn of the stream reads them from where they were written by turn."""
+    from cabflow.queries import groups
+    from cabflow.queries.base import Tables
+
+    written = []
+    write = groups.write_dealt
+    monkeypatch.setattr(groups, "write_dealt", lambda df, path, by: (written.append(by), write(df, path, by)))
+    assert load()["a7_supply_demand_stream"].build(Tables(spark, FOLDER)).count() > 0
+    assert written == [["_turn"]]
