@@ -7,10 +7,12 @@ import re
 import zlib
 from collections import defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from cabflow.llm import (
+    collocations,
     components,
     decontamination,
     edit_sketch,
@@ -684,3 +686,19 @@ def test_pipeline_without_rows(spark, empty):
     import corpus_pipeline
 
     assert corpus_pipeline.run(spark, empty).collect() == []
+
+
+def test_op11_sends_bounded_batches(spark):
+    """Texts of many rows must not reach a Python worker as one batch."""
+    spark.conf.unset(collocations.ARROW_BYTES)
+    docs = spark.createDataFrame([("de", "a b. " * 12)] * 20, "lang string, text string")
+    try:
+        rows = collocations.phrases(docs)
+        assert int(spark.conf.get(collocations.ARROW_BYTES)) == collocations.BATCH_BYTES
+        found = {r.phrase: r.a for r in rows.collect()}
+        sizes = spark.range(0, 40, 1, 1).select(F.repeat(F.lit("x"), 1 << 20).alias("t"))
+        held = sizes.mapInArrow(lambda it: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in it), "n long").collect()
+    finally:
+        spark.conf.unset(collocations.ARROW_BYTES)
+    assert found == {"a b": 240}
+    assert max(r.n for r in held) <= 2 * collocations.BATCH_BYTES >> 20
