@@ -688,6 +688,19 @@ def test_pipeline_without_rows(spark, empty):
     assert corpus_pipeline.run(spark, empty).collect() == []
 
 
+def test_op10_totals_are_folded_without_the_pieces(spark):
+    """The fold keeps numbers only; of paths with one total the longer last piece is taken."""
+    one, two = "array(named_struct('len', 1, 'id', {0}, 'score', {1}D))", "named_struct('len', 2, 'id', {0}, 'score', {1}D)"
+    places = f"array({one.format(1, -1.0)}, array_append({one.format(2, -1.0)}, {two.format(3, -2.0)}), {one.format(4, -0.5)})"
+    rows = spark.range(1).select(F.expr(places).alias("places"))
+    totals = pieces.best_totals(F.col("places"))
+    assert rows.select(totals.alias("t")).schema["t"].dataType.simpleString() == "array<double>"
+    assert rows.select(totals.alias("t")).first().t == [-2.5, -2.0, -1.0, 0.0]
+    assert rows.select(pieces.best_ids(F.col("places")).alias("i")).first().i == [3, 4]
+    cheaper = rows.select(F.expr(places.replace("-2.0D", "-2.5D")).alias("places"))
+    assert cheaper.select(pieces.best_ids(F.col("places")).alias("i")).first().i == [1, 2, 4]
+
+
 def test_op11_sends_bounded_batches(spark):
     """Texts of many rows must not reach a Python worker as one batch."""
     spark.conf.unset(collocations.ARROW_BYTES)
