@@ -6,6 +6,7 @@ import hashlib
 import re
 import zlib
 from collections import defaultdict
+from types import SimpleNamespace
 
 import pyarrow as pa
 import pytest
@@ -701,6 +702,42 @@ def test_op10_totals_are_folded_without_the_pieces(spark):
     assert cheaper.select(pieces.best_ids(F.col("places")).alias("i")).first().i == [1, 2, 4]
 
 
+def test_op10_sends_only_parts_to_the_fold(spark):
+    """What stands between characters that no piece holds together is looked up or folded by itself."""
+    vocabulary = pieces.Vocabulary.load()
+    segment, ids = pa.array([" the"], pa.string()), pa.array([[272]], pa.list_(pa.int32()))
+    known = SimpleNamespace(value=pieces.Known(segment, ids))
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1, 2], "text": ["the7thanker7thanker8", "the9\ue000"]})
+    (out,) = pieces._look_up(known, vocabulary)(iter([batch]))
+    assert [[o["segment"] for o in own] for own in out.column("own").to_pylist()] == [["thanker"], []]
+    digit = {p: i for p, i, _ in vocabulary.pieces if p.isdigit()}
+    spelled = [vocabulary.byte_ids[b] for b in "\ue000".encode()]
+    assert out.column("ids").to_pylist() == [[272, digit["7"], -2, digit["7"], -2, digit["8"]], [272, digit["9"], *spelled]]
+
+
+@pytest.mark.parametrize("frequent", [0, 12, 2_500_000])
+def test_op10_ids_do_not_depend_on_what_is_frequent(spark, frequent):
+    texts = ["ab&&& cab7cab%%% the7the", "the&&& ab&&& ab  cab\n\n&&&", "7the the7the \U0001f600ab"] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    vocabulary = pieces.Vocabulary.load()
+    score = {i: s for _, i, s in vocabulary.pieces}
+    rows = pieces.encode(docs, vocabulary, frequent, decoded=True).collect()
+    of = {p: i for p, i, _ in vocabulary.pieces}
+    for r in rows:
+        assert r["decoded"] == r["text"]
+        if not set(vocabulary.byte_ids) & set(r["ids"]):
+            segments = re.findall(pieces.SEGMENT, f" {r['text']}")
+            assert sum(score[i] for i in r["ids"]) == pytest.approx(sum(_best_path(s, vocabulary) for s in segments))
+        # Of two paths of one total that with the longer last piece, whatever stands in front.
+        assert r["text"].count("&&&") == sum(p == (of["&"], of["&&"]) for p in zip(r["ids"], r["ids"][1:], strict=False))
+
+
+def test_op10_cuts_texts_that_hold_the_mark():
+    cuts = pieces.Cuts(pieces.Vocabulary.load())
+    assert cuts.parts(" the7  cat\n\nthe,") == [" the", "7", "  cat", "\n", "\n", "the", ","]
+    assert cuts.parts(f" the7{pieces.MARK}the") == [" the", "7", pieces.MARK, "the"]
+
+
 def test_op11_sends_bounded_batches(spark):
     """Texts of many rows must not reach a Python worker as one batch."""
     spark.conf.unset(collocations.ARROW_BYTES)
