@@ -7,11 +7,14 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from cabflow.operators.aggregates import RowCounts
 from cabflow.plans import daily
-from cabflow.plans.dispatch import dispatch_info_extract, dispatch_rounds, numbered_rounds
+from cabflow.plans.dispatch import dispatch_info_extract, dispatch_rounds, numbered_batches, numbered_rounds
 from cabflow.plans.orders import order_base
 from cabflow.plans.pricing import pricing
 from cabflow.plans.training import training_table
+from cabflow.queries import domain
+from cabflow.queries.base import Tables
 from cabflow.schemas import LOGS
 
 DAY, CITY = "20170401", "bj"
@@ -312,3 +315,71 @@ def test_one_hot_order_is_summarised_right(spark):
     got = numbered_rounds(rows).where("service_order_id = 1")
     numbers = [r.acc_batch for r in got.orderBy("round", "datetime").collect()]
     assert numbers == list(range(1, len(numbers) + 1)) and len(numbers) >= 1000
+
+
+def shuffled(df):
+    """Columns of each shuffle in the plan as it stands before it is run."""
+    found, nodes = [], [df._jdf.queryExecution().executedPlan().initialPlan()]
+    while nodes:
+        node = nodes.pop()
+        if node.nodeName() == "Exchange":
+            found.append(node.output().size())
+        children = node.children()
+        nodes += [children.apply(i) for i in range(children.size())]
+    return found
+
+
+@pytest.fixture
+def by_sort(spark):
+    """Joins of large tables: nothing is small enough to be sent to all tasks unasked."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_merged_orders_are_cut_to_what_is_kept(spark, monkeypatch):
+    """Rounds and candidates of other orders are left out first, and the result is the same."""
+    seen, extract, base = {}, daily.dispatch_info_extract, daily.order_base
+    monkeypatch.setattr(daily, "dispatch_info_extract", lambda info, *a: seen.update(info=info) or extract(info, *a))
+    monkeypatch.setattr(daily, "order_base", lambda rows, *a: seen.update(orders=rows) or base(rows, *a))
+    tables = domain.tables(Tables(spark, "/root/testdata/sf0.001"))
+    merged = daily.merge_tables(tables, domain.DATES)
+    kept = base(tables["service_order"], tables["service_order_ext"], domain.DATES).count()
+    assert kept <= seen["orders"].count() < 1.2 * kept
+    rounds, every = seen["info"].count(), tables["dispatch_info"].count()
+    assert rounds < 0.7 * every
+    whole = daily.merge_tables(tables, domain.DATES, counts=RowCounts())
+    assert whole.columns == merged.columns and merged.count() > 100
+    assert sorted(map(repr, merged.collect())) == sorted(map(repr, whole.collect()))
+
+
+def test_merged_orders_are_not_shuffled_by_pricing_id(tables, by_sort):
+    merged = daily.merge_tables(tables, [DAY], CITY)
+    assert len(merged.columns) == 154
+    assert 30 < max(shuffled(merged)) < 60
+
+
+def test_a_dropped_order_says_who_decided(spark, tables):
+    """The pricing id of order 2 is decided by drivers only in a round of an order that is left out."""
+    drivers = escaped({"driverData": {"54": {"totalMagnification": 0.1}}})
+    more = {
+        "dispatch_info": frame(spark, "dispatch_info", [info(2, 1), info(4, 1, bidding_id=902, decision_type=2)]),
+        "personal_dispatch": frame(spark, "personal_dispatch", [round_log(902, 4, drivers)]),
+    }
+    # Without a template city order 4 is of the same city; it is not finished.
+    rows = daily.merge_tables(tables | more, [DAY]).where("service_order_id = 2").collect()
+    assert [(r.end_bidding_round, r.end_max_bidding_rate) for r in rows] == [(4, 0.1)]
+
+
+@pytest.mark.parametrize("drivers, shuffles", [(1, 1), (4, 2)])
+def test_candidates_are_shuffled_once_if_batches_are_small(spark, drivers, shuffles):
+    details = [
+        detail(key, number, driver, accept_status=1, route_distance=driver)
+        for key in (1, 2, 3)
+        for number in (1, 2)
+        for driver in range(drivers)
+    ]
+    batches = numbered_batches(frame(spark, "dispatch_detail", details, hour="int"))
+    assert len(shuffled(batches)) == shuffles
+    got = sorted((r.service_order_id, r.round, r.acc_batch, r.accept_count, r.max_route_distance) for r in batches.collect())
+    assert got == [(k, n, n, drivers, drivers - 1) for k in (1, 2, 3) for n in (1, 2)]

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from cabflow.operators import aggregates, filters, numbering
-from cabflow.operators.joins import left_join, semi, union_all, upsert, with_group_stats
+from cabflow.operators.joins import left_join, same, semi, union_all, upsert, with_group_stats
+from cabflow.operators.key_bits import KeyBits
 from cabflow.operators.numbering import batch_number, number_per_key, running_total, top_k_per_key
 from cabflow.operators.picking import (
     any_per_key,
@@ -273,3 +274,29 @@ def test_cells_without_surcharges(spark):
     )
     row = aggregates.geo_stats(df).first()
     assert (row.geo_order_count, row.geo_bidding_pct, row.geo_bidding_ok_pct) == (1, 0.0, -1.0)
+
+
+def test_key_bits_hold_every_key_and_few_others(spark, tmp_path):
+    spark.range(0, 9000, 3).selectExpr("id", "cast(id % 7 as int) as t").write.parquet(str(tmp_path / "keys"))
+    keys = spark.read.parquet(str(tmp_path / "keys"))
+    every = spark.range(9000).selectExpr("cast(id as int) as k", "cast(id % 7 as bigint) as t")
+    held = {r.k for r in KeyBits(keys, ["id"]).may_hold(every, ["k"]).collect()}
+    assert held >= set(range(0, 9000, 3)) and len(held) < 4000
+    # More than one column, and missing values as values.
+    some = spark.createDataFrame([(1, 5), (2, None)], "k int, t int")
+    pairs = spark.createDataFrame([(1, 5), (1, 6), (2, 5), (2, None), (None, 5)], "k int, t int")
+    assert tuples(KeyBits(some, ["k", "t"]).may_hold(pairs, ["k", "t"])) == [(1, 5), (2, None)]
+    # With more keys than there is room for all of them are held, and others too.
+    cramped = KeyBits(keys, ["id"], most=1 << 15)
+    assert cramped.rows == 1 and {r.k for r in cramped.may_hold(every, ["k"]).collect()} >= set(range(0, 9000, 3))
+    assert KeyBits(keys.limit(0), ["id"]).may_hold(every, ["k"]).count() == 0
+
+
+def test_same_is_no_key_of_the_join(spark):
+    left = spark.createDataFrame([(1, 5, None), (1, 6, "x"), (2, 5, "x")], "k int, a int, b string")
+    right = left.selectExpr("k as _k", "struct(a, b) as _ab", "a * 10 as v").where("v < 60")
+    joined = left.join(right, (F.col("k") == F.col("_k")) & same(F.struct("a", "b"), F.col("_ab")), "left")
+    assert tuples(joined.select("k", "a", "v")) == [(1, 5, 50), (1, 6, None), (2, 5, 50)]
+    plain = left.join(right.selectExpr("_k", "_ab.a as _a", "v"), (F.col("k") == F.col("_k")) & same(F.col("a"), F.col("_a")))
+    keys = re.findall(r"Join \[([^\]]*)\]", plain.hint("merge")._jdf.queryExecution().executedPlan().toString())
+    assert keys and all("," not in k for k in keys)
