@@ -16,6 +16,7 @@ from cabflow.plans.training import training_table
 from cabflow.queries import domain
 from cabflow.queries.base import Tables
 from cabflow.schemas import LOGS
+from cabflow.sinks.writers import staged_by
 
 DAY, CITY = "20170401", "bj"
 MIDNIGHT = 1490976000
@@ -371,6 +372,16 @@ def test_a_dropped_order_says_who_decided(spark, tables):
     assert [(r.end_bidding_round, r.end_max_bidding_rate) for r in rows] == [(4, 0.1)]
 
 
+def test_training_features_come_to_the_wide_rows(spark, tables, by_sort):
+    merged = staged_by(spark, daily.merge_tables(tables, [DAY], CITY), "merged", "service_order_id")
+    assert spark.catalog.listTables() == [] or all("merged_" not in t.name for t in spark.catalog.listTables())
+    assert shuffled(merged.groupBy("service_order_id").count()) == []
+    profile = spark.createDataFrame([(101, 3)], "uid bigint, user_order_count bigint")
+    training = training_table(merged, profile)
+    assert max(shuffled(training)) < 20
+    assert [(r.abs_demand, r.user_order_count) for r in training.collect()] == [(2, 3)] * 2
+
+
 @pytest.mark.parametrize("drivers, shuffles", [(1, 1), (4, 2)])
 def test_candidates_are_shuffled_once_if_batches_are_small(spark, drivers, shuffles):
     details = [
